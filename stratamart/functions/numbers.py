@@ -18,12 +18,12 @@ def nz(x) -> Column:
 
 
 def ratio(part, whole, digits: int) -> Column:
-    """part / whole, rounded; both sides go to double first so every engine agrees."""
-    return F.round(_c(part).cast("double") / nz(_c(whole).cast("double")), digits)
+    """part / whole, rounded. Money over money stays decimal, counts over counts go to double."""
+    return F.round(_c(part) / nz(whole), digits)
 
 
 def pct(part, whole, digits: int) -> Column:
-    return F.round(_c(part).cast("double") * 100 / nz(_c(whole).cast("double")), digits)
+    return F.round(_c(part) / nz(whole) * 100, digits)
 
 
 def exact_sum(x) -> Column:
@@ -35,7 +35,6 @@ def flag_sum(x) -> Column:
     return F.sum(_c(x).cast("int"))
 
 
-def mean_of(x, digits: int | None = None) -> Column:
-    """Mean through an exact decimal sum, as a double."""
-    total = F.sum(_c(x).cast("decimal(28,6)")).cast("double") / nz(F.count(_c(x))).cast("double")
-    return total if digits is None else F.round(total, digits)
+def exact_mean(x, digits: int) -> Column:
+    """Mean through a decimal sum, so that a mean of doubles does not depend on row order."""
+    return F.round(F.avg(_c(x).cast("decimal(28,6)")), digits)

@@ -183,6 +183,6 @@ def compare_controls(left: DataFrame, right: DataFrame, a: str, b: str) -> DataF
 def variance_check(totals: DataFrame, a: str, b: str, tolerance_pct: float) -> DataFrame:
     """Absolute difference of a from b in percent of b; within the tolerance passes."""
     gap = F.abs(F.col(a) - F.col(b))
-    return totals.withColumn("variance_pct", F.abs(ratio(gap * 100, F.col(b), 4))).withColumn(
+    return totals.withColumn("variance_pct", F.abs(ratio(gap * 100, b, 4))).withColumn(
         "status", F.when(F.col("variance_pct") <= tolerance_pct, "PASS").otherwise("FAIL")
     )

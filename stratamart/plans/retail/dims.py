@@ -128,7 +128,7 @@ DIMENSIONS: dict[str, Dimension] = {
             "is_current": "valid_to IS NULL",
             "is_price_missing": "list_price IS NULL",
             "unit_margin": "cast(list_price - wholesale_cost AS decimal(18,2))",
-            "margin_pct": "CASE WHEN list_price > 0 THEN round(double(list_price - wholesale_cost) * 100 / double(list_price), 2) END",
+            "margin_pct": "CASE WHEN list_price > 0 THEN round((list_price - wholesale_cost) / list_price * 100, 2) END",
             "price_tier": "CASE WHEN list_price IS NULL THEN 'UNPRICED' WHEN list_price < 10 THEN 'VALUE' WHEN list_price < 50 THEN 'STANDARD' "
                           "WHEN list_price < 150 THEN 'PREMIUM' ELSE 'LUXURY' END",
         }, "Product master with margin, price tier and validity window"),

@@ -1,7 +1,6 @@
 """Report queries over the marts, as SQL. ``{mart}`` is the DataFrame a report reads.
 
-Every top-k carries a unique tie-break. ``million`` and mean columns follow the
-marts' rule: exact decimal sums, ratios in double.
+Every top-k carries a unique tie-break; means are taken over decimals.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def _mean(col: str, digits: int) -> str:
-    return f"round(double(sum(cast({col} AS decimal(28,6)))) / nullif(count({col}), 0), {digits})"
+    return f"round(avg(cast({col} AS decimal(28,6))), {digits})"
 
 
 def _millions(col: str, digits: int) -> str:
@@ -57,7 +56,7 @@ REPORTS: dict[str, tuple[str, str]] = {
         ORDER BY net_revenue DESC, category NULLS LAST LIMIT 5"""),
     "rpt_segment_ltv_share": ("dim_customer_rfm", f"""
         SELECT customer_segment, count(*) AS customers, {_millions('net_lifetime_value', 2)} AS ltv_musd,
-               round(double(sum(net_lifetime_value)) * 100 / double(sum(sum(net_lifetime_value)) OVER ()), 1) AS pct_of_ltv
+               round(sum(net_lifetime_value) * 100 / sum(sum(net_lifetime_value)) OVER (), 1) AS pct_of_ltv
         FROM {{mart}} GROUP BY customer_segment"""),
     "rpt_channel_yoy": ("agg_sales_by_channel_month", f"""
         SELECT channel, sold_year, {_millions('net_revenue', 1)} AS net_revenue_musd, {_mean('margin_pct', 2)} AS avg_margin_pct,

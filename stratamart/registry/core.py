@@ -125,21 +125,32 @@ def oracle(entry: Entry) -> str:
 
 # --- SQL helpers of the expected side ------------------------------------------------
 
-def rnd(expr: str, digits: int) -> str:
+def rnd(expr: str, digits: int, kept: int = 20) -> str:
     """Round half up on the shortest decimal text of a double, which is how Spark rounds doubles."""
-    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,12)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,{kept})), {digits}) AS DOUBLE)"
 
 
+def pctn_(a: str, b: str, digits: int) -> str:
+    """Percent of counts: double arithmetic."""
+    return rnd(f"CAST({a} AS DOUBLE) / nullif({b}, 0) * 100", digits)
+
+
+def divn_(a: str, b: str, digits: int) -> str:
+    return rnd(f"CAST({a} AS DOUBLE) / nullif({b}, 0)", digits)
+
+
+# Ratios of money are exact decimals in Spark. The double quotient is within a few 1e-10
+# of them, so cutting it to 9 places first restores exact halves.
 def pct_(a: str, b: str, digits: int) -> str:
-    return rnd(f"CAST({a} AS DOUBLE) * 100 / nullif(CAST({b} AS DOUBLE), 0)", digits)
+    return rnd(f"CAST({a} AS DOUBLE) * 100 / nullif(CAST({b} AS DOUBLE), 0)", digits, 9)
 
 
 def div_(a: str, b: str, digits: int) -> str:
-    return rnd(f"CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0)", digits)
+    return rnd(f"CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0)", digits, 9)
 
 
 def mean_(x: str, digits: int) -> str:
-    return rnd(f"CAST(sum(CAST({x} AS DECIMAL(28,6))) AS DOUBLE) / nullif(count({x}), 0)", digits)
+    return rnd(f"CAST(sum(CAST({x} AS DECIMAL(28,6))) AS DOUBLE) / nullif(count({x}), 0)", digits, 9)
 
 
 def latest_(source: str, keys: str, newest: str = "", rest: str = "") -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from stratamart.plans.retail import facts, reports
 from stratamart.plans.retail.dims import DIMENSIONS, REGIONS
 from stratamart.plans.retail.layers import MARTS
-from stratamart.registry.core import div_, latest_, mean_, pct_, query, relation, rnd
+from stratamart.registry.core import div_, divn_, latest_, mean_, pct_, pctn_, query, relation, rnd
 
 
 def _title(x: str) -> str:
@@ -269,9 +269,9 @@ WITH s AS (SELECT sold_date, sold_year, sold_year_month, count(DISTINCT {_OK}) A
   r AS (SELECT returned_date, count(*) AS return_lines, sum(return_quantity) AS units_returned, sum(total_refund) AS refund_amount, sum(net_loss) AS return_net_loss FROM {{r_returns}} GROUP BY 1),
   k AS (SELECT s.*, coalesce(return_lines, 0) AS return_lines, coalesce(units_returned, 0) AS units_returned, coalesce(refund_amount, 0) AS refund_amount, return_net_loss,
     day_name, is_weekend, is_holiday, quarter_name FROM s LEFT JOIN r ON sold_date = returned_date LEFT JOIN {{r_dim_date}} ON sold_date = calendar_date)
-SELECT *, net_revenue - refund_amount AS net_revenue_after_returns, {div_('net_revenue', 'orders', 2)} AS average_order_value, {div_('units_sold', 'orders', 2)} AS units_per_order,
-  {pct_('units_returned', 'units_sold', 2)} AS return_rate_pct, {pct_('gross_margin', 'net_revenue', 2)} AS margin_pct, {pct_('discount_given', 'gross_revenue', 2)} AS discount_rate_pct,
-  {rnd('CAST(sum(net_revenue) OVER w AS DOUBLE) / count(*) OVER w', 2)} AS net_revenue_7d_avg, {rnd('CAST(sum(orders) OVER w AS DOUBLE) / count(*) OVER w', 1)} AS orders_7d_avg
+SELECT *, net_revenue - refund_amount AS net_revenue_after_returns, {div_('net_revenue', 'orders', 2)} AS average_order_value, {divn_('units_sold', 'orders', 2)} AS units_per_order,
+  {pctn_('units_returned', 'units_sold', 2)} AS return_rate_pct, {pct_('gross_margin', 'net_revenue', 2)} AS margin_pct, {pct_('discount_given', 'gross_revenue', 2)} AS discount_rate_pct,
+  {rnd('CAST(sum(net_revenue) OVER w AS DOUBLE) / count(*) OVER w', 2, 9)} AS net_revenue_7d_avg, {rnd('CAST(sum(orders) OVER w AS DOUBLE) / count(*) OVER w', 1)} AS orders_7d_avg
 FROM k WINDOW w AS (ORDER BY sold_date RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW)""")
 
 
@@ -298,7 +298,7 @@ relation("m_agg_store_performance_month", f"""
 WITH m AS (SELECT store_sk, sold_year, sold_year_month, count(DISTINCT {_OK}) AS transactions, sum(quantity) AS units_sold, count(DISTINCT customer_sk) AS unique_customers,
     sum(net_revenue) AS net_revenue, sum(gross_margin) AS gross_margin FROM {{r_sales}} WHERE channel = 'STORE' AND store_sk IS NOT NULL GROUP BY 1, 2, 3)
 SELECT m.*, store_name, state_code, city, floor_space_sqft, employee_count, size_band, market_description, division_name,
-  {div_('net_revenue', 'transactions', 2)} AS basket_size, {div_('units_sold', 'transactions', 2)} AS units_per_transaction, {pct_('gross_margin', 'net_revenue', 2)} AS margin_pct,
+  {div_('net_revenue', 'transactions', 2)} AS basket_size, {divn_('units_sold', 'transactions', 2)} AS units_per_transaction, {pct_('gross_margin', 'net_revenue', 2)} AS margin_pct,
   {div_('net_revenue', 'floor_space_sqft', 2)} AS revenue_per_sqft, {div_('net_revenue', 'employee_count', 2)} AS revenue_per_employee,
   rank() OVER (PARTITION BY sold_year_month ORDER BY net_revenue DESC) AS revenue_rank_in_month,
   {rnd('percent_rank() OVER (PARTITION BY sold_year_month ORDER BY net_revenue) * 100', 1)} AS revenue_percentile
@@ -309,8 +309,8 @@ WITH s AS (SELECT item_sk, sold_year, count(*) AS order_lines, count(DISTINCT cu
   r AS (SELECT item_sk, returned_year AS sold_year, sum(return_quantity) AS units_returned, sum(total_refund) AS refund_amount FROM {{r_returns}} GROUP BY 1, 2),
   p AS (SELECT s.*, coalesce(r.units_returned, 0) AS units_returned, coalesce(r.refund_amount, 0) AS refund_amount, product_name, category, product_class, brand, manufacturer, list_price,
     wholesale_cost, price_tier, i.margin_pct AS catalog_margin_pct FROM s LEFT JOIN r USING (item_sk, sold_year) LEFT JOIN {{r_dim_item}} i USING (item_sk)),
-  q AS (SELECT *, net_revenue - refund_amount AS net_revenue_after_returns, {pct_('units_returned', 'units_sold', 2)} AS return_rate_pct, {pct_('gross_margin', 'net_revenue', 2)} AS realised_margin_pct,
-    {div_('net_revenue', 'units_sold', 2)} AS avg_selling_price, {pct_('promotional_lines', 'order_lines', 2)} AS promo_line_share_pct,
+  q AS (SELECT *, net_revenue - refund_amount AS net_revenue_after_returns, {pctn_('units_returned', 'units_sold', 2)} AS return_rate_pct, {pct_('gross_margin', 'net_revenue', 2)} AS realised_margin_pct,
+    {div_('net_revenue', 'units_sold', 2)} AS avg_selling_price, {pctn_('promotional_lines', 'order_lines', 2)} AS promo_line_share_pct,
     rank() OVER (PARTITION BY category, sold_year ORDER BY net_revenue DESC) AS rank_in_category, rank() OVER (PARTITION BY sold_year ORDER BY net_revenue DESC) AS rank_overall FROM p)
 SELECT *, CASE WHEN rank_in_category <= 50 AND return_rate_pct < 5 THEN 'STAR' WHEN return_rate_pct > 15 THEN 'HIGH_RETURN_RISK' WHEN realised_margin_pct < 0 THEN 'LOSS_MAKING'
   WHEN units_sold < 10 THEN 'SLOW_MOVER' ELSE 'STEADY' END AS performance_flag FROM q""")
@@ -322,7 +322,7 @@ WITH t AS (SELECT customer_sk, max(sold_date) AS last_purchase_date, min(sold_da
   b AS (SELECT t.*, coalesce(return_count, 0) AS return_count, coalesce(lifetime_refunds, 0) AS lifetime_refunds,
     date_diff('day', last_purchase_date, (SELECT max(sold_date) FROM {{r_sales}})) AS recency_days, date_diff('day', first_purchase_date, (SELECT max(sold_date) FROM {{r_sales}})) AS tenure_days,
     lifetime_revenue - coalesce(lifetime_refunds, 0) AS net_lifetime_value, {div_('lifetime_revenue', 'order_count', 2)} AS average_order_value,
-    {pct_('coalesce(return_count, 0)', 'line_count', 2)} AS return_rate_pct FROM t LEFT JOIN r USING (customer_sk)),
+    {pctn_('coalesce(return_count, 0)', 'line_count', 2)} AS return_rate_pct FROM t LEFT JOIN r USING (customer_sk)),
   n AS (SELECT *, 6 - ntile(5) OVER (ORDER BY recency_days, customer_sk) AS r_score, ntile(5) OVER (ORDER BY order_count, customer_sk) AS f_score,
     ntile(5) OVER (ORDER BY net_lifetime_value, customer_sk) AS m_score FROM b)
 SELECT n.*, CAST(r_score AS VARCHAR) || f_score || m_score AS rfm_score, r_score + f_score + m_score AS rfm_total,
@@ -337,12 +337,12 @@ WITH c AS (SELECT customer_sk, channel, sum(net_revenue) AS channel_revenue, cou
 SELECT *, {pct_('channel_revenue', 'total_revenue', 2)} AS channel_revenue_share_pct, channel = primary_channel AS is_primary_channel,
   CASE WHEN channels_used >= 3 THEN 'TRI_CHANNEL' WHEN channels_used = 2 THEN 'OMNICHANNEL' ELSE 'SINGLE_CHANNEL' END AS shopper_type FROM x""")
 relation("m_agg_promotion_effectiveness", f"""
-WITH b AS (SELECT item_sk, CAST(sum(net_revenue) AS DOUBLE) / count(net_revenue) AS per_line FROM {{r_sales}} WHERE NOT is_promotional GROUP BY 1),
+WITH b AS (SELECT item_sk, CAST(CAST(CAST(sum(net_revenue) AS DOUBLE) / count(net_revenue) AS VARCHAR) AS DECIMAL(22,6)) AS per_line FROM {{r_sales}} WHERE NOT is_promotional GROUP BY 1),
   p AS (SELECT promo_sk, channel, item_sk, count(*) AS lines, sum(quantity) AS units, sum(net_revenue) AS revenue, sum(discount_amount) AS discount, sum(gross_margin) AS margin,
     count(DISTINCT customer_sk) AS customers FROM {{r_sales}} WHERE is_promotional GROUP BY 1, 2, 3),
   e AS (SELECT promo_sk, channel, count(DISTINCT item_sk) AS items_promoted, sum(lines) AS promoted_lines, sum(units) AS promoted_units, sum(revenue) AS promoted_revenue,
     sum(discount) AS discount_invested, sum(margin) AS promoted_margin, sum(customers) AS customers_reached,
-    CAST(sum(CAST(CAST(per_line * lines AS VARCHAR) AS DECIMAL(28,6))) AS DECIMAL(18,2)) AS expected_revenue_without_promo, count(*) - count(per_line) AS items_without_baseline
+    CAST(sum(per_line * CAST(lines AS DECIMAL(10,0))) AS DECIMAL(18,2)) AS expected_revenue_without_promo, count(*) - count(per_line) AS items_without_baseline
     FROM p LEFT JOIN b USING (item_sk) GROUP BY 1, 2),
   g AS (SELECT e.*, promo_name, promo_purpose, promo_cost, is_discount_active, media_channel_count, is_multichannel, channel_email, channel_tv, channel_catalog,
     promoted_revenue - expected_revenue_without_promo AS incremental_revenue, coalesce(promo_cost, 0) + discount_invested AS total_investment FROM e LEFT JOIN {{r_dim_promotion}} USING (promo_sk)),
@@ -353,7 +353,7 @@ relation("m_agg_returns_by_reason_month", f"""
 WITH g AS (SELECT returned_year_month, returned_year, channel, reason_description, category, count(*) AS return_lines, sum(return_quantity) AS units_returned,
     count(DISTINCT customer_sk) AS returning_customers, sum(total_refund) AS refund_amount, sum(net_loss) AS net_loss, sum(return_ship_cost) AS return_shipping_cost
     FROM {{r_returns}} LEFT JOIN {{r_dim_return_reason}} USING (reason_sk) LEFT JOIN (SELECT item_sk, category FROM {{r_dim_item}}) USING (item_sk) GROUP BY 1, 2, 3, 4, 5)
-SELECT *, {div_('refund_amount', 'units_returned', 2)} AS avg_refund_per_unit, {pct_('units_returned', 'sum(units_returned) OVER (PARTITION BY returned_year_month)', 2)} AS share_of_month_returns_pct,
+SELECT *, {div_('refund_amount', 'units_returned', 2)} AS avg_refund_per_unit, {pctn_('units_returned', 'sum(units_returned) OVER (PARTITION BY returned_year_month)', 2)} AS share_of_month_returns_pct,
   rank() OVER (PARTITION BY returned_year_month ORDER BY units_returned DESC NULLS LAST) AS reason_rank_in_month FROM g""")
 relation("m_agg_inventory_health_weekly", f"""
 WITH k AS (SELECT snapshot_year, snapshot_week_seq, warehouse_sk, item_sk, avg(quantity_on_hand) AS avg_on_hand, min(quantity_on_hand) AS min_on_hand, max(quantity_on_hand) AS max_on_hand,
@@ -361,7 +361,7 @@ WITH k AS (SELECT snapshot_year, snapshot_week_seq, warehouse_sk, item_sk, avg(q
   d AS (SELECT sold_year AS snapshot_year, sold_week_seq AS snapshot_week_seq, warehouse_sk, item_sk, sum(quantity) AS units_shipped, sum(net_revenue) AS week_revenue
     FROM {{r_sales}} WHERE warehouse_sk IS NOT NULL GROUP BY 1, 2, 3, 4),
   j AS (SELECT k.*, coalesce(units_shipped, 0) AS units_shipped, coalesce(week_revenue, 0) AS week_revenue FROM k LEFT JOIN d USING (snapshot_year, snapshot_week_seq, warehouse_sk, item_sk)),
-  c AS (SELECT *, {div_('avg_on_hand', 'units_shipped', 1)} AS weeks_of_cover, {pct_('stockout_snapshots', 'snapshots', 1)} AS stockout_rate_pct FROM j)
+  c AS (SELECT *, {divn_('avg_on_hand', 'units_shipped', 1)} AS weeks_of_cover, {pctn_('stockout_snapshots', 'snapshots', 1)} AS stockout_rate_pct FROM j)
 SELECT c.*, CASE WHEN min_on_hand <= 0 THEN 'STOCKED_OUT' WHEN weeks_of_cover < 2 THEN 'REORDER_NOW' WHEN weeks_of_cover > 26 THEN 'EXCESS_STOCK' ELSE 'HEALTHY' END AS stock_status,
   warehouse_name, w.state_code, product_name, category, price_tier FROM c LEFT JOIN {{r_dim_warehouse}} w USING (warehouse_sk) LEFT JOIN {{r_dim_item}} USING (item_sk)""")
 relation("m_agg_category_affinity", f"""
@@ -371,8 +371,8 @@ WITH b AS (SELECT DISTINCT {_OK} AS order_key, channel, category FROM {{r_sales}
   t AS (SELECT channel, category, count(*) AS n FROM b GROUP BY 1, 2),
   j AS (SELECT p.*, x.n AS baskets_a, y.n AS baskets_b, (SELECT max(sold_year) FROM {{r_sales}}) AS analysis_year, (SELECT count(DISTINCT order_key) FROM b) AS total_baskets
     FROM p JOIN t x ON p.channel = x.channel AND category_a = x.category JOIN t y ON p.channel = y.channel AND category_b = y.category),
-  l AS (SELECT *, {pct_('baskets_together', 'total_baskets', 4)} AS support_pct, {pct_('baskets_together', 'baskets_a', 2)} AS confidence_a_to_b_pct,
-    {div_('(baskets_together * total_baskets)', '(baskets_a * baskets_b)', 3)} AS lift FROM j)
+  l AS (SELECT *, {pctn_('baskets_together', 'total_baskets', 4)} AS support_pct, {pctn_('baskets_together', 'baskets_a', 2)} AS confidence_a_to_b_pct,
+    {divn_('(baskets_together * total_baskets)', '(baskets_a * baskets_b)', 3)} AS lift FROM j)
 SELECT *, CASE WHEN lift > 1.2 THEN 'STRONG' WHEN lift > 1.0 THEN 'POSITIVE' ELSE 'NONE' END AS affinity_strength FROM l""")
 
 _MART_SHAPES = {
