@@ -44,17 +44,16 @@ def events_in_trailing_window(
     Rows are counted per (key, second) before any shuffle of consequence. A count
     lies in its own bin of ``span`` seconds and is copied into the next, so every
     window is answered inside one (key, bin): at most 2 x span rows, however busy
-    the key is.
+    the key is. Rows without a time are peers of each other only.
     """
     timed = df.withColumn("__s", at_seconds)
     per_second = timed.groupBy(F.col(key).alias("__k"), "__s").agg(F.count("*").alias("__n"))
     home = F.floor(F.col("__s") / span)
-    spread = per_second.select(
-        "__k", "__s", "__n", home.alias("__home"), F.explode(F.array(home, home + 1)).alias("__b")
-    )
+    bins = F.when(home.isNull(), F.array(home)).otherwise(F.array(home, home + 1))
+    spread = per_second.select("__k", "__s", "__n", home.alias("__home"), F.explode(bins).alias("__b"))
     w = Window.partitionBy("__k", "__b").orderBy("__s").rangeBetween(-span, 0)
     counted = (
-        spread.withColumn(out, F.sum("__n").over(w)).where("__b = __home")
+        spread.withColumn(out, F.sum("__n").over(w)).where("__b <=> __home")
         .select("__k", F.col("__s").alias("__t"), out)
     )
     return (
