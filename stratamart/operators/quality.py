@@ -186,3 +186,29 @@ def variance_check(totals: DataFrame, a: str, b: str, tolerance_pct: float) -> D
     return totals.withColumn("variance_pct", F.abs(ratio(gap * 100, b, 4))).withColumn(
         "status", F.when(F.col("variance_pct") <= tolerance_pct, "PASS").otherwise("FAIL")
     )
+
+
+# --- lineage --------------------------------------------------------------------
+
+def lineage_check(layers: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Batch ids of several layers; consistent when one batch is in every layer and no other is in any."""
+    ids = [
+        df.select(F.lit(layer).alias("layer"), F.col(column).alias("batch_id")).distinct() for layer, (df, column) in layers.items()
+    ]
+    stacked = ids[0]
+    for more in ids[1:]:
+        stacked = stacked.unionByName(more)
+    return stacked.agg(
+        F.count_distinct("batch_id").alias("batches"), F.count_distinct("layer").alias("layers"),
+    ).withColumn("consistent", (F.col("batches") == 1) & (F.col("layers") == len(layers)))
+
+
+def audit_trail(*landed: DataFrame) -> DataFrame:
+    """Rows and distinct files per source system and batch."""
+    cols = ["_source_system", "_batch_id", "_source_file"]
+    per_file = [df.groupBy(*cols).agg(F.count("*").alias("n")) for df in landed]
+    stacked = per_file[0]
+    for more in per_file[1:]:
+        stacked = stacked.unionByName(more)
+    return stacked.groupBy("_source_system", "_batch_id").agg(
+        F.sum("n").alias("rows"), F.count_distinct("_source_file").alias("files"))

@@ -256,3 +256,28 @@ def returns_inventory_ledger(raw_ret: DataFrame, returns: DataFrame, raw_inv: Da
         ]),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def defect_report(bronze: Callable[[str], DataFrame]) -> DataFrame:
+    """What the raw feeds carry; one pass per table plus one per repeated-key count."""
+    c = F.col
+    parts = [
+        repeated_key_count(bronze("customer"), ["c_customer_sk"], "customer", "duplicate customer keys"),
+        measure(bronze("customer"), "customer", [
+            ("missing email", "in", F.count_if(c("c_email_address").isNull())),
+            ("untrimmed first name", "in", F.count_if(c("c_first_name") != F.trim("c_first_name"))),
+        ]),
+        measure(bronze("customer_address"), "customer_address", [
+            ("country spelling variants", "in", F.count_distinct("ca_country")),
+            ("lower-case state codes", "in", F.count_if(c("ca_state") != F.upper("ca_state"))),
+            ("missing zip", "in", F.count_if(c("ca_zip").isNull())),
+        ]),
+        measure(bronze("item"), "item", [("missing price", "in", F.count_if(c("i_current_price").isNull()))]),
+        measure(bronze("store_sales"), "store_sales", [
+            ("null net_paid", "in", F.count_if(c("ss_net_paid").isNull())),
+            ("negative quantity", "in", F.count_if(c("ss_quantity") < 0)),
+        ]),
+        repeated_key_count(bronze("store_sales"), ["ss_item_sk", "ss_ticket_number"], "store_sales", "duplicate (item,ticket)"),
+    ]
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.select(c("table_name").alias("tbl"), c("rule").alias("defect"), c("metric_value").alias("n"))

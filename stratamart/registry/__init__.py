@@ -7,6 +7,6 @@ from stratamart.registry.core import ENTRIES, Entry
 
 def all_entries() -> dict[str, Entry]:
     # registering happens on import
-    from stratamart.registry import banking, retail, verticals  # noqa: F401
+    from stratamart.registry import banking, jobs, operators, retail, verticals  # noqa: F401
 
     return ENTRIES

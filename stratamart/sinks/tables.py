@@ -50,10 +50,18 @@ def overwrite_partitioned(df: DataFrame, table: str, column: str, rows_per_file:
 
 
 def replace_partitions(df: DataFrame, table: str) -> None:
-    """Overwrite only the partitions present in ``df``; the table must exist."""
+    """Overwrite only the partitions present in ``df``; the table must exist.
+
+    insertInto follows the session setting, so it is switched for this write only.
+    """
     spark = df.sparkSession
-    order = spark.table(table).columns
-    df.select(*order).write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(mode, before)
 
 
 def create_table_as(spark: SparkSession, table: str, query: str, **frames: DataFrame) -> None:
@@ -128,7 +136,7 @@ def describe(spark: SparkSession, database: str) -> DataFrame:
     found = [
         (t.name, i, c.name, c.dataType)
         for t in sorted(spark.catalog.listTables(database), key=lambda t: t.name)
-        for i, c in enumerate(spark.catalog.listColumns(t.name, database))
+        for i, c in enumerate(spark.catalog.listColumns(f"{database}.{t.name}"))
     ]
     return spark.createDataFrame(found, "table_name string, position int, column_name string, data_type string")
 
