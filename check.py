@@ -49,6 +49,10 @@ def main(prefixes: list[str]) -> int:
         try:
             df = spark_query(entry)(spark, FOLDER)
             got = [tuple(r) for r in df.collect()]
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "SinglePartition"):
+                if node in plan:
+                    print(f"   plan of {name} has {node}")
             spent = time.time() - start
             signal.alarm(0)
             if entry.sql is None:

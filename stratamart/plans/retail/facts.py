@@ -17,7 +17,7 @@ from stratamart.functions.numbers import MONEY
 from stratamart.operators.keyed import conform, first_failure, latest_per_key
 from stratamart.operators.quality import measure, repeated_key_count
 
-LINE_KEY = ["channel", "order_number", "item_sk"]
+LINE_KEY = ["order_number", "item_sk", "channel"]  # most selective first: it leads the sort
 
 
 def _shape(ints: str, longs: str, amounts: str) -> list[tuple[str, str]]:

@@ -25,7 +25,13 @@ class Context:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.star = Star(spark, folder)
-        self.retail = RetailLayers(spark, lambda name: self.star[f"src_{name}"])
+        self.retail = RetailLayers(spark, self.bronze)
+
+    def bronze(self, name: str) -> DataFrame:
+        """A raw retail table as landed: large feeds are files, small ones are derived on the fly."""
+        build = lambda: self.star[f"src_{name}"]
+        large = name == "inventory" or name.endswith(("_sales", "_returns"))
+        return self.retail.once(f"bronze_{name}", build) if large else build()
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.star[name]

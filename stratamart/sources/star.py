@@ -13,6 +13,8 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratamart.sinks.scratch import settle
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -29,6 +31,12 @@ class Dialect:
     def plus_days(self, date: str, n: str) -> str:
         return f"date_add({date}, CAST({n} AS INT))" if self.name == "spark" else f"({date} + CAST({n} AS INT))"
 
+    def twice_where(self, cond: str) -> str:
+        """FROM-clause tail that repeats a row when the condition holds."""
+        if self.name == "spark":
+            return f"LATERAL VIEW explode(CASE WHEN {cond} THEN array(1, 2) ELSE array(1) END) r AS copy_no"
+        return f", UNNEST(CASE WHEN {cond} THEN [1, 2] ELSE [1] END) r(copy_no)"
+
     def daynum(self, date: str) -> str:
         return self.days(date, "DATE '1900-01-01'")
 
@@ -54,8 +62,8 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatu
 FROM {{lineitem}} JOIN {{orders}} ON l_orderkey = o_orderkey JOIN {{part}} ON l_partkey = p_partkey"""
 
 
-def _sales(feed: int, p: str, cust: str, addr: str, cdemo: str, hdemo: str, order: str, extra: str) -> str:
-    body = f"""
+def _sales(d: Dialect, feed: int, p: str, cust: str, addr: str, cdemo: str, hdemo: str, order: str, extra: str) -> str:
+    return f"""
 SELECT CASE WHEN (l_orderkey * 31 + l_partkey) % 251 <> 0 THEN sold_sk END AS {p}_sold_date_sk,
   CAST((l_orderkey * 37) % 86400 AS INT) AS {p}_sold_time_sk,
   CASE WHEN (l_orderkey + l_partkey * 7) % 503 <> 0 THEN l_partkey END AS {p}_item_sk,
@@ -72,17 +80,15 @@ SELECT CASE WHEN (l_orderkey * 31 + l_partkey) % 251 <> 0 THEN sold_sk END AS {p
   gross AS {p}_ext_list_price, tax AS {p}_ext_tax, coupon AS {p}_coupon_amt,
   CASE WHEN (l_orderkey * 17 + l_partkey) % 241 <> 0 THEN gross - disc END AS {p}_net_paid,
   gross - disc + tax AS {p}_net_paid_inc_tax,
-  CAST(gross - disc - cost * qty AS DECIMAL(12,2)) AS {p}_net_profit, l_linenumber AS replay_no
-FROM {{src_line}} WHERE feed = {feed}"""
-    cols = f"SELECT * FROM ({body}) WHERE"
-    return f"{cols} 1 = 1 UNION ALL {cols} ({p}_{order} * 7 + replay_no) % 67 = 0"
+  CAST(gross - disc - cost * qty AS DECIMAL(12,2)) AS {p}_net_profit
+FROM {{src_line}} {d.twice_where('(l_orderkey * 7 + l_linenumber) % 67 = 0')} WHERE feed = {feed}"""
 
 
-def _returns(feed: int, p: str, names: dict[str, str], extra: str) -> str:
+def _returns(d: Dialect, feed: int, p: str, names: dict[str, str], extra: str) -> str:
     n = names
     amount = "CAST((gross - disc) * CAST(0.50 AS DECIMAL(3,2)) AS DECIMAL(12,2))"
     third = "CAST((gross - disc) * CAST(0.15 AS DECIMAL(3,2)) AS DECIMAL(12,2))"
-    body = f"""
+    return f"""
 SELECT CASE WHEN (l_orderkey * 3 + l_partkey) % 199 <> 0 THEN ship_sk END AS {p}_returned_date_sk,
   CAST((l_orderkey * 41) % 86400 AS INT) AS {p}_{n['time']},
   CASE WHEN (l_orderkey + l_partkey * 5) % 307 <> 0 THEN l_partkey END AS {p}_item_sk,
@@ -95,10 +101,8 @@ SELECT CASE WHEN (l_orderkey * 3 + l_partkey) % 199 <> 0 THEN ship_sk END AS {p}
   CASE WHEN l_partkey % 11 = 0 THEN NULL WHEN l_partkey % 4 = 0 THEN {amount} ELSE {third} END AS {p}_refunded_cash,
   CASE WHEN l_partkey % 4 = 1 THEN {amount} WHEN l_partkey % 13 = 0 THEN NULL ELSE {third} END AS {p}_reversed_charge,
   CASE WHEN l_partkey % 4 = 2 THEN {amount} END AS {p}_{n['credit']},
-  {third} + CAST(1.50 AS DECIMAL(12,2)) AS {p}_net_loss, l_linenumber AS replay_no
-FROM {{src_line}} WHERE feed = {feed} AND l_returnflag = 'R'"""
-    cols = f"SELECT * FROM ({body}) WHERE"
-    return f"{cols} 1 = 1 UNION ALL {cols} ({p}_{n['order']} * 11 + replay_no) % 71 = 0"
+  {third} + CAST(1.50 AS DECIMAL(12,2)) AS {p}_net_loss
+FROM {{src_line}} {d.twice_where('(l_orderkey * 11 + l_linenumber) % 71 = 0')} WHERE feed = {feed} AND l_returnflag = 'R'"""
 
 
 def _calendar(d: Dialect) -> str:
@@ -129,23 +133,23 @@ def feeds(d: Dialect) -> dict[str, str]:
 
     # --- retail: sales and returns of three channels ---------------------------
     f["src_store_sales"] = _sales(
-        0, "ss", "customer_sk", "addr_sk", "cdemo_sk", "hdemo_sk", "ticket_number",
+        d, 0, "ss", "customer_sk", "addr_sk", "cdemo_sk", "hdemo_sk", "ticket_number",
         "l_suppkey AS ss_store_sk,")
     shipping = "ship_sk AS {p}_ship_date_sk, o_custkey AS {p}_ship_customer_sk, CAST(l_linenumber AS INT) AS {p}_ship_mode_sk, l_suppkey AS {p}_warehouse_sk, CAST(qty * CAST(0.50 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS {p}_ext_ship_cost,"
     f["src_catalog_sales"] = _sales(
-        1, "cs", "bill_customer_sk", "bill_addr_sk", "bill_cdemo_sk", "bill_hdemo_sk", "order_number",
+        d, 1, "cs", "bill_customer_sk", "bill_addr_sk", "bill_cdemo_sk", "bill_hdemo_sk", "order_number",
         shipping.replace("{p}", "cs") + " l_suppkey % 5 AS cs_call_center_sk, l_partkey % 50 AS cs_catalog_page_sk,")
     f["src_web_sales"] = _sales(
-        2, "ws", "bill_customer_sk", "bill_addr_sk", "bill_cdemo_sk", "bill_hdemo_sk", "order_number",
+        d, 2, "ws", "bill_customer_sk", "bill_addr_sk", "bill_cdemo_sk", "bill_hdemo_sk", "order_number",
         shipping.replace("{p}", "ws") + " l_suppkey % 7 AS ws_web_site_sk, l_partkey % 30 AS ws_web_page_sk,")
     f["src_store_returns"] = _returns(
-        0, "sr", dict(time="return_time_sk", customer="customer_sk", addr="addr_sk", order="ticket_number", amount="return_amt", credit="store_credit"),
+        d, 0, "sr", dict(time="return_time_sk", customer="customer_sk", addr="addr_sk", order="ticket_number", amount="return_amt", credit="store_credit"),
         "l_suppkey AS sr_store_sk,")
     f["src_catalog_returns"] = _returns(
-        1, "cr", dict(time="returned_time_sk", customer="refunded_customer_sk", addr="refunded_addr_sk", order="order_number", amount="return_amount", credit="store_credit"),
+        d, 1, "cr", dict(time="returned_time_sk", customer="refunded_customer_sk", addr="refunded_addr_sk", order="order_number", amount="return_amount", credit="store_credit"),
         "o_custkey AS cr_returning_customer_sk, l_suppkey % 5 AS cr_call_center_sk, l_partkey % 50 AS cr_catalog_page_sk, CAST(l_linenumber AS INT) AS cr_ship_mode_sk, l_suppkey AS cr_warehouse_sk,")
     f["src_web_returns"] = _returns(
-        2, "wr", dict(time="returned_time_sk", customer="refunded_customer_sk", addr="refunded_addr_sk", order="order_number", amount="return_amt", credit="account_credit"),
+        d, 2, "wr", dict(time="returned_time_sk", customer="refunded_customer_sk", addr="refunded_addr_sk", order="order_number", amount="return_amt", credit="account_credit"),
         "o_custkey AS wr_returning_customer_sk, l_partkey % 30 AS wr_web_page_sk,")
     f["src_inventory"] = """
 SELECT CASE WHEN (l_partkey + l_suppkey) % 211 <> 0 THEN sold_sk END AS inv_date_sk, l_partkey AS inv_item_sk,
@@ -324,14 +328,21 @@ class Star:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._lines: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def lines(self) -> DataFrame:
+        """The joined lines behind ten feeds, written once."""
+        if self._lines is None:
+            self._lines = settle(self.feed("src_line"), "src_line")
+        return self._lines
+
     def feed(self, name: str) -> DataFrame:
         text = feeds(SPARK)[name]
         wanted = [n for n in (*TABLES, *feeds(SPARK)) if "{" + n + "}" in text]
-        return self.spark.sql(text, **{n: self[n] for n in wanted})
+        return self.spark.sql(text, **{n: self.lines() if n == "src_line" else self[n] for n in wanted})
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.table(name) if name in TABLES else self.feed(name)
