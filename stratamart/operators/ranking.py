@@ -25,26 +25,26 @@ def _before(totals: DataFrame, groups: Sequence[str], n: str, out: str) -> DataF
 
 def rank_within(
     df: DataFrame, groups: Sequence[str], value: str, rank_as: str,
-    descending: bool = True, percent_rank_as: str | None = None,
+    descending: bool = True, percent_rank_as: str | None = None, counted_from: DataFrame | None = None,
 ) -> DataFrame:
     """Add rank() of ``value`` within ``groups`` (and percent_rank in the opposite order).
 
     Equal values are collapsed to one counted row first, so a value shared by a
     third of the group is one row here and an ordinary (skew-splittable) join key
     on the way back. The percent rank is taken ascending when the rank is
-    descending, NULLs lowest in both.
+    descending, NULLs lowest in both. ``counted_from`` may name a cheaper frame
+    with the same rows to count the values in, such as the table ``df`` was built on.
     """
     ensure_checkpoint_dir(df.sparkSession)
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_first()
     ordered = (
-        df.groupBy(*groups, value).agg(F.count("*").alias("__n"))
+        (counted_from or df).groupBy(*groups, value).agg(F.count("*").alias("__n"))
         .repartitionByRange(*groups, order)
         .checkpoint()
         .withColumn("__part", F.spark_partition_id())
     )
     totals = ordered.groupBy("__part", *groups).agg(F.sum("__n").alias("__tn"))
     starts = _before(totals, groups, "__tn", "__start")
-    sizes = totals.groupBy(*groups).agg(F.sum("__tn").alias("__size"))
     inside = Window.partitionBy("__part", *groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = ordered.withColumn("__ahead", F.coalesce(F.sum("__n").over(inside), F.lit(0)))
 
@@ -54,16 +54,16 @@ def rank_within(
             cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
         return cond
 
-    placed = (
-        local.alias("l")
-        .join(starts.alias("s"), same("l", "s", ["__part", *groups]))
-        .join(sizes.alias("z"), same("l", "z", groups))
-        .select(
-            *(F.col(f"l.{g}").alias(g) for g in groups), F.col(f"l.{value}").alias(value),
-            (F.col("s.__start") + F.col("l.__ahead") + 1).alias("__rank"),
-            F.col("l.__n").alias("__n"), F.col("z.__size").alias("__size"),
-        )
-    )
+    placed = local.alias("l").join(starts.alias("s"), same("l", "s", ["__part", *groups]))
+    found = [
+        *(F.col(f"l.{g}").alias(g) for g in groups), F.col(f"l.{value}").alias(value),
+        (F.col("s.__start") + F.col("l.__ahead") + 1).alias("__rank"),
+    ]
+    if percent_rank_as:
+        sizes = totals.groupBy(*groups).agg(F.sum("__tn").alias("__size"))
+        placed = placed.join(sizes.alias("z"), same("l", "z", groups))
+        found += [F.col("l.__n").alias("__n"), F.col("z.__size").alias("__size")]
+    placed = placed.select(*found)
     out = df.alias("d").join(placed.alias("p"), same("d", "p", [*groups, value]))
     cols = [F.col(f"d.{c}") for c in df.columns] + [F.col("p.__rank").alias(rank_as)]
     if percent_rank_as:
