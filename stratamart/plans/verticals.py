@@ -1,4 +1,4 @@
-"""Industry summaries. Each has a DataFrame form here and a SQL form in ``SQL_FORMS``; both give the same rows.
+"""Industry summaries. All have a DataFrame form; those whose windows scale also have a SQL form with the same rows.
 
 Written tables keep no order, so nothing is sorted here: reports sort on read.
 """
@@ -188,8 +188,23 @@ SQL_FORMS = {
 }
 
 
-def sql_form(spark: SparkSession, name: str, source: DataFrame) -> DataFrame:
-    return spark.sql(SQL_FORMS[name], source=source)
+SQL_FORMS["channel_revenue_summary"] = """
+    WITH lines AS (
+      SELECT 'store' AS channel, ss_sold_date_sk AS date_sk, ss_promo_sk AS promo_sk, ss_ext_sales_price AS price, ss_net_profit AS profit FROM {store}
+      UNION ALL SELECT 'catalog', cs_sold_date_sk, cs_promo_sk, cs_ext_sales_price, cs_net_profit FROM {catalog}
+      UNION ALL SELECT 'web', ws_sold_date_sk, ws_promo_sk, ws_ext_sales_price, ws_net_profit FROM {web}),
+    daily AS (
+      SELECT channel, date_sk, promo_sk, count(*) AS n, sum(price) AS price, sum(profit) AS profit FROM lines GROUP BY channel, date_sk, promo_sk),
+    yearly AS (
+      SELECT channel, d_year, sum(n) AS line_item_count, sum(price) AS total_revenue, sum(profit) AS total_profit,
+        sum(CASE WHEN p_promo_sk IS NOT NULL THEN price ELSE 0 END) AS promo_revenue
+      FROM daily LEFT JOIN {dates} ON date_sk = d_date_sk LEFT JOIN {promotions} ON promo_sk = p_promo_sk GROUP BY channel, d_year)
+    SELECT channel, d_year, line_item_count, total_revenue, total_profit, round(total_profit * 100 / nullif(total_revenue, 0), 1) AS profit_margin_pct,
+      round(promo_revenue * 100 / nullif(total_revenue, 0), 1) AS promo_revenue_share_pct FROM yearly"""
+
+
+def sql_form(spark: SparkSession, name: str, **sources: DataFrame) -> DataFrame:
+    return spark.sql(SQL_FORMS[name], **sources)
 
 
 # --- checks and dashboards ---------------------------------------------------------------------

@@ -87,7 +87,10 @@ for _name, (_shape, _rel, _build) in SUMMARIES.items():
 _SQL_SOURCE = {"crop_yield_trend": crops, "drug_safety_signal": lambda c: c["src_adverse"], "fraud_risk_by_bucket": lambda c: c["src_cards"], "trial_pipeline_health": lambda c: c["src_trials"]}
 for _name, _source in _SQL_SOURCE.items():
     query(f"{_name}_sql", SUMMARIES[_name][0], f"SELECT * FROM {{{SUMMARIES[_name][1]}}}")(
-        lambda ctx, n=_name, s=_source: v.sql_form(ctx.spark, n, s(ctx)))
+        lambda ctx, n=_name, s=_source: v.sql_form(ctx.spark, n, source=s(ctx)))
+query("channel_revenue_summary_sql", _CHANNEL, "SELECT * FROM {v_channel}")(lambda ctx: v.sql_form(
+    ctx.spark, "channel_revenue_summary", store=ctx["src_store_sales"], catalog=ctx["src_catalog_sales"], web=ctx["src_web_sales"],
+    dates=ctx["src_date_dim"], promotions=ctx["src_promotion"]))
 
 
 def _verify(ctx: Context):
