@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm import mixing, ngram_join, quality, toxicity, warc
+from stratamart.llm import decontaminate, mixing, ngram_join, quality, toxicity, warc
 from stratamart.llm.common import fold_of, table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item: a row per pair."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document under a Jaccard similarity of 0.85 on 4-word shingles."""
     joined = ngram_join.join_documents(table(spark, sf_dir, "documents", "doc_id", "text"), width=4, percent=85)
@@ -44,6 +49,6 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_ngram_join": op2_ngram_join, "op3_warc": op3_warc, "op5_mix": op5_mix, "op7_quality": op7_quality, "op9_toxicity": op9_toxicity,
+    "op1_decontaminate": op1_decontaminate, "op2_ngram_join": op2_ngram_join, "op3_warc": op3_warc, "op5_mix": op5_mix, "op7_quality": op7_quality, "op9_toxicity": op9_toxicity,
 }
 SQL: dict[str, str] = {"op3_warc": warc.OP3_SQL, "op5_mix": mixing.OP5_SQL}

@@ -89,7 +89,7 @@ def test_edges_and_one_of_each(spark, frame):
     assert kept.columns == docs.columns
     assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect() if r["text"] and r["text"].strip()) == sorted(
         [("5", "A B c d e f g h"), ("7", "x y"), ("9", long), ("None", "alone with no number at all here"), ("11", "q r s t u v w x y")])
-    assert kept.filter("text is null or trim(text, ' \n\t') = ''").count() == 3
+    assert sum(not (r["text"] or "").strip() for r in kept.collect()) == 3
     assert J.join_documents(frame([]), 4, 85).count() == 0 and J.keep_one(frame([])).count() == 0
 
 
