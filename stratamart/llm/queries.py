@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm import decontaminate, mixing, ngram_join, quality, toxicity, warc
+from stratamart.llm import decontaminate, mixing, ngram_join, quality, secrets, toxicity, warc
 from stratamart.llm.common import fold_of, table
 
 
@@ -33,6 +33,15 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_rows(table(spark, sf_dir, "documents", "doc_id", "text", "source")).select("doc_id", "size", "source", "source_size", "target", "taken")
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document: counts and places of the base patterns, and all spans."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = secrets.scan(docs, secrets.train(docs))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *(of(k).alias(f"n_{k}") for k in secrets.KINDS), F.sha2(secrets.joined(F.col("spans"), secrets.KINDS[:3]), 256).alias("base_sha256"),
+                        secrets.joined(F.col("spans"), secrets.KINDS).alias("spans"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rule ledger of every document and the verdict of the prose policy."""
     book = quality.ledger(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -49,6 +58,6 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_decontaminate": op1_decontaminate, "op2_ngram_join": op2_ngram_join, "op3_warc": op3_warc, "op5_mix": op5_mix, "op7_quality": op7_quality, "op9_toxicity": op9_toxicity,
+    "op1_decontaminate": op1_decontaminate, "op2_ngram_join": op2_ngram_join, "op3_warc": op3_warc, "op5_mix": op5_mix, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op9_toxicity": op9_toxicity,
 }
 SQL: dict[str, str] = {"op3_warc": warc.OP3_SQL, "op5_mix": mixing.OP5_SQL}
