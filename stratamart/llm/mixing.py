@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import settle_at, word_count
+from stratamart.llm.common import word_count
+from stratamart.llm.ranges import prefix_sums
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
@@ -51,20 +52,6 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     return leveled.select("u_source", "source_size", F.when(F.col("full"), F.col("cap")).otherwise(F.col("weight") * water).alias("target"))
 
 
-def prefix_sums(df: DataFrame, group: Column, order: list[Column], value: Column) -> DataFrame:
-    """df with ``before``: the sum of value over the rows of its group that precede it in order, computed by ranges."""
-    ranged = df.withColumn("p_group", group).repartitionByRange(F.col("p_group"), *order).withColumn("p_range", F.spark_partition_id()).withColumn("p_value", value)
-    ranged, _ = settle_at(ranged, "ranges")  # the ranges must not move between the two uses
-    here = ["p_group", "p_range"]
-    # a row for each (group, range) that meet: at most as many as groups and ranges together
-    totals = ranged.groupBy(*here).agg(F.sum("p_value").alias("p_total"))
-    earlier = Window.partitionBy("p_group").orderBy("p_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*here, F.coalesce(F.sum("p_total").over(earlier), F.lit(0)).alias("p_offset"))
-    within = Window.partitionBy(*here).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    running = ranged.withColumn("p_within", F.coalesce(F.sum("p_value").over(within), F.lit(0)))
-    return running.join(offsets, here).withColumn("before", F.col("p_offset") + F.col("p_within")).drop(*here, "p_offset", "p_within", "p_value")
-
-
 def mix_plan(docs: DataFrame, size: Column | None = None, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
              seed: str = SEED) -> DataFrame:
     """One row per unit: u_doc, u_source, u_size, u_rows, source_size, target, epochs and taken, the last per row."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm import decontaminate, mixing, ngram_join, quality, secrets, toxicity, warc
+from stratamart.llm import decontaminate, mixing, ngram_join, quality, quoting, secrets, toxicity, url_lists, warc
 from stratamart.llm.common import fold_of, table
 
 
@@ -49,6 +49,14 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                        quality.passes("prose-1").alias("kept"), "failed")
 
 
+def op8_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every page as of its fetch time, under list histories drawn from the pages' hosts."""
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    judged = url_lists.judge(url_lists.fetched(pages), url_lists.history(pages))
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return judged.select("page_id", "host", stamp("fetched_at"), "verdict", "list_name", "pattern", stamp("valid_from"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; two of three folds of the labels train."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -57,7 +65,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op10_quoting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns, turned into messages with nested quotes, linked and ordered again without them."""
+    messages = quoting.quoting_messages(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return quoting.conversations(messages).withColumnsRenamed({"thread": "conv_id", "ordinal": "turn"})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_decontaminate": op1_decontaminate, "op2_ngram_join": op2_ngram_join, "op3_warc": op3_warc, "op5_mix": op5_mix, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op9_toxicity": op9_toxicity,
+    "op1_decontaminate": op1_decontaminate, "op2_ngram_join": op2_ngram_join, "op3_warc": op3_warc, "op5_mix": op5_mix, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op8_url_lists": op8_url_lists,
+    "op9_toxicity": op9_toxicity, "op10_quoting": op10_quoting,
 }
-SQL: dict[str, str] = {"op3_warc": warc.OP3_SQL, "op5_mix": mixing.OP5_SQL}
+SQL: dict[str, str] = {"op3_warc": warc.OP3_SQL, "op5_mix": mixing.OP5_SQL, "op8_url_lists": url_lists.OP8_SQL, "op10_quoting": quoting.OP10_SQL}
