@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import atexit
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +57,29 @@ def free(spark: SparkSession, path: str) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
     except Exception:  # at exit the session may be gone; the folder's owner clears it then
         pass
+
+
+def _add_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    parts: dict[int, np.ndarray] = {}
+    n = 0
+    for batch in batches:
+        for row, count, part in zip(batch["row"], batch["n"], batch["part"], strict=True):
+            n += count
+            if row >= 0:
+                more = np.frombuffer(part, dtype=np.float32).astype(np.float64)
+                parts[row] = parts[row] + more if row in parts else more
+    yield pd.DataFrame({"row": [-1, *parts], "n": [n, *(0 for _ in parts)], "part": [b"", *(p.tobytes() for p in parts.values())]})
+
+
+def add_vectors(made: DataFrame) -> tuple[int, dict[int, np.ndarray]]:
+    """Add up what tasks emit: (row, n, part) with parts of float32 by row, and n counted. The sums come to the driver.
+
+    A vector is cut into rows, so its pieces add up in different tasks, one batch at a time. The caller's vectors have a
+    length that does not follow the data.
+    """
+    n, parts = 0, {}
+    for r in made.repartition("row").mapInPandas(_add_parts, "row int, n long, part binary").collect():
+        n += r["n"]
+        if r["row"] >= 0:
+            parts[r["row"]] = np.frombuffer(bytes(r["part"]), dtype=np.float64)
+    return n, parts

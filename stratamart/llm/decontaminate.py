@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.llm.common import add_vectors
+
 HALF = 32  # words of half a window; windows overlap by it
 PASSAGE = 96  # words of a benchmark passage at most
 MIN_WORDS = 8
@@ -197,18 +199,6 @@ def _add_products(ids: np.ndarray, blocks: np.ndarray, col: np.ndarray, sign: np
         edge = end
 
 
-def _add_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    parts: dict[int, np.ndarray] = {}
-    n = 0
-    for batch in batches:
-        for row, count, part in zip(batch["row"], batch["n"], batch["part"], strict=True):
-            n += count
-            if row >= 0:
-                more = np.frombuffer(part, dtype=np.float32).astype(np.float64)
-                parts[row] = parts[row] + more if row in parts else more
-    yield pd.DataFrame({"row": [-1, *parts], "n": [n, *(0 for _ in parts)], "part": [b"", *(p.tobytes() for p in parts.values())]})
-
-
 def fit_space(docs: DataFrame, passages: list[Passage], rank: int = RANK, seed: int = 11) -> Space:
     """Counts and randomised SVD over all passages of docs (text) and of the benchmark."""
     often = Counter(w for p in passages for w in p.counts)
@@ -223,13 +213,12 @@ def fit_space(docs: DataFrame, passages: list[Passage], rank: int = RANK, seed:
     col[rng.permutation(len(vocab))[:width]] = np.arange(width)  # no empty column
     sign = rng.choice([-1.0, 1.0], len(vocab))
     made = docs.select("text").mapInPandas(_sketch(space, col, sign, width), "row int, n long, part binary")
-    total, seen, n = np.zeros((len(vocab), width)), np.zeros(len(vocab)), 0
-    for r in made.repartition("row").mapInPandas(_add_parts, "row int, n long, part binary").collect():  # vocab x width numbers in all
-        n += r["n"]
-        if r["row"] >= 0:
-            part = np.frombuffer(bytes(r["part"]), dtype=np.float64).reshape(-1, width + 1)
-            seen[r["row"]:r["row"] + len(part)] += part[:, 0]
-            total[r["row"]:r["row"] + len(part)] += part[:, 1:]
+    total, seen = np.zeros((len(vocab), width)), np.zeros(len(vocab))
+    n, parts = add_vectors(made)  # vocabulary x width numbers in all
+    for row, flat in parts.items():
+        part = flat.reshape(-1, width + 1)
+        seen[row:row + len(part)] += part[:, 0]
+        total[row:row + len(part)] += part[:, 1:]
     idf = np.log((n + 2) / (seen + 1))
 
     ids = np.concatenate([[vocab[w] for w in p.words if w in vocab] for p in passages]).astype(np.int64)

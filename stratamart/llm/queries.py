@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm import decontaminate, mixing, ngram_join, quality, quoting, secrets, toxicity, url_lists, warc
+from stratamart.llm import decontaminate, lm, mixing, ngram_join, quality, quoting, secrets, toxicity, url_lists, warc
 from stratamart.llm.common import fold_of, table
 
 
@@ -28,6 +28,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_ok")
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log10 probability of every document under a model of nine of ten documents."""
+    return lm.score_all(table(spark, sf_dir, "documents", "doc_id", "text"), fold_of(F.col("doc_id"), 10) == 0)
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mixed_rows(table(spark, sf_dir, "documents", "doc_id", "text", "source")).select("doc_id", "size", "source", "source_size", "target", "taken")
@@ -72,7 +77,7 @@ def op10_quoting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_decontaminate": op1_decontaminate, "op2_ngram_join": op2_ngram_join, "op3_warc": op3_warc, "op5_mix": op5_mix, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op8_url_lists": op8_url_lists,
+    "op1_decontaminate": op1_decontaminate, "op2_ngram_join": op2_ngram_join, "op3_warc": op3_warc, "op4_lm": op4_lm, "op5_mix": op5_mix, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op8_url_lists": op8_url_lists,
     "op9_toxicity": op9_toxicity, "op10_quoting": op10_quoting,
 }
 SQL: dict[str, str] = {"op3_warc": warc.OP3_SQL, "op5_mix": mixing.OP5_SQL, "op8_url_lists": url_lists.OP8_SQL, "op10_quoting": quoting.OP10_SQL}
