@@ -101,9 +101,9 @@ class Lexicon:
         if self._machine is None:
             found = ahocorasick.Automaton()
             for entry, weight in self.weights.items():
-                found.add_word(entry.replace(" ", "  ") if entry.endswith(" ") else " " + entry, (entry, weight))
+                found.add_word(entry, (entry, weight))
             for phrase in self.exceptions:
-                found.add_word(f"  {'  '.join(phrase.split())}  ", (phrase, 0.0))
+                found.add_word(f" {'  '.join(phrase.split())} ", (phrase, 0.0))
             if len(found):
                 found.make_automaton()
             self._machine = found
