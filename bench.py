@@ -1,7 +1,7 @@
 """Time headline queries: one JSON line on stdout.
 
 Each time includes planning and a full evaluation into Spark's no-op sink. As in a
-layered build, the facts read landed raw tables (``bronze_land``) and the marts
+layered build, the facts read landed raw tables (``raw_feeds``) and the marts
 read silver tables (``silver_build``); both are written once and timed.
 """
 
@@ -47,7 +47,7 @@ def main() -> None:
 
     entries = all_entries()
     ctx = context(spark, FOLDER)
-    timed("bronze_land", lambda: [ctx.bronze(n) for n in RAW])
+    timed("raw_feeds", lambda: [ctx.bronze(n) for n in RAW])
     timed("silver_build", lambda: [ctx.retail.silver(n) for n in SILVER])
     for name in HEADLINE:
         run = spark_query(entries[name])

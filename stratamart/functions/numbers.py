@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+MONEY = "decimal(18,2)"  # an amount
+TOTAL = "decimal(24,2)"  # a sum of amounts, of any number of rows
 
 
 def _c(x) -> Column:
@@ -28,7 +29,12 @@ def pct(part, whole, digits: int) -> Column:
 
 def exact_sum(x) -> Column:
     """Sum of money; decimal addition does not depend on the order of the rows."""
-    return F.sum(_c(x).cast(MONEY)).cast(MONEY)
+    return F.sum(_c(x).cast(TOTAL)).cast(TOTAL)
+
+
+def rounded_sum(x, digits: int = 2) -> Column:
+    """Sum of a double, rounded once at the end; added up with six places, so that row order does not matter."""
+    return F.round(F.sum(_c(x).cast("decimal(28,6)")), digits)
 
 
 def flag_sum(x) -> Column:

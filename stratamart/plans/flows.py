@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratamart.operators import quality
@@ -131,3 +131,12 @@ def load(df: DataFrame, table: str, partition: str, strategy: str) -> None:
         t.replace_partitions(df, table)
     else:
         raise ValueError(f"unknown load strategy {strategy!r}")
+
+
+def table_summary(spark: SparkSession, table: str, key: str, rows: int = 10) -> DataFrame:
+    """The number of rows of a table, beside its first rows by key with their places."""
+    df = spark.table(table)
+    first = df.orderBy(key).limit(rows)
+    total = df.count()
+    return first.withColumn("place", F.row_number().over(Window.orderBy(key))).withColumn("table_name", F.lit(table.rpartition(".")[2])).select(
+        "*", F.lit(total).alias("total"))

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratamart.functions import exact_mean, exact_sum, nz, parse_date, parse_number
+from stratamart.functions import exact_mean, exact_sum, nz, parse_date, parse_number, rounded_sum
 from stratamart.operators.ranking import ntile_scores
 from stratamart.operators.sequence import previous_value
 from stratamart.sinks.scratch import settle
@@ -131,7 +131,7 @@ def fraud_risk_by_bucket(cards: DataFrame) -> DataFrame:
     hour = F.floor(F.pmod(F.floor("Time"), F.lit(86400)) / 3600).cast("int")
     return cards.groupBy(bucket.alias("amount_bucket"), hour.alias("hour_of_day")).agg(
         F.count("*").alias("transaction_count"), _count_where(fraud).alias("fraud_count"),
-        exact_sum(F.when(fraud, F.col("Amount")).otherwise(0.0)).cast("double").alias("total_flagged_amount"),
+        rounded_sum(F.when(fraud, F.col("Amount")).otherwise(0.0)).cast("double").alias("total_flagged_amount"),
     ).withColumn("fraud_rate_pct", _share("fraud_count", "transaction_count", 3))
 
 
@@ -172,7 +172,7 @@ SQL_FORMS = {
         SELECT *, round(fraud_count * 100.0D / transaction_count, 3) AS fraud_rate_pct FROM (
           SELECT CASE WHEN Amount < 10 THEN '0-10' WHEN Amount < 50 THEN '10-50' WHEN Amount < 100 THEN '50-100' WHEN Amount < 500 THEN '100-500' ELSE '500+' END AS amount_bucket,
             int(bigint(Time) % 86400 div 3600) AS hour_of_day, count(*) AS transaction_count, count_if(Class = '1') AS fraud_count,
-            double(sum(CASE WHEN Class = '1' THEN cast(Amount AS decimal(18,2)) ELSE 0 END)) AS total_flagged_amount
+            double(round(sum(CASE WHEN Class = '1' THEN cast(Amount AS decimal(28,6)) ELSE 0 END), 2)) AS total_flagged_amount
           FROM {source} GROUP BY ALL)""",
     "crop_yield_trend": """
         WITH cleaned AS (

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratamart.operators import quality
 from stratamart.plans import banking as bank
-from stratamart.registry.core import Context, latest_, query, relation, rnd
+from stratamart.registry.core import Context, latest_, pctn_, query, relation, rnd
 
 RUN = bank.Run("2024-01-20")
 _CCY = "('INR', 'USD', 'EUR', 'GBP', 'AED', 'SGD')"
@@ -114,8 +115,13 @@ query("bank_bronze_accounts", "account_id:s customer_id:s account_type:s branch_
       f"SELECT *, {_LINEAGE}, 'core-banking-cbs' AS _source_system, 'accounts.csv' AS _source_file FROM {{src_accounts}}")(accounts)
 query("bank_bronze_txns", "txn_id:s account_id:s txn_ts:s amount:f currency:s direction:s channel:s merchant:s country:s _batch_id:s _run_date:s _source_system:s _source_file:s",
       f"SELECT *, {_LINEAGE}, 'payments-switch' AS _source_system, 'txns.json' AS _source_file FROM {{src_txns}}")(txns)
-query("bank_txn_by_channel", "channel:s txn_count:i total_amount:f", f"SELECT channel, count(*) AS txn_count, sum({_M.format('amount')}) AS total_amount FROM {{src_txns}} GROUP BY 1")(
+query("bank_txn_by_channel", "channel:s txn_count:i total_amount:f", f"SELECT channel, count(*) AS txn_count, CAST(round(sum(CAST(amount AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_amount FROM {{src_txns}} GROUP BY 1")(
     lambda ctx: bank.txn_by_channel(txns(ctx)))
+query("dq_reconcile_strict", "outcome:s keys:i share_pct:f", f"""SELECT outcome, coalesce(n, 0) AS keys, {pctn_('coalesce(n, 0)', 'sum(n) OVER ()', 4)} AS share_pct FROM
+  (VALUES ('NULL_VALUE'), ('REJECTED'), ('UNKNOWN_ACCOUNT'), ('CLEAN')) o(outcome) LEFT JOIN (
+  SELECT CASE WHEN amount IS NULL OR currency IS NULL THEN 'NULL_VALUE' WHEN amount <= 0 OR currency NOT IN ('INR', 'USD', 'EUR', 'GBP', 'AED', 'SGD') THEN 'REJECTED'
+    WHEN account_id IS NULL OR account_id NOT IN (SELECT account_id FROM {{b_dim}} WHERE account_id IS NOT NULL) THEN 'UNKNOWN_ACCOUNT' ELSE 'CLEAN' END AS outcome, count(*) AS n FROM {{b_keyed}} GROUP BY 1) USING (outcome)""")(
+    lambda ctx: bank.txn_outcomes(keyed(ctx), dim(ctx)).withColumn("share_pct", F.round(F.col("keys") / F.sum("keys").over(Window.partitionBy()) * 100, 4)))
 query("bank_dim_account", "account_id:s customer_id:s account_type:s branch_code:s currency:s opening_balance:f status:s is_active:b opened_on:d account_age_years:f risk_band:i risk_category:s",
       "SELECT * FROM {b_dim}")(dim)
 query("bank_account_mix", "risk_category:s status:s accounts:i", "SELECT risk_category, status, count(*) AS accounts FROM {b_dim} GROUP BY 1, 2")(lambda ctx: bank.account_mix(dim(ctx)))

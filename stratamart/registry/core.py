@@ -37,11 +37,18 @@ class Context:
         return self.star[name]
 
 
-_contexts: dict[tuple[str, str], Context] = {}
+_contexts: dict[tuple[str, str, int], Context] = {}
+
+
+def _state(spark: SparkSession, folder: str) -> int:
+    """Changes when a table of the folder is written again."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return hash(tuple(sorted((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in files)))
 
 
 def context(spark: SparkSession, folder: str) -> Context:
-    key = (spark.sparkContext.applicationId, folder)
+    key = (spark.sparkContext.applicationId, folder, _state(spark, folder))
     if key not in _contexts:
         _contexts[key] = Context(spark, folder)
     return _contexts[key]

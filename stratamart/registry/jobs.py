@@ -227,8 +227,15 @@ query("sink_ledger_part", "table_name:s rule:s scope:s metric_value:i batch_id:s
       f"SELECT 'orders' AS table_name, 'rows' AS rule, 'in' AS scope, count(*) AS metric_value, '{BATCH}' AS batch_id, 'a' AS part FROM {{orders}} UNION ALL SELECT 'lineitem', 'rows', 'in', count(*), '{BATCH}', 'b' FROM {{lineitem}}")(_ledger_twice)
 query("sink_stamp", "n_nationkey:i n_name:s _gold_batch_id:s stamped:b", "SELECT n_nationkey, n_name, 'b7' AS _gold_batch_id, true AS stamped FROM {nation}")(
     lambda c: t.stamp(c["nation"], "gold", "b7").withColumn("stamped", F.col("_gold_ts").isNotNull()))
-query("sink_file_target", "o_orderdate:d files:i", "SELECT o_orderdate, greatest(1, least(24, count(*) * 1000000 // 4000000 + 1)) AS files FROM {orders} GROUP BY 1")(
-    lambda c: c["orders"].groupBy("o_orderdate").agg(F.count("*").alias("n")).withColumn("files", F.expr(f"greatest(1, least({t.MAX_FILES}, n * 1000000 div {t.ROWS_PER_FILE} + 1))")))
+def _files(c: Context):
+    """Orders written with a limit of rows per file; what the files then hold."""
+    name = f"{fresh_db(c)}.orders_in_files"
+    t.overwrite(c["orders"], name, rows_per_file=1_000)
+    held = c.spark.table(name).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    return held.agg(F.sum("n").alias("total"), F.count_if(F.col("n") > 1_000).alias("over_limit"), (F.count("*") >= F.ceil(F.sum("n") / 1_000)).alias("enough_files"))
+
+
+query("sink_file_target", "total:i over_limit:i enough_files:b", "SELECT count(*) AS total, 0 AS over_limit, true AS enough_files FROM {orders}")(_files)
 
 
 def _ddl(c: Context):
@@ -250,8 +257,8 @@ query("ddl_database", "found:b described:b", "SELECT true AS found, true AS desc
 query("cat_inspect", "table_name:s position:i column_name:s data_type:s",
       "SELECT 'mix' AS table_name, 0 AS position, 'o_orderpriority' AS column_name, 'string' AS data_type FROM {orders} LIMIT 1")(
     lambda c: t.describe(c.spark, _ddl(c)).where("table_name = 'mix' AND position = 0"))
-query("job_table_summary", "table_name:s total:i", "SELECT 'customer' AS table_name, count(*) AS total FROM {src_customer}")(
-    lambda c: c.spark.table(f"{landed(c)}.customer").agg(F.count("*").alias("total")).withColumn("table_name", F.lit("customer")))
+query("job_table_summary", "table_name:s total:i place:i c_customer_sk:i", """SELECT 'customer' AS table_name, (SELECT count(*) FROM {src_customer}) AS total, row_number() OVER (ORDER BY c_customer_sk) AS place, c_customer_sk
+  FROM (SELECT c_customer_sk FROM {src_customer} ORDER BY 1 LIMIT 10)""")(lambda c: flows.table_summary(c.spark, f"{landed(c)}.customer", "c_customer_sk"))
 query("job_table_summary_sql", "customer_id:i rfm_score:i segment:s", "SELECT customer_id, rfm_score, segment FROM {v_segments} ORDER BY rfm_score DESC, customer_id LIMIT 10")(
     lambda c: c.spark.sql("SELECT * FROM {seg} ORDER BY rfm_score DESC, customer_id LIMIT 10", seg=_segments(c)))
 

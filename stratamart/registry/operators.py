@@ -171,8 +171,11 @@ query("sort_global", "n_name:s n_regionkey:i", "SELECT n_name, n_regionkey FROM
 query("topk", "o_orderkey:i o_totalprice:f", "SELECT o_orderkey, o_totalprice FROM {orders} ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")(lambda c: c["orders"].orderBy(F.desc("o_totalprice"), "o_orderkey").limit(20))
 query("topk_abs", "c_custkey:i off_mean:f", "SELECT c_custkey, c_acctbal - 4500 AS off_mean FROM {customer} ORDER BY abs(c_acctbal - 4500) DESC, c_custkey LIMIT 15")(
     lambda c: c["customer"].withColumn("off_mean", F.col("c_acctbal") - 4500).orderBy(F.abs("off_mean").desc(), "c_custkey").limit(15))
-query("sort_within_partitions", "p_brand:s parts:i", "SELECT p_brand, count(*) AS parts FROM {part} GROUP BY 1")(
-    lambda c: c["part"].repartition("p_brand").sortWithinPartitions("p_brand").groupBy("p_brand").agg(F.count("*").alias("parts")))
+query("sort_within_partitions", "parts:i breaks:i", "SELECT count(*) AS parts, 0 AS breaks FROM {part}")(
+    lambda c: c["part"].repartition(8, "p_type").sortWithinPartitions("p_brand", "p_partkey").select(
+        "p_brand", "p_partkey", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("place")).withColumn(
+        "before", F.lag(F.struct("p_brand", "p_partkey")).over(Window.partitionBy("task").orderBy("place"))).agg(
+        F.count("*").alias("parts"), F.count_if(F.col("before") > F.struct("p_brand", "p_partkey")).alias("breaks")))
 _BOTH = "SELECT c_custkey AS id, c_name AS name FROM {customer} UNION ALL SELECT s_suppkey, s_name FROM {supplier}"
 
 

@@ -54,7 +54,7 @@ relation("v_segments", """WITH clean AS (SELECT * FROM {v_orders} WHERE invoice_
     WHEN recency_score + frequency_score + monetary_score >= 4 THEN 'At Risk' ELSE 'Lost' END AS segment FROM s""")
 relation("v_drug", f"""SELECT drug_name, reaction_term, count(*) AS report_count, count(*) FILTER (serious = '1') AS serious_count, count(*) FILTER (seriousness_death = '1') AS death_count,
   {_rate("count(*) FILTER (serious = '1')", 'count(*)', 1)} AS serious_rate_pct FROM {{src_adverse}} GROUP BY 1, 2""")
-relation("v_fraud", f"""SELECT amount_bucket, hour_of_day, count(*) AS transaction_count, count(*) FILTER (fraud) AS fraud_count, coalesce(sum(CAST(Amount AS DECIMAL(18,2))) FILTER (fraud), 0) AS total_flagged_amount,
+relation("v_fraud", f"""SELECT amount_bucket, hour_of_day, count(*) AS transaction_count, count(*) FILTER (fraud) AS fraud_count, coalesce(CAST(round(sum(CAST(Amount AS DECIMAL(28,6))) FILTER (fraud), 2) AS DOUBLE), 0) AS total_flagged_amount,
   {_rate('count(*) FILTER (fraud)', 'count(*)', 3)} AS fraud_rate_pct FROM (SELECT *, Class = '1' AS fraud, CAST(floor(Time) AS BIGINT) % 86400 // 3600 AS hour_of_day,
     CASE WHEN Amount >= 500 THEN '500+' WHEN Amount >= 100 THEN '100-500' WHEN Amount >= 50 THEN '50-100' WHEN Amount >= 10 THEN '10-50' ELSE '0-10' END AS amount_bucket FROM {{src_cards}}) GROUP BY 1, 2""")
 relation("v_readmission", f"""SELECT code AS primary_diagnosis_code, count(*) AS total_admissions, count(*) FILTER (gap <= 30) AS readmissions_within_30d, {mean_('pay', 2)} AS avg_claim_payment,

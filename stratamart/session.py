@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,16 +30,9 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only in local mode."""
-    sc = spark.sparkContext
-    folder = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="stratamart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """The folder named by spark.checkpoint.dir; where that is unset, a folder in the warehouse, which executors share too."""
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -50,5 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder for tables that outlive one query."""
-    return f"{shared_folder(spark)}/stratamart/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path for tables that outlive one query, below a folder of this application only."""
+    return f"{application_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/stratamart/{spark.sparkContext.applicationId}"

@@ -7,14 +7,22 @@ where every executor can read them and survive the loss of one.
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 
-from stratamart.session import scratch_path, shared_folder
+from stratamart.session import application_folder, scratch_path
+
+_owned: set[str] = set()  # applications whose folder is deleted at the end
 
 
 def settle(df: DataFrame, label: str = "part", partition_by: str | None = None) -> DataFrame:
     """Compute ``df`` once; the result is a plain scan of what was written."""
     path = scratch_path(df.sparkSession, label)
+    if df.sparkSession.sparkContext.applicationId not in _owned:
+        _owned.add(df.sparkSession.sparkContext.applicationId)
+        atexit.register(_at_end, df.sparkSession)
     if partition_by:
         df.hint("rebalance", partition_by).sortWithinPartitions(partition_by).write.partitionBy(partition_by).parquet(path)
     else:
@@ -23,7 +31,12 @@ def settle(df: DataFrame, label: str = "part", partition_by: str | None = None)
 
 
 def drop_scratch(spark: SparkSession) -> None:
-    """Delete everything settle() wrote, at the end of a flow."""
+    """Delete what this application wrote by settle(); other applications' tables stay. Also called when it ends."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/stratamart")
+    path = jvm.org.apache.hadoop.fs.Path(application_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _at_end(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the session may have been stopped before
+        drop_scratch(spark)

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_FILES = 24
 ROWS_PER_FILE = 4_000_000
 
 
@@ -20,11 +19,6 @@ def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def target_files(rows: int) -> int:
-    """One file per four million rows, between 1 and 24."""
-    return max(1, min(MAX_FILES, rows // ROWS_PER_FILE + 1))
-
-
 def overwrite(df: DataFrame, table: str, partition_by: Sequence[str] = (), rows_per_file: int | None = None) -> None:
     writer = df.write.mode("overwrite").format("parquet").option("compression", "snappy")
     if rows_per_file:

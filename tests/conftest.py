@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,7 @@ FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 def spark():
     session = build_session(
         "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
-        spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
+        spark__ui__showConsoleProgress="false", spark__driver__memory="8g", spark__checkpoint__dir=tempfile.mkdtemp(prefix="stratamart-tests-"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
