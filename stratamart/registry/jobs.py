@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.operators import quality
@@ -14,7 +16,7 @@ from stratamart.registry.core import Context, query, relation
 from stratamart.session import scratch_path
 from stratamart.sinks import tables as t
 from stratamart.sources import readers, shapes
-from stratamart.sources.defects import inject_defects
+from stratamart.sources.defects import RULES, hit, inject_defects, slices
 from stratamart.sources.landing import ingest, land
 
 BATCH = "batch_20240120"
@@ -91,6 +93,22 @@ query("src_defect_injection", "clean_rows:i lost_keys:i replays_near_rate:b null
       "SELECT count(*) AS clean_rows, 0 AS lost_keys, true AS replays_near_rate, true AS nulls_near_rate, true AS negatives_near_rate FROM {src_store_sales} WHERE ss_net_paid IS NOT NULL AND ss_quantity > 0 AND ss_item_sk IS NOT NULL")(_defects)
 
 
+def _damage(c: Context):
+    """Per rule: rows of its feed, and whether the rows that it hits are near its rate."""
+    parts = []
+    for feed in sorted({r.feed for r in RULES}):
+        clean = c[f"src_{feed}"]
+        rules = [(r, start) for r, start in slices(feed) if r.column in clean.columns]
+        counted = clean.agg(F.count("*").alias("n"), *(F.count_if(hit(clean.columns, r, start)).alias(f"h{k}") for k, (r, start) in enumerate(rules)))
+        parts.append(counted.select(F.inline(F.array(*(F.struct(F.lit(r.feed).alias("feed"), F.lit(r.column).alias("column_name"), F.lit(r.kind).alias("kind"), F.col("n").alias("feed_rows"),
+            (F.abs(F.col(f"h{k}") - F.col("n") * r.rate / 1e4) <= 4 * F.sqrt(F.col("n") * r.rate / 1e4) + 3).alias("near_rate")) for k, (r, _) in enumerate(rules))))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+query("src_defect_rules", "feed:s column_name:s kind:s feed_rows:i near_rate:b", " UNION ALL ".join(
+    f"SELECT '{r.feed}' AS feed, '{r.column}' AS column_name, '{r.kind}' AS kind, count(*) AS feed_rows, true AS near_rate FROM {{src_{r.feed}}}" for r in RULES))(_damage)
+
+
 # --- landing ----------------------------------------------------------------------------------
 SYSTEMS = {"store_sales": "pos", "web_sales": "web-shop", "customer": "crm", "item": "merch-erp"}
 
@@ -103,6 +121,25 @@ def landed(ctx: Context) -> str:
     return ctx.landed_db
 
 
+def _landed_dirty(c: Context):
+    """Rows of each extract landed with defects, and that its distinct keys are all there."""
+    db = fresh_db(c, "dirty")
+    land(c.spark, {n: c[f"src_{n}"] for n in KEYS}, db, SYSTEMS, BATCH, dirty=True)
+    parts = []
+    for n, keys in KEYS.items():
+        source, held = c[f"src_{n}"], c.spark.table(f"{db}.{n}")
+        counted = quality.side_by_side(source.agg(F.count("*").alias("feed_rows")), held.agg(F.count("*").alias("m"), F.count_distinct(F.struct(*keys)).alias("distinct_keys")))
+        rate = (F.col("m") - F.col("feed_rows")) / F.col("feed_rows")
+        parts.append(counted.select(F.lit(n).alias("table_name"), "feed_rows", "distinct_keys", rate.between(0.004, 0.035).alias("replays_near_rate")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+KEYS = {"store_sales": ["ss_item_sk", "ss_ticket_number"], "customer": ["c_customer_sk"], "item": ["i_item_sk"]}
+query("bronze_land_dirty", "table_name:s feed_rows:i distinct_keys:i replays_near_rate:b", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS feed_rows, count(DISTINCT {', '.join(k)}) AS distinct_keys, true AS replays_near_rate FROM {{src_{n}}}" if len(k) == 1 else
+    f"SELECT '{n}' AS table_name, count(*) AS feed_rows, count(DISTINCT ({', '.join(k)})) AS distinct_keys, true AS replays_near_rate FROM {{src_{n}}}" for n, k in KEYS.items()))(_landed_dirty)
+
+
 _LANDED = " UNION ALL ".join(f"SELECT '{n}' AS table_name, '{s}' AS _source_system, '{BATCH}' AS _batch_id, '{n}.parquet' AS _source_file, count(*) AS rows FROM {{src_{n}}}" for n, s in SYSTEMS.items())
 
 

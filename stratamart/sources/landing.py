@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.sinks.tables import create_database, overwrite
+from stratamart.sources.defects import inject_defects
 
 AUDIT = ("_source_system", "_source_file", "_batch_id", "_ingest_ts")
 
@@ -25,11 +26,11 @@ def with_lineage(df: DataFrame, system: str, file: str, batch_id: str, run_date:
     })
 
 
-def land(spark: SparkSession, extracts: dict[str, DataFrame], database: str, systems: dict[str, str], batch_id: str, location: str | None = None) -> None:
-    """Land every extract; file sizes are bounded by rows per file rather than by counting first."""
+def land(spark: SparkSession, extracts: dict[str, DataFrame], database: str, systems: dict[str, str], batch_id: str, location: str | None = None, dirty: bool = False) -> None:
+    """Land every extract, with injected defects if asked; file sizes are bounded by rows per file rather than by counting first."""
     create_database(spark, database, "Raw landing layer with an audit trail", location)
     for name, df in extracts.items():
-        stamped = with_audit(df, systems.get(name, "unknown"), f"{name}.parquet", batch_id)
+        stamped = with_audit(inject_defects(name, df) if dirty else df, systems.get(name, "unknown"), f"{name}.parquet", batch_id)
         overwrite(stamped, f"{database}.{name}", rows_per_file=4_000_000)
 
 
