@@ -58,7 +58,7 @@ def op8_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every page as of its fetch time, under list histories drawn from the pages' hosts."""
     pages = table(spark, sf_dir, "pages", "page_id", "url")
     judged = url_lists.judge(url_lists.fetched(pages), url_lists.history(pages))
-    stamp = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    stamp = lambda c: F.date_format(F.to_utc_timestamp(c, F.current_timezone()), "yyyy-MM-dd HH:mm:ss").alias(c)
     return judged.select("page_id", "host", stamp("fetched_at"), "verdict", "list_name", "pattern", stamp("valid_from"))
 
 

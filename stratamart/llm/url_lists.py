@@ -103,7 +103,7 @@ OP8_SQL = r"""
 WITH urls AS (
   SELECT page_id, url, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1)), '^www\.|\.$', '') AS host,
     list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/'), lambda x: length(x) > 0) AS parts,
-    to_timestamp(1704067200 + ('0x' || substr(md5(coalesce(CAST(page_id AS VARCHAR), '')), 1, 6))::BIGINT % 31622400)::TIMESTAMP AS fetched_at
+    make_timestamp((1704067200 + ('0x' || substr(md5(coalesce(CAST(page_id AS VARCHAR), '')), 1, 6))::BIGINT % 31622400) * 1000000) AS fetched_at
   FROM pages),
 hosts AS (
   SELECT host, ('0x' || substr(md5(host), 1, 6))::BIGINT % 300 AS d, ('0x' || substr(md5(host), 7, 6))::BIGINT % 120 + 1 AS g,
@@ -116,7 +116,7 @@ held AS (
   UNION ALL SELECT 'sections', 'allow', host || '/en', g, g + d FROM hosts WHERE pick = 1 AND d > 0
   UNION ALL SELECT 'domains', 'block', s, d, d + 30 FROM domains),
 dated AS (
-  SELECT list_name, verdict, pattern, to_timestamp(1704067200 + a * 86400)::TIMESTAMP AS valid_from, to_timestamp(1704067200 + b * 86400)::TIMESTAMP AS valid_to FROM held),
+  SELECT list_name, verdict, pattern, make_timestamp((1704067200 + a * 86400) * 1000000) AS valid_from, make_timestamp((1704067200 + b * 86400) * 1000000) AS valid_to FROM held),
 hits AS (
   SELECT u.page_id, h.* FROM urls u JOIN dated h ON u.fetched_at >= h.valid_from AND (h.valid_to IS NULL OR u.fetched_at < h.valid_to)
     AND (u.host = h.pattern OR ends_with(u.host, '.' || h.pattern) OR (len(u.parts) > 0 AND u.host || '/' || u.parts[1] = h.pattern))),
