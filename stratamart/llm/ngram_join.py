@@ -8,13 +8,16 @@ far as its signatures withstand m losses:
 * frequent shingles are dealt by hash into subclasses, and every pair inside a subclass is a signature, so a subclass of
   c shingles withstands c - 1 losses. Pairs of frequent shingles are rare again.
 
-Two sets above the threshold therefore share a signature. The number of subclasses follows the size of a set, by levels;
+Two sets above the threshold therefore share a signature. The smaller set of two can lose less than m, so it only needs to
+bring the first part of its signatures (``least``), and pairs that share others alone are no candidates; of equal sizes
+the one with more rare shingles takes that part. The number of subclasses follows the size of a set, by levels;
 a set near a level's edge is indexed under both. How frequent a shingle is comes from a count of all shingles of all
 documents in a table of fixed size: it steers cost, never the result.
 
-Signatures that only one class has are dropped. On the rest, each class is compared exactly with the hub of each of its
-signatures, connected classes are joined, and what lies in different components and still shares a signature is compared
-in the last round pair by pair. So a group of near copies costs as many comparisons as it has members, and no link
+Signatures that only one class has are dropped, and of signatures that the same classes have, one stays. On the rest, each
+class is compared with the hub of each of its signatures, first by counts in buckets, which bound what two sets share,
+then exactly; connected classes are joined, and what lies in different components and still shares a signature is compared
+in the last round pair by pair. So a group of near copies costs about as many comparisons as it has members, and no link
 between components is lost.
 
 Edge cases, all defined: NULL or blank texts have an empty set and no partner; texts shorter than a shingle are one
@@ -36,9 +39,11 @@ from pyspark.sql import functions as F
 
 from stratamart.llm.common import free, settle_at, words_of
 
-SKETCH_BITS = 20  # counters of the frequency table; its size does not follow the data
+SKETCH_BITS = 22  # counters of the frequency table; its size does not follow the data
 BLOCK_BITS = 14
 FIRST_LEVEL = 6
+PROFILE = 1024  # buckets of a set's profile
+TEXT_BUCKETS = 1 << 20  # bound of what is broadcast to find the texts of candidates
 _U = np.uint64
 _M = _U(0x9E3779B97F4A7C15)
 _M2 = _U(0xC2B2AE3D27D4EB4F)
@@ -89,51 +94,68 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(a) + len(b) - shared)
 
 
+def profile(h: np.ndarray) -> np.ndarray:
+    """How many shingles of a set fall into each bucket, at most 255 a bucket."""
+    return np.minimum(np.bincount((h >> _U(32)).astype(np.int64) % PROFILE, minlength=PROFILE), 255).astype(np.uint8)
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, percent: int) -> bool:
+    """False only if the profiles leave too little to share: of each bucket, at most the smaller count is common."""
+    low = np.minimum(a, b).astype(np.int64)
+    shared = int(low.sum()) if low.max(initial=0) < 255 else min(n_a, n_b)  # a full bucket may hold more
+    return (100 + percent) * shared >= percent * (n_a + n_b)
+
+
 def _level(n: int) -> int:
     return max(0, (n // FIRST_LEVEL).bit_length() - 1)
 
 
-def signatures(h: np.ndarray, counts: np.ndarray, limit: int, percent: int) -> np.ndarray:
-    """The signatures of a set's prefix. counts: how often each shingle's counter was hit; frequent beyond limit."""
+def signatures(h: np.ndarray, counts: np.ndarray, limit: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of a set's prefix, and which of them stand where the partner is not smaller.
+
+    counts: how often each shingle's counter was hit; a shingle is frequent beyond limit.
+    """
     n = len(h)
     losses = n - needed(n, percent)
     if losses == 0 and 100 * n < percent * (n + 1):
-        return np.empty(0, dtype=_U)  # one more or less is too much already: such a set only equals its copies
+        return np.empty(0, dtype=_U), np.empty(0, dtype=bool)  # one more or less is too much already: such a set only equals its copies
+    few = n - (2 * percent * n + 99 + percent) // (100 + percent)  # losses to a partner of the same size or larger
     rare = counts <= limit
     alone, often = h[rare], h[~rare]
+    alone = alone[np.argsort(counts[rare], kind="stable")]
     if len(alone) > losses:
-        return _mix(alone[np.argsort(counts[rare], kind="stable")[:losses + 1]])
-    parts = [_mix(alone)]
+        return _mix(alone[:losses + 1]), np.arange(losses + 1) <= few
+    parts, flags = [_mix(alone)], [np.arange(len(alone)) <= few]
     spread = _mix(often * _M)
     for level in {_level(needed(n, percent)), _level(n), _level(100 * n // percent)}:
         classes = max(1, (FIRST_LEVEL << level) // 2)
         sub = spread % _U(classes)
         order = np.argsort(sub, kind="stable")
         sub, token = sub[order], often[order]
-        same = sub[1:] == sub[:-1]
-        end = int(np.searchsorted(np.cumsum(same), losses + 1 - len(alone))) + 2
+        covered = np.cumsum(sub[1:] == sub[:-1])
+        end = int(np.searchsorted(covered, losses + 1 - len(alone))) + 2
+        short = int(np.searchsorted(covered, few + 1 - len(alone))) + 2 if len(alone) <= few else 0
         sub, token = sub[:end], token[:end]
         for k in range(1, len(token)):
             pairs = np.flatnonzero(sub[k:] == sub[:-k])
             if not len(pairs):
                 break
             parts.append(_mix((token[pairs] * _M) ^ (token[pairs + k] * _M2) ^ _U(level + 1)))
-    return np.unique(np.concatenate(parts))
+            flags.append(pairs + k < short)
+    return np.concatenate(parts), np.concatenate(flags)
 
 
 def _sets_and_counts(width: int, bits: int):
     """Per document its id, text hash, size and class; at a task's end, blocks of the counts of all its shingles."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(1 << bits, dtype=np.int64)
+        counts = np.zeros(1 << bits, dtype=np.uint32)
         for batch in batches:
-            sizes, classes, held = [], [], []
+            sizes, classes = [], []
             for text in batch["text"]:
                 h = shingles(text, width)
                 sizes.append(len(h))
                 classes.append(class_of(h))
-                held.append((h & _U((1 << bits) - 1)).astype(np.int64))
-            if held:
-                counts += np.bincount(np.concatenate(held), minlength=1 << bits)
+                np.add.at(counts, (h & _U((1 << bits) - 1)).astype(np.int64), np.uint32(1))
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"].astype("Int64"), "n": pd.Series(sizes, dtype="Int64"),
                                 "cls": pd.Series(classes, dtype="Int64"), "block": pd.Series([None] * len(batch), dtype="Int32"), "counts": None})
         step = 1 << min(BLOCK_BITS, bits)
@@ -149,7 +171,7 @@ def _add_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch["block"], batch["counts"], strict=True):
-            part = np.frombuffer(zlib.decompress(counts), dtype=np.int64)
+            part = np.frombuffer(zlib.decompress(counts), dtype=np.uint32).astype(np.int64)
             total[block] = total[block] + part if block in total else part
     yield pd.DataFrame({"block": pd.Series(list(total), dtype="int32"), "counts": [zlib.compress(c.tobytes(), 1) for c in total.values()]})
 
@@ -173,28 +195,30 @@ def _postings(width: int, percent: int, bits: int, table: np.ndarray, limit: int
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mask = _U((1 << bits) - 1)
         for batch in batches:
-            sigs, classes, sizes, held = [], [], [], 0
+            sigs, flags, classes, sizes, held = [], [], [], [], 0
             for text in batch["text"]:
                 h = shingles(text, width)
                 if not len(h):
                     continue
-                found = signatures(h, short[(h & mask).astype(np.int64)], cut, percent)
+                counts = short[(h & mask).astype(np.int64)]
+                found, flag = signatures(h, counts, cut, percent)
                 sigs.append(found)
+                flags.append(flag)
                 classes.append((class_of(h), len(found)))
-                sizes.append(len(h))
+                sizes.append((len(h), (len(h) << 31) - int((counts <= cut).sum())))
                 held += len(found)
                 if held > 1_000_000:
-                    yield _posting_frame(sigs, classes, sizes)
-                    sigs, classes, sizes, held = [], [], [], 0
+                    yield _posting_frame(sigs, flags, classes, sizes)
+                    sigs, flags, classes, sizes, held = [], [], [], [], 0
             if held:
-                yield _posting_frame(sigs, classes, sizes)
+                yield _posting_frame(sigs, flags, classes, sizes)
     return run
 
 
-def _posting_frame(sigs: list[np.ndarray], classes: list[tuple[int, int]], sizes: list[int]) -> pd.DataFrame:
+def _posting_frame(sigs: list[np.ndarray], flags: list[np.ndarray], classes: list[tuple[int, int]], sizes: list[tuple[int, int]]) -> pd.DataFrame:
     times = [k for _, k in classes]
-    return pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "cls": np.repeat(np.array([c for c, _ in classes], dtype=np.int64), times),
-                         "n": np.repeat(np.array(sizes, dtype=np.int64), times)})
+    return pd.DataFrame({"sig": np.concatenate(sigs).view(np.int64), "least": np.concatenate(flags), "cls": np.repeat(np.array([c for c, _ in classes], dtype=np.int64), times),
+                         "n": np.repeat(np.array([n for n, _ in sizes], dtype=np.int64), times), "first": np.repeat(np.array([f for _, f in sizes], dtype=np.int64), times)})
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -216,19 +240,46 @@ def components(edges: DataFrame) -> DataFrame:
         last = mark
 
 
+def _likely(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose profiles do not rule out the threshold."""
+    @F.pandas_udf("boolean")
+    def may(a: pd.Series, b: pd.Series, n_a: pd.Series, n_b: pd.Series) -> pd.Series:
+        return pd.Series([may_be_similar(np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8), m, n, percent)
+                          for x, y, m, n in zip(a, b, n_a, n_b, strict=True)], dtype="bool")
+
+    side = lambda name: profiles.select(F.col("cls").alias(name), F.col("size").alias(f"n_{name}"), F.col("profile").alias(f"p_{name}"))
+    return pairs.join(side("v"), "v").join(side("u"), "u").filter(may("p_u", "p_v", "n_u", "n_v")).select("u", "v")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets reach the threshold."""
     @F.pandas_udf("boolean")
     def reach(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([similar(np.frombuffer(x, dtype=_U), np.frombuffer(y, dtype=_U), percent) for x, y in zip(a, b, strict=True)], dtype="bool")
 
-    left = sets.select(F.col("cls").alias("u"), F.col("shingles").alias("u_set"))
-    right = sets.select(F.col("cls").alias("v"), F.col("shingles").alias("v_set"))
-    return pairs.join(right, "v").join(left, "u").filter(reach("u_set", "v_set")).select("u", "v")
+    side = lambda name: sets.select(F.col("cls").alias(name), F.col("shingles").alias(f"s_{name}"))
+    return pairs.join(side("v"), "v").join(side("u"), "u").filter(reach("s_u", "s_v")).select("u", "v")
 
 
-def _close(a: str, b: str, percent: int):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _from_texts(docs: DataFrame, members: DataFrame, classes: DataFrame, width: int, make, schema: str, label: str) -> tuple[DataFrame, str]:
+    """A settled table with what make() says of each class's shingles, from the text of one member; and its path."""
+    spark = docs.sparkSession
+    chosen, chosen_path = settle_at(members.join(classes, "cls").select("doc_id", "text_hash").distinct(), "chosen")
+    # first by a bucket of the text's hash, at most TEXT_BUCKETS numbers, so that most texts are not shuffled
+    bucket = F.pmod(F.col("text_hash"), F.lit(TEXT_BUCKETS))
+    near = docs.withColumn("bucket", bucket).join(F.broadcast(chosen.select(bucket.alias("bucket")).distinct()), "bucket", "left_semi")
+    texts = near.select("doc_id", "text", "text_hash").alias("a").join(
+        chosen.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & F.col("a.text_hash").eqNullSafe(F.col("b.text_hash"))).select(
+        "a.doc_id", "a.text_hash", "a.text").dropDuplicates(["doc_id", "text_hash"]).select("text")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [shingles(t, width) for t in batch["text"]]
+            yield pd.DataFrame({"cls": [class_of(h) for h in found], **make(found)})
+
+    made = settle_at(texts.mapInPandas(run, f"cls long, {schema}"), label)
+    free(spark, chosen_path)
+    return made
 
 
 def class_links(docs: DataFrame, sets: DataFrame, width: int, percent: int, bits: int) -> DataFrame | None:
@@ -237,55 +288,62 @@ def class_links(docs: DataFrame, sets: DataFrame, width: int, percent: int, bits
     table = _frequencies(sets, bits)
     mean = float(table.mean())
     limit = int(2 * mean + 4 * mean ** 0.5 + 8)  # a counter hit clearly more often than chance holds a frequent shingle
-    made, made_path = settle_at(docs.select("text").mapInPandas(_postings(width, percent, bits, table, limit), "sig long, cls long, n long"), "postings")
-    shared = made.groupBy("sig").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low < high").select("sig")
-    active, active_path = settle_at(made.join(shared, "sig").distinct(), "active")
+    made, made_path = settle_at(docs.select("text").mapInPandas(_postings(width, percent, bits, table, limit), "sig long, least boolean, cls long, n long, first long"), "postings")
+    # Signatures with the same classes propose the same pairs: one of them stays, with their number as its weight.
+    mark, other = F.xxhash64("cls", "least"), F.xxhash64("cls", "least", F.lit(3))
+    low32 = lambda c: F.sum(c.bitwiseAND(F.lit(0xFFFFFFFF)))  # noqa: E731  stays below 2^63 for two billion rows a signature
+    shared = made.groupBy("sig").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), low32(mark).alias("d0"), low32(F.shiftrightunsigned(mark, 32)).alias("d1"),
+                                     low32(other).alias("d2")).filter("low < high")
+    distinct = shared.groupBy("low", "high", "d0", "d1", "d2").agg(F.min("sig").alias("sig"), F.count("*").alias("weight")).select("sig", "weight")
+    found, found_path = settle_at(made.join(distinct, "sig").distinct(), "candidates")
     free(spark, made_path)
-    if active.isEmpty():
-        free(spark, active_path)
+    if found.isEmpty():
+        free(spark, found_path)
         return None
-
-    # sets of the classes that have a candidate, from one document of each
-    wanted = active.select("cls").distinct()
-    sample = sets.filter("cls is not null").select("cls", "doc_id", "text_hash").join(wanted, "cls").groupBy("cls").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("d")).select("d.doc_id", "d.text_hash").distinct()
-    texts = docs.select("doc_id", "text", "text_hash").alias("a").join(
-        sample.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & F.col("a.text_hash").eqNullSafe(F.col("b.text_hash"))).select("a.text")
-
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [shingles(t, width) for t in batch["text"]]
-            yield pd.DataFrame({"cls": pd.Series([class_of(h) for h in found], dtype="Int64"), "shingles": [h.tobytes() for h in found]})
-
-    kept, _ = settle_at(texts.mapInPandas(packed, "cls long, shingles binary").dropDuplicates(["cls"]), "sets")
-
+    # A hub is the class that shares most: the text that its near copies were made from, if it is there.
+    central = found.join(found.groupBy("sig").agg(F.count("*").alias("m")), "sig").groupBy("cls").agg(F.sum(F.col("weight") * F.col("m")).alias("central"))
+    active, active_path = settle_at(found.join(central, "cls"), "active")
+    free(spark, found_path)
+
+    # one document of each class that has a candidate
+    members, _ = settle_at(sets.filter("cls is not null").select("cls", "doc_id", "text_hash").join(active.select("cls").distinct(), "cls").groupBy("cls").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("d")).select("cls", "d.*"), "members")
+    profiles, profiles_path = _from_texts(docs, members, members.select("cls"), width, lambda found: {"size": [len(h) for h in found], "profile": [profile(h).tobytes() for h in found]},
+                                          "size long, profile binary", "profiles")
     roots, roots_path = None, None
-    for step in ("best hub", "all hubs", "other hubs", "pairs"):
+    for step in ("central hubs", "other hubs", "pairs"):
         if roots is None:
             here = active.withColumn("comp", F.col("cls"))
         else:
-            here = active.join(roots.select(F.col("u").alias("cls"), "root"), "cls", "left").select("sig", "cls", "n", F.coalesce("root", "cls").alias("comp"))
+            here = active.join(roots.select(F.col("u").alias("cls"), "root"), "cls", "left").select("sig", "cls", "n", "first", "least", "central", F.coalesce("root", "cls").alias("comp"))
         split = here.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"),
-                                        F.min(F.struct((F.xxhash64("cls", F.lit(7)) if step == "other hubs" else F.col("cls")).alias("order"), "cls", "n", "comp")).alias("hub")).filter("low < high")
+                                        F.min(F.struct((F.xxhash64("cls", F.lit(7)) if step == "other hubs" else -F.col("central")).alias("order"), "cls", "n", "comp")).alias("hub"), F.max("least").alias("any")).filter("low < high")
         if step == "pairs":
-            open_, _ = settle_at(here.join(split.select("sig"), "sig"), "open")
+            open_, _ = settle_at(here.join(split.filter("any").select("sig"), "sig"), "open")
             if open_.isEmpty():
                 break
-            a, b = (open_.select("sig", F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("comp").alias(f"c_{x}")) for x in "uv")
-            pairs = a.join(b, "sig").filter((F.col("u") < F.col("v")) & (F.col("c_u") != F.col("c_v")) & _close("n_u", "n_v", percent)).select("u", "v").distinct()
+            side = lambda x: open_.select("sig", F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("first").alias(f"f_{x}"), F.col("least").alias(f"l_{x}"), F.col("comp").alias(f"c_{x}"))
+            # the first of two brings a signature it must have: the smaller, or of equal ones that with more rare shingles
+            pairs = side("a").filter("l_a").join(side("b"), "sig").filter(
+                (F.col("f_a") <= F.col("f_b")) & (F.col("c_a") != F.col("c_b")) & (100 * F.col("n_a") >= percent * F.col("n_b"))).select(
+                F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
         else:
             near = here.join(split.select("sig", F.col("hub.cls").alias("u"), F.col("hub.n").alias("n_u"), F.col("hub.comp").alias("c_u")), "sig").filter(
-                (F.col("comp") != F.col("c_u")) & _close("n", "n_u", percent))
-            pairs = near.groupBy("u", F.col("cls").alias("v")).agg(F.count("*").alias("shared"))
-            if step == "best hub":
-                pairs = pairs.groupBy("v").agg(F.max(F.struct("shared", "u")).alias("best")).select(F.col("best.u").alias("u"), "v")
-            pairs = pairs.select("u", "v")
-        links = _verified(pairs, kept, percent)
+                (F.col("comp") != F.col("c_u")) & (100 * F.least("n", "n_u") >= percent * F.greatest("n", "n_u")))
+            pairs = near.select("u", F.col("cls").alias("v")).distinct()
+        likely, likely_path = settle_at(_likely(pairs, profiles, percent), "likely")
+        whole, whole_path = _from_texts(docs, members, likely.select(F.explode(F.array("u", "v")).alias("cls")).distinct(), width,
+                                        lambda found: {"shingles": [h.tobytes() for h in found]}, "shingles binary", "sets")
+        links = _verified(likely, whole, percent)
         links = links if roots is None else links.union(roots.select("u", F.col("root").alias("v")))
-        new, new_path = settle_at(components(settle_at(links, "links")[0]), "roots")
-        if roots_path:
-            free(spark, roots_path)
+        joined, joined_path = settle_at(links, "links")
+        new, new_path = settle_at(components(joined), "roots")
+        for path in (likely_path, whole_path, joined_path, roots_path):
+            if path:
+                free(spark, path)
         roots, roots_path = new, new_path
+    for path in (active_path, profiles_path):
+        free(spark, path)
     return roots
 
 

@@ -75,7 +75,9 @@ def test_signatures_meet_wherever_sets_are_similar(percent):
             continue
         for limit in (-1, 20, 100):
             count = lambda h: (h % np.uint64(40)).astype(np.uint16)
-            assert np.intersect1d(J.signatures(a, count(a), limit, percent), J.signatures(b, count(b), limit, percent)).size
+            small, large = sorted((a, b), key=len)
+            sigs, least = J.signatures(small, count(small), limit, percent)
+            assert np.intersect1d(sigs[least], J.signatures(large, count(large), limit, percent)[0]).size
 
 
 def test_edges_and_one_of_each(spark, frame):
