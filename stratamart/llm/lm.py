@@ -36,8 +36,8 @@ SHORTLIST = 1_500
 HEAD = 100_000
 WIDTH = 24
 NOISE = 32
-BATCH = 1_024
-RATE = 0.15
+BATCH = 2_048
+RATE = 0.35
 SMOOTH = 0.1
 
 
@@ -85,9 +85,17 @@ class Counts:
 
 
 def read_counts(counts: DataFrame, head: int = HEAD) -> Counts:
+    """Totals, and the tokens whose counts reach the lowest step of a fixed scale at which there are at most ``head`` of them."""
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    rows = counts.orderBy(F.desc("c"), "token").limit(head).collect()  # at most `head` words
-    return Counts(total[0], total[1], {r["token"].encode(): r["c"] for r in rows})
+    step = F.floor(F.log2("c") * 64).cast("int")  # 64 steps a doubling: at most a few thousand
+    cut, held = None, 0
+    for at, n in sorted(((r["step"], r["n"]) for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("n")).collect()), reverse=True):
+        held += n
+        if held > head:
+            break
+        cut = at
+    rows = counts.filter(step >= cut).collect() if cut is not None else []  # at most `head` words
+    return Counts(total[0], total[1], {r["token"].encode(): r["c"] for r in sorted(rows, key=lambda r: (-r["c"], r["token"]))})
 
 
 @dataclass
