@@ -42,7 +42,7 @@ from stratamart.llm.common import free, settle_at, words_of
 SKETCH_BITS = 22  # counters of the frequency table; its size does not follow the data
 BLOCK_BITS = 14
 FIRST_LEVEL = 6
-PROFILE = 1024  # buckets of a set's profile
+PROFILE = 256  # buckets of a set's profile
 TEXT_BUCKETS = 1 << 20  # bound of what is broadcast to find the texts of candidates
 _U = np.uint64
 _M = _U(0x9E3779B97F4A7C15)
@@ -146,23 +146,24 @@ def signatures(h: np.ndarray, counts: np.ndarray, limit: int, percent: int) -> t
 
 
 def _sets_and_counts(width: int, bits: int):
-    """Per document its id, text hash, size and class; at a task's end, blocks of the counts of all its shingles."""
+    """Per document its id, text hash, size, class and profile; at a task's end, blocks of the counts of all its shingles."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(1 << bits, dtype=np.uint32)
         for batch in batches:
-            sizes, classes = [], []
+            sizes, classes, profiles = [], [], []
             for text in batch["text"]:
                 h = shingles(text, width)
                 sizes.append(len(h))
                 classes.append(class_of(h))
+                profiles.append(profile(h).tobytes())
                 np.add.at(counts, (h & _U((1 << bits) - 1)).astype(np.int64), np.uint32(1))
             yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"].astype("Int64"), "n": pd.Series(sizes, dtype="Int64"),
-                                "cls": pd.Series(classes, dtype="Int64"), "block": pd.Series([None] * len(batch), dtype="Int32"), "counts": None})
+                                "cls": pd.Series(classes, dtype="Int64"), "profile": profiles, "block": pd.Series([None] * len(batch), dtype="Int32"), "counts": None})
         step = 1 << min(BLOCK_BITS, bits)
         rows = [(k, zlib.compress(part.tobytes(), 1)) for k, part in enumerate(counts.reshape(-1, step)) if part.any()]
         if rows:
             out = pd.DataFrame({"block": pd.Series([k for k, _ in rows], dtype="Int32"), "counts": [c for _, c in rows]})
-            yield out.reindex(columns=["doc_id", "text_hash", "n", "cls", "block", "counts"]).astype({c: "Int64" for c in ("doc_id", "text_hash", "n", "cls")})
+            yield out.reindex(columns=["doc_id", "text_hash", "n", "cls", "profile", "block", "counts"]).astype({c: "Int64" for c in ("doc_id", "text_hash", "n", "cls")})
     return run
 
 
@@ -268,9 +269,8 @@ def _from_texts(docs: DataFrame, members: DataFrame, classes: DataFrame, width:
     # first by a bucket of the text's hash, at most TEXT_BUCKETS numbers, so that most texts are not shuffled
     bucket = F.pmod(F.col("text_hash"), F.lit(TEXT_BUCKETS))
     near = docs.withColumn("bucket", bucket).join(F.broadcast(chosen.select(bucket.alias("bucket")).distinct()), "bucket", "left_semi")
-    texts = near.select("doc_id", "text", "text_hash").alias("a").join(
-        chosen.alias("b"), F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & F.col("a.text_hash").eqNullSafe(F.col("b.text_hash"))).select(
-        "a.doc_id", "a.text_hash", "a.text").dropDuplicates(["doc_id", "text_hash"]).select("text")
+    key = F.coalesce("doc_id", F.lit(-(2**63))).alias("key")  # never NULL, so that join and dropDuplicates share one shuffle
+    texts = near.select(key, "text", "text_hash").join(chosen.select(key, "text_hash"), ["key", "text_hash"]).dropDuplicates(["key", "text_hash"]).select("text")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -308,8 +308,8 @@ def class_links(docs: DataFrame, sets: DataFrame, width: int, percent: int, bits
     # one document of each class that has a candidate
     members, _ = settle_at(sets.filter("cls is not null").select("cls", "doc_id", "text_hash").join(active.select("cls").distinct(), "cls").groupBy("cls").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("d")).select("cls", "d.*"), "members")
-    profiles, profiles_path = _from_texts(docs, members, members.select("cls"), width, lambda found: {"size": [len(h) for h in found], "profile": [profile(h).tobytes() for h in found]},
-                                          "size long, profile binary", "profiles")
+    profiles, profiles_path = settle_at(sets.filter("cls is not null").join(active.select("cls").distinct(), "cls").groupBy("cls").agg(
+        F.first("n").alias("size"), F.first("profile").alias("profile")), "profiles")
     roots, roots_path = None, None
     for step in ("central hubs", "other hubs", "pairs"):
         if roots is None:
@@ -350,7 +350,7 @@ def class_links(docs: DataFrame, sets: DataFrame, width: int, percent: int, bits
 def join_documents(docs: DataFrame, width: int = 5, percent: int = 80, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, text_hash, n_shingles, cls, component_id, and whether its text represents its component."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
-    sets, _ = settle_at(docs.mapInPandas(_sets_and_counts(width, sketch_bits), "doc_id long, text_hash long, n long, cls long, block int, counts binary"), "classes")
+    sets, _ = settle_at(docs.mapInPandas(_sets_and_counts(width, sketch_bits), "doc_id long, text_hash long, n long, cls long, profile binary, block int, counts binary"), "classes")
     roots = class_links(docs, sets, width, percent, sketch_bits)
     rows = sets.filter("block is null").select("doc_id", "text_hash", "n", "cls")
     least = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("order"), "doc_id", "text_hash"))
