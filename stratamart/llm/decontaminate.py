@@ -170,6 +170,10 @@ def _sketch(space: Space, omega_col: np.ndarray, omega_sign: np.ndarray, width:
                 held.append(ids[hits])
                 held_blocks.append(hits // HALF + base)
                 base += len(words) // HALF + 1
+                if base > 20_000:
+                    _add_products(np.concatenate(held), np.concatenate(held_blocks), omega_col, omega_sign, total, seen)
+                    n += base
+                    held, held_blocks, base = [], [], 0
             n += base
             if held:
                 _add_products(np.concatenate(held), np.concatenate(held_blocks), omega_col, omega_sign, total, seen)
@@ -184,7 +188,7 @@ def _sketch(space: Space, omega_col: np.ndarray, omega_sign: np.ndarray, width:
 def _add_products(ids: np.ndarray, blocks: np.ndarray, col: np.ndarray, sign: np.ndarray, total: np.ndarray, seen: np.ndarray, weight: float = 1.0) -> None:
     """Add T'T Omega of the passages to total; Omega has one signed entry per term."""
     width = total.shape[1]
-    chunk = 50_000
+    chunk = 8_000  # bounds the products to a few tens of MB
     edge = 0
     while edge < len(ids):
         end = len(ids) if edge + chunk >= len(ids) else int(np.searchsorted(blocks, blocks[edge + chunk]))

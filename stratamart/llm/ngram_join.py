@@ -51,7 +51,7 @@ _M2 = _U(0xC2B2AE3D27D4EB4F)
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -208,7 +208,7 @@ def _postings(width: int, percent: int, bits: int, table: np.ndarray, limit: int
                 classes.append((class_of(h), len(found)))
                 sizes.append((len(h), (len(h) << 31) - int((counts <= cut).sum())))
                 held += len(found)
-                if held > 1_000_000:
+                if held > 250_000:
                     yield _posting_frame(sigs, flags, classes, sizes)
                     sigs, flags, classes, sizes, held = [], [], [], [], 0
             if held:
