@@ -36,8 +36,8 @@ SHORTLIST = 1_500
 HEAD = 100_000
 WIDTH = 24
 NOISE = 32
-BATCH = 2_048
-RATE = 0.35
+BATCH = 1_024
+RATE = 0.15
 SMOOTH = 0.1
 
 
