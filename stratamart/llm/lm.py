@@ -1,19 +1,21 @@
 """A log-bilinear language model, trained with noise-contrastive estimation in numpy, that scores whole texts.
 
-Tokens are words and one end per text. The ``SHORTLIST`` most frequent ones are classes of their own, all others share one
-class, inside which a word's probability follows its smoothed count. The class of the next token is predicted from the two
-classes before it: q = C1 * r(w-1) + C2 * r(w-2), logit = q . s(w) + b(w).
+Tokens are words and one end per text, in a tree of two levels. The ``SHORTLIST`` most frequent ones are classes of their
+own; all others are classed by their endings, in a number of classes that grows with the vocabulary. The class of the next
+token is predicted from the two classes before it: q = C1 * r(w-1) + C2 * r(w-2), logit = q . s(w) + b(w). Inside its
+class, every word of the training texts, however rare, has a vector and a bias of its own, by which the class before it
+tells how likely it is (``learn_words``).
 
 All training texts train: each task runs mini-batches over the texts of its partition, from the same start, against noise
 from the unigram distribution, and the parameters are averaged by tokens. As the logits are a sum of one term for each
-context word, the normaliser of every context pair is one matrix product of exponentials, so every score is a normalised
-log probability.
+context word, the normaliser of every context pair is one matrix product of exponentials, and that of the words inside the
+classes is one table by class and class before, so every score is a normalised log probability.
 
-Counts cover all training texts. The ``HEAD`` most frequent tokens go to every task with their counts; the counts of the
-others are joined to the texts by a shuffle, so no table that follows the vocabulary is sent around.
+Counts and word vectors cover all training texts. The ``HEAD`` most frequent tokens go to every task with theirs; those of
+the others are joined to the texts by a shuffle, so no table that follows the vocabulary is sent around.
 
 Edge cases, all defined: NULL and blank texts are the end alone; a NULL id counts as an empty text in the fold; unseen
-words get the probability of a count of 0; with no training text every count is 0 and the model is the uniform one over
+words get the probability of a count of 0 in the class of their ending; with no training text every count is 0 and the model is the uniform one over
 one class; repeated rows are scored alike; an empty table gives no rows.
 """
 
@@ -23,6 +25,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -39,6 +42,9 @@ NOISE = 32
 BATCH = 1_024
 RATE = 0.15
 SMOOTH = 0.1
+PRIOR = 20  # occurrences that the mean of its class counts for in a word's own mean
+ENDING = 3  # characters
+HELD_WORDS = 400_000  # that a task holds before it hands them on
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -53,7 +59,7 @@ def count_tokens(docs: DataFrame) -> DataFrame:
             for text in batch["text"]:
                 seen.update(words_of(text))
             seen[END.encode()] += len(batch)
-            if len(seen) > 400_000:
+            if len(seen) > HELD_WORDS:
                 yield _count_frame(seen)
                 seen = Counter()
         if seen:
@@ -73,6 +79,7 @@ class Counts:
     total: int
     distinct: int
     head: dict[bytes, int]
+    groups: tuple[int, ...] = ()  # tokens outside the shortlist by ending; none: all in one class
 
     @property
     def shortlist(self) -> list[bytes]:
@@ -84,6 +91,15 @@ class Counts:
         return self.total - sum(self.head[w] for w in short), self.distinct - len(short)
 
 
+def group_of(word: bytes, groups: int) -> int:
+    return crc32(word.decode("utf-8", "replace")[-ENDING:].encode()) % groups if groups > 1 else 0
+
+
+def group_column(token: Column, groups: int) -> Column:
+    """What group_of gives."""
+    return F.pmod(F.crc32(F.right(token, F.lit(ENDING)).cast("binary")), F.lit(groups)).cast("int")
+
+
 def read_counts(counts: DataFrame, head: int = HEAD) -> Counts:
     """Totals, and the tokens whose counts reach the lowest step of a fixed scale at which there are at most ``head`` of them."""
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -95,12 +111,32 @@ def read_counts(counts: DataFrame, head: int = HEAD) -> Counts:
             break
         cut = at
     rows = counts.filter(step >= cut).collect() if cut is not None else []  # at most `head` words
-    return Counts(total[0], total[1], {r["token"].encode(): r["c"] for r in sorted(rows, key=lambda r: (-r["c"], r["token"]))})
+    out = Counts(total[0], total[1], {r["token"].encode(): r["c"] for r in sorted(rows, key=lambda r: (-r["c"], r["token"]))})
+    groups = max(1, int(out.class_size()[1] ** 0.5 / 8))
+    tokens = [0] * groups
+    for r in counts.groupBy(group_column(F.col("token"), groups).alias("g")).agg(F.sum("c").alias("c")).collect():
+        tokens[r["g"]] = r["c"]
+    for w in out.shortlist:
+        tokens[group_of(w, groups)] -= out.head[w]
+    out.groups = tuple(tokens)
+    return out
+
+
+class Numbering(dict):
+    """Words to numbers; a word that is not there gets what ``make`` gives, and keeps it."""
+
+    def __init__(self, known, make):
+        super().__init__(known)
+        self.make = make
+
+    def __missing__(self, word: bytes) -> int:
+        made = self[word] = self.make(word)
+        return made
 
 
 @dataclass
 class Model:
-    """Parameters of the log-bilinear model over the shortlist, the rest class and, as context only, the start."""
+    """Parameters of the log-bilinear model over the shortlist, the classes of the other words and, as context only, the start."""
 
     words: list[bytes]
     context: np.ndarray  # (classes + start) x width
@@ -118,11 +154,15 @@ class Model:
     def classes(self) -> int:
         return len(self.bias)
 
+    @property
+    def groups(self) -> int:
+        return self.classes - len(self.words)
+
     def ids(self, tokens: list[bytes]) -> np.ndarray:
-        if not self._ids:
-            self._ids = {w: k for k, w in enumerate(self.words)}
-        rest = self.classes - 1
-        return np.fromiter(map(self._ids.get, tokens, repeat(rest)), dtype=np.int32, count=len(tokens))
+        if not self._ids or len(self._ids) > len(self.words) + HELD_WORDS:
+            first, groups = len(self.words), self.groups
+            self._ids = Numbering(((w, k) for k, w in enumerate(self.words)), lambda w: first + group_of(w, groups))
+        return np.fromiter(map(self._ids.__getitem__, tokens), dtype=np.int32, count=len(tokens))
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Logits by nearer context (bias included) and by farther context, and the log normaliser of each pair."""
@@ -145,9 +185,9 @@ class Model:
 def start_model(counts: Counts, width: int = WIDTH, seed: int = 5) -> Model:
     words = counts.shortlist
     rng = np.random.default_rng(seed)
-    rest = counts.class_size()[0]
-    share = np.array([*(counts.head[w] for w in words), rest], dtype=np.float64) + SMOOTH
-    n = len(words) + 1
+    groups = counts.groups or (counts.class_size()[0],)
+    share = np.array([*(counts.head[w] for w in words), *groups], dtype=np.float64) + SMOOTH
+    n = len(words) + len(groups)
     return Model(words, rng.normal(0, 0.1, (n + 1, width)).astype(np.float32), rng.normal(0, 0.1, (n, width)).astype(np.float32),
                  np.log(share / share.sum()).astype(np.float32), np.ones(width, dtype=np.float32), np.full(width, 0.5, dtype=np.float32))
 
@@ -248,42 +288,237 @@ def train(docs: DataFrame, counts: Counts) -> Model:
     return Model(begin.words, *params)
 
 
+@dataclass
+class Words:
+    """The words inside the classes: log P(word | class g, class before) = u . s + b - log_z, u the vector of the class before.
+
+    A linear discriminant: the vectors u that stand before a word are taken as normal about its mean, so s and b follow from
+    the word's count and the sum of its u. Any number of words is learnt in one pass, and no layout of the data changes it.
+    """
+
+    before: np.ndarray  # (classes + start) x width, whitened by the frequencies of the classes
+    means: np.ndarray  # groups x width
+    log_z: np.ndarray  # groups x (classes + start)
+
+    def vectors(self, c: np.ndarray, sums: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(s, b) of words by count, sum of the u before them, and group."""
+        mean = self.means[g]
+        s = (sums - c[:, None] * mean) / (c[:, None] + PRIOR)
+        return s.astype(np.float32), np.log(c + SMOOTH) - 0.5 * (s * s).sum(axis=1) - (mean * s).sum(axis=1)
+
+
+def before_vectors(model: Model, counts: Counts) -> np.ndarray:
+    """The vectors of the nearer context, with mean 0 and covariance 1 over the training tokens."""
+    u = (model.context * model.near).astype(np.float64)
+    share = np.array([*(counts.head[w] for w in model.words), *(counts.groups or (counts.class_size()[0],)), 0], dtype=np.float64) + SMOOTH
+    share /= share.sum()
+    u -= share @ u
+    size, axes = np.linalg.eigh((u * share[:, None]).T @ u)
+    return (u @ (axes / np.sqrt(np.maximum(size, 0) + 1e-3 * max(size.max(), 1e-12)))).astype(np.float32)
+
+
+def _nearer(ids: np.ndarray, ends: np.ndarray, start: int) -> np.ndarray:
+    """The class before each token of joined texts that end at ``ends``."""
+    near = np.r_[start, ids[:-1]]
+    near[ends[:-1]] = start
+    return near
+
+
+FEW = 48  # classes of two bytes take no more room than a vector of WIDTH floats
+
+
+def pack(at: np.ndarray, near: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(word, how often, what stands before it): the classes themselves for FEW occurrences, the sum of their vectors for more."""
+    order = np.argsort(at, kind="stable")
+    near = near[order].astype(np.uint16)
+    begin = np.flatnonzero(np.r_[True, np.diff(at[order]) != 0]) if len(at) else np.zeros(0, dtype=np.int64)
+    n = np.diff(np.r_[begin, len(at)])
+    flat = near.tobytes()
+    return at[order][begin], n, [flat[2 * k:2 * (k + c)] if c <= FEW else before[near[k:k + c]].sum(axis=0, dtype=np.float64).astype(np.float32).tobytes() for k, c in zip(begin.tolist(), n.tolist(), strict=True)]
+
+
+def unpack(n: np.ndarray, packed: list[bytes], before: np.ndarray) -> np.ndarray:
+    """The sums of vectors that pack stands for."""
+    out = np.zeros((len(n), before.shape[1]), dtype=np.float64)
+    few, many = np.flatnonzero((n > 0) & (n <= FEW)), np.flatnonzero(n > FEW)
+    if len(few):
+        near = np.frombuffer(b"".join(packed[k] for k in few), dtype=np.uint16)
+        out[few] = np.add.reduceat(before[near], np.r_[0, np.cumsum(n[few])[:-1]].astype(np.int64), axis=0)
+    if len(many):
+        out[many] = np.frombuffer(b"".join(packed[k] for k in many), dtype=np.float32).reshape(len(many), -1)
+    return out
+
+
+def learn_words(docs: DataFrame, totals: Counts, model: Model) -> tuple[Words, DataFrame]:
+    """The words of all training texts outside the shortlist: what is common to them, and (token, c, g, packed)."""
+    before = before_vectors(model, totals)
+    width, groups, first = before.shape[1], model.groups, len(model.words)
+
+    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def fresh():
+            seen: list[bytes] = []
+            made: list[int] = list(range(first))
+
+            def make(word: bytes) -> int:
+                seen.append(word)
+                made.append(first + group_of(word, groups))
+                return len(made) - 1
+            return Numbering(((w, k) for k, w in enumerate(model.words)), make), seen, made, [], 0
+
+        def frame(seen: list[bytes], held: list[np.ndarray]) -> pd.DataFrame:
+            at, n, packed = pack(*np.concatenate(held, axis=1), before)
+            return pd.DataFrame({"token": [seen[k].decode("utf-8", "replace") for k in at.tolist()], "n": n, "packed": packed})
+
+        index, seen, made, held, size = fresh()
+        for batch in batches:
+            for tokens, ends in _joined(batch["text"]):
+                at = np.fromiter(map(index.__getitem__, tokens), dtype=np.int32, count=len(tokens))
+                near = _nearer(np.array(made, dtype=np.int32)[at], ends, model.classes)
+                own = np.flatnonzero(at >= first)
+                held.append(np.stack([at[own] - first, near[own]]).astype(np.int32))
+                size += len(own)
+                if size and (len(seen) > HELD_WORDS or size > 10 * HELD_WORDS):
+                    yield frame(seen, held)
+                    index, seen, made, held, size = fresh()
+        if size:
+            yield frame(seen, held)
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: list[str] = []
+        index = Numbering((), lambda w: seen.append(w) or len(seen) - 1)
+        at, n, packed = [], [], []
+        for batch in batches:
+            at += map(index.__getitem__, batch["token"])
+            n.append(batch["n"].to_numpy())
+            packed += batch["packed"].tolist()
+        if not at:
+            return
+        at, n = np.array(at), np.concatenate(n)
+        order = np.argsort(at, kind="stable")
+        begin = np.flatnonzero(np.r_[True, np.diff(at[order]) != 0])
+        c = np.add.reduceat(n[order], begin)
+        edges = np.r_[begin, len(at)]
+        for k in range(0, len(seen), 20_000):
+            out = []
+            for j in range(k, min(k + 20_000, len(seen))):
+                some = order[edges[j]:edges[j + 1]]
+                pieces = [packed[x] for x in some.tolist()]
+                out.append(b"".join(pieces) if c[j] <= FEW else unpack(n[some], pieces, before).sum(axis=0).astype(np.float32).tobytes())
+            yield pd.DataFrame({"token": seen[k:k + 20_000], "c": c[k:k + 20_000], "packed": out})
+
+    pieces = docs.select("text").mapInPandas(gather, "token string, n long, packed binary").repartition("token")
+    learnt, _ = settle_at(pieces.mapInPandas(add, "token string, c long, packed binary").withColumn("g", group_column(F.col("token"), groups)), "words")
+    means = np.zeros((groups, width))
+
+    def add_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((groups, width + 1))
+        for batch in batches:
+            c = batch["c"].to_numpy()
+            np.add.at(total, batch["g"].to_numpy(), np.concatenate([unpack(c, batch["packed"].tolist(), before), c[:, None]], axis=1))
+        yield pd.DataFrame({"row": range(groups), "n": 0, "part": [x.astype(np.float32).tobytes() for x in total]})
+
+    for g, total in add_vectors(learnt.select("c", "g", "packed").mapInPandas(add_groups, "row int, n long, part binary"))[1].items():
+        means[g] = total[:-1] / max(total[-1], 1)
+    words = Words(before, means, np.zeros((groups, len(before))))
+
+    def normalise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        z, n = np.zeros((groups, len(before)), dtype=np.float64), 0
+        for batch in batches:
+            n += len(batch)
+            batch = batch.sort_values("g")
+            for k in range(0, len(batch), 4_000):
+                some = batch.iloc[k:k + 4_000]
+                g = some["g"].to_numpy()
+                c = some["c"].to_numpy()
+                s, b = words.vectors(c, unpack(c, some["packed"].tolist(), before), g)
+                e = np.exp(s @ before.T + b[:, None].astype(np.float32))
+                at = np.flatnonzero(np.r_[True, np.diff(g) != 0])
+                z[g[at]] += np.add.reduceat(e, at, axis=0)
+        if n:
+            yield pd.DataFrame({"row": [-1, *range(groups)], "n": [n, *repeat(0, groups)], "part": [b"", *(x.astype(np.float32).tobytes() for x in z)]})
+
+    z = np.full((groups, len(before)), SMOOTH)  # the unseen word of each class
+    for g, more in add_vectors(learnt.select("c", "g", "packed").mapInPandas(normalise, "row int, n long, part binary"))[1].items():
+        z[g] += more
+    words.log_z = np.log(z)
+    return words, learnt
+
+
+def _joined(texts, size: int = 1 << 16) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """(tokens, where each text ends) of some texts at a time."""
+    tokens: list[bytes] = []
+    ends: list[int] = []
+    for text in texts:
+        tokens += tokens_of(text)
+        ends.append(len(tokens))
+        if len(tokens) >= size:
+            yield tokens, np.array(ends)
+            tokens, ends = [], []
+    if ends:
+        yield tokens, np.array(ends)
+
+
 def score(docs: DataFrame, counts: DataFrame, totals: Counts, model: Model, held_out: Column) -> DataFrame:
-    """Per row of docs (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
+    """Per row of docs (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
+
+    The words learnt from the rows that are not held out have their counts with them, so ``counts`` is not joined again.
+    """
     base = totals.total + SMOOTH * (totals.distinct + 1)
-    rest_tokens, rest_words = totals.class_size()
-    rest = rest_tokens + SMOOTH * (rest_words + 1)
-    short = set(totals.shortlist)
+    words, learnt = learn_words(docs.filter(~held_out), totals, model)
+    first, n_head = len(model.words), len(totals.head)
+    head_sums = np.zeros((n_head, words.before.shape[1]))
+    head_at = {w: k for k, w in enumerate(totals.head)}
+    least = min(totals.head.values(), default=0)
+    if n_head > first:
+        some = learnt.filter(F.col("c") >= least).toPandas()  # at most `HEAD` words
+        head_sums[[head_at[w.encode()] for w in some["token"]]] = unpack(some["c"].to_numpy(), some["packed"].tolist(), words.before)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        head = totals.head
-        base_log = {w: float(np.log10((c + SMOOTH) / base)) for w, c in head.items()}
-        rest_log = {w: 0.0 if w in short else float(np.log10((c + SMOOTH) / rest)) for w, c in head.items()}
+        count = np.array(list(totals.head.values()), dtype=np.float64)
+        group = np.array([0] * first + [group_of(w, model.groups) for w in list(totals.head)[first:]], dtype=np.int64)
+        s, b = words.vectors(count, head_sums, group)
+        # head words have their place as number, the others come after them by group
+        known = [(w, k) for k, w in enumerate(totals.head)]
+        make = lambda w: n_head + group_of(w, model.groups)
+        classes = np.r_[np.arange(first), first + group[first:], first + np.arange(model.groups)].astype(np.int32)
+        base_log = np.r_[np.log10((count + SMOOTH) / base), np.zeros(model.groups)]
+        log_z, numbers = words.log_z.astype(np.float32), Numbering(known, make)
         for batch in batches:
             rows = []
             for text in batch["text"]:
                 tokens = tokens_of(text)
-                own = np.fromiter(map(base_log.get, tokens, repeat(1.0)), dtype=np.float64, count=len(tokens))
-                inner = np.fromiter(map(rest_log.get, tokens, repeat(0.0)), dtype=np.float64, count=len(tokens))
-                known = own < 1.0
-                tail = Counter(tokens[k] for k in np.flatnonzero(~known))
-                rows.append((len(tokens), int(known.sum()), float(own[known].sum()), float(model.log_probabilities(model.ids(tokens)).sum(dtype=np.float64) / np.log(10) + inner.sum()),
-                             [{"token": w.decode("utf-8", "replace"), "n": n} for w, n in tail.items()]))
-            out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score", "tail"])
+                at = np.fromiter(map(numbers.__getitem__, tokens), dtype=np.int32, count=len(tokens))
+                ids = classes[at]
+                near = np.r_[model.classes, ids[:-1]]
+                inside, tail = np.flatnonzero((at >= first) & (at < n_head)), np.flatnonzero(at >= n_head)
+                w, u = at[inside], near[inside]
+                inner = (np.einsum("ij,ij->i", s[w], words.before[u]) + b[w] - log_z[group[w], u]).sum(dtype=np.float64)
+                rows.append((len(tokens), len(tokens) - len(tail), float(base_log[at].sum()), float(model.log_probabilities(ids).sum(dtype=np.float64) + inner) / np.log(10),
+                             [tokens[k].decode("utf-8", "replace") for k in tail.tolist()], near[tail]))
+            if len(numbers) > n_head + HELD_WORDS:
+                numbers = Numbering(known, make)
+            out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score", "tail", "near"])
             out.insert(0, "held_out", batch["held_out"].array)
             out.insert(0, "doc_id", batch["doc_id"].astype("Int64").array)
             yield out
 
+    def score_tail(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            c, g, near = batch["c"].to_numpy(dtype=np.float64), batch["g"].to_numpy(), batch["near"].to_numpy()
+            s, b = words.vectors(c, unpack(batch["c"].to_numpy(), batch["packed"].tolist(), words.before), g)  # 0 and log(SMOOTH) for unseen ones
+            inner = (np.einsum("ij,ij->i", s, words.before[near]) + b - words.log_z[g, near]) / np.log(10)
+            out = pd.DataFrame({"row": batch["row"], "t_known": (c > 0).astype(np.int64), "t_base": np.log10((c + SMOOTH) / base), "t_score": inner})
+            yield out.groupby("row", as_index=False).sum()
+
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, tail array<struct<token: string, n: bigint>>"
-    first, _ = settle_at(rows.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
-    c = F.coalesce("c", F.lit(0))
-    tail = first.select("row", F.explode("tail").alias("t")).select("row", "t.*").join(counts, "token", "left").groupBy("row").agg(
-        F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("t_known"), F.sum(F.col("n") * F.log10((c + SMOOTH) / base)).alias("t_base"),
-        F.sum(F.col("n") * F.log10((c + SMOOTH) / rest)).alias("t_score"))
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, tail array<string>, near array<int>"
+    scored, _ = settle_at(rows.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
+    tail = scored.select("row", F.explode(F.arrays_zip("tail", "near")).alias("t")).select("row", F.col("t.tail").alias("token"), F.col("t.near").alias("near"))
+    met = tail.join(learnt.drop("g"), "token", "left").select("row", "near", group_column(F.col("token"), model.groups).alias("g"), F.coalesce("c", F.lit(0)).alias("c"), "packed")
+    sums = met.mapInPandas(score_tail, "row long, t_known long, t_base double, t_score double").groupBy("row").agg(*(F.sum(x).alias(x) for x in ("t_known", "t_base", "t_score")))
     plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
-    return first.drop("tail").join(tail, "row", "left").select("doc_id", "held_out", "n_tokens", plus("n_known", "t_known"), F.lit(totals.total).cast("long").alias("train_tokens"),
-                                                               plus("base_score", "t_base"), plus("score", "t_score"))
+    return scored.drop("tail", "near").join(sums, "row", "left").select("doc_id", "held_out", "n_tokens", plus("n_known", "t_known"), F.lit(totals.total).cast("long").alias("train_tokens"),
+                                                                        plus("base_score", "t_base"), plus("score", "t_score"))
 
 
 def score_all(docs: DataFrame, held_out: Column) -> DataFrame:

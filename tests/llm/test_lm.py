@@ -55,6 +55,40 @@ def test_classes_are_normalised():
     assert model.log_probabilities(text)[2] == pytest.approx(scores[text[2]] - np.log(np.exp(scores).sum()), abs=1e-4)
 
 
+def test_words_outside_the_shortlist_are_learnt(spark, frame, monkeypatch):
+    """Every word has a distribution of its own given the class before it, whether its count is with the tasks or joined."""
+    monkeypatch.setattr(lm, "SHORTLIST", 3)
+    rnd = random.Random(2)
+    rows = [(k, " ".join(f"{side} {side[0]}{rnd.randrange(60)}end" for side in rnd.choices(["left", "right"], k=40))) for k in range(200)]
+    docs, none = frame([*rows, (1000, "left l7end"), (1001, "left r7end"), (1002, "left neverend")]), F.col("doc_id") >= 1000
+    training = docs.filter(~none)
+    counts, _ = lm.settle_at(lm.count_tokens(training), "counts")
+    for head in (100_000, 30):
+        totals = lm.read_counts(counts, head)
+        model = lm.train(training, totals)
+        words, learnt = lm.learn_words(training, totals, model)
+        rows_of = learnt.toPandas()
+        assert len(rows_of) == totals.distinct - len(totals.shortlist) >= 118
+        s, b = words.vectors(rows_of["c"].to_numpy(), lm.unpack(rows_of["c"].to_numpy(), rows_of["packed"].tolist(), words.before), rows_of["g"].to_numpy())
+        total = np.exp(s @ words.before.T + b[:, None] - words.log_z[rows_of["g"]]).sum(axis=0) + np.exp(math.log(lm.SMOOTH) - words.log_z).sum(axis=0)
+        assert total == pytest.approx(np.full(len(words.before), model.groups), abs=1e-4)  # one for each class
+        got = {r["doc_id"]: r["score"] for r in lm.score(docs, counts, totals, model, none).filter(none).collect()}
+        assert got[1000] > got[1001] + 0.5 and got[1000] > got[1002]
+
+
+def test_groups_follow_the_vocabulary(spark, monkeypatch):
+    monkeypatch.setattr(lm, "SHORTLIST", 5)
+    sizes = []
+    for n in (300, 30_000):
+        counts = spark.createDataFrame([(f"é{k}", 1 + 900 // (k + 1)) for k in range(n)], "token string, c long")
+        totals = lm.read_counts(counts)
+        assert sum(totals.groups) == totals.class_size()[0]
+        got = {r["token"]: r["g"] for r in counts.select("token", lm.group_column(F.col("token"), len(totals.groups)).alias("g")).collect()}
+        assert got == {w: lm.group_of(w.encode(), len(totals.groups)) for w in got}
+        sizes.append(len(totals.groups))
+    assert sizes[1] > 5 * sizes[0]
+
+
 def test_edges(spark, frame):
     assert lm.score_all(frame([]), fold_of(F.col("doc_id"), 10) == 0).count() == 0
     got = lm.score_all(frame([(1, "a b"), (2, None)]), F.lit(True)).collect()  # nothing to learn from
