@@ -6,7 +6,8 @@ corpus, and a Nystroem step turns the sum into singular vectors. The same pass c
 occurs. The benchmark's own passages enter with as much weight as the corpus, so that the space can tell them apart.
 
 A second pass folds every window of every document into that space and takes all benchmark passages of high cosine as
-candidates. A candidate counts if enough of the item is found in its order: by the longest common subsequence of words
+candidates. So is every passage that shares ``RUN`` words in a row with a document, whatever stands around them, so that a
+verbatim copy is always a candidate; the cosine of what only these find is NULL. A candidate counts if enough of the item is found in its order: by the longest common subsequence of words
 alone for near copies, and with the item's answer (its last sentence) beside it for paraphrases.
 
 Items are handled in blocks of ``BLOCK_PASSAGES``, each a pair of passes, so what is sent to the tasks has a bound that
@@ -40,6 +41,7 @@ RANK = 256
 OVERSAMPLE = 32
 STOP_SHARE = 0.08  # terms of more benchmark passages than this tell nothing
 MIN_COSINE = 0.4
+RUN = 4  # words in a row; numbers of 16 bits make one of 64
 NEAR_COPY = 0.75  # share of an item's words found in order
 PARAPHRASE = 0.55  # with the answer beside it
 ANSWER = 0.75
@@ -107,6 +109,17 @@ def found_in(passage: Passage, words: list[bytes], start: int, end: int) -> floa
     return best
 
 
+def _run_keys(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place, key) of all runs of RUN known words."""
+    n = max(0, len(ids) - RUN + 1)
+    known = ids >= 0
+    begin = np.flatnonzero(np.logical_and.reduce([known[k:k + n] for k in range(RUN)]))
+    keys = np.zeros(len(begin), dtype=np.uint64)
+    for k in range(RUN):
+        keys = (keys << np.uint64(16)) | ids[begin + k].astype(np.uint64)
+    return begin, keys
+
+
 @dataclass
 class Space:
     """The latent space of one block of benchmark passages."""
@@ -116,6 +129,35 @@ class Space:
     terms: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))  # term -> latent vector, IDF included
     queries: np.ndarray = field(default_factory=lambda: np.empty((0, 0)))
     singular: np.ndarray = field(default_factory=lambda: np.empty(0))
+    _runs: tuple | None = field(default=None, repr=False)
+
+    def runs(self) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of all words of the passages, stop terms too; all their runs in order, with passage and place."""
+        if self._runs is None:
+            numbers: dict[bytes, int] = {}
+            rows = []
+            for q, p in enumerate(self.passages):
+                keys = _run_keys(np.array([numbers.setdefault(w, len(numbers)) for w in p.words]))[1]
+                rows.append(np.stack([keys, np.full(len(keys), q, dtype=np.uint64), np.arange(len(keys), dtype=np.uint64)]))
+            keys, q, at = np.concatenate(rows, axis=1)
+            order = np.argsort(keys, kind="stable")
+            self._runs = numbers, keys[order], q[order].astype(np.int64), at[order].astype(np.int64)
+        return self._runs
+
+    def copies(self, words: list[bytes]) -> list[tuple[int, int]]:
+        """(passage, where it would begin) of all runs shared with the passages; those close together once."""
+        numbers, keys, passage, place = self.runs()
+        begin, mine = _run_keys(np.fromiter(map(numbers.get, words, repeat(-1)), dtype=np.int64, count=len(words)))
+        low = np.searchsorted(keys, mine)
+        n = np.searchsorted(keys, mine, side="right") - low
+        if not n.any():
+            return []
+        hit = np.repeat(np.arange(len(mine)), n)
+        at = np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n) + low[hit]
+        q, first = passage[at], begin[hit] - place[at]
+        step = np.array([max(1, len(p.words) // 4) for p in self.passages])[q]
+        _, kept = np.unique(np.stack([q, first // step]), axis=1, return_index=True)
+        return [(int(q[k]), int(first[k])) for k in kept]
 
     def candidates(self, words: list[bytes]) -> list[tuple[float, int, int]]:
         """(cosine, window, passage) of all pairs above the threshold, best first."""
@@ -139,12 +181,12 @@ class Space:
         order = np.argsort(-cosine[w, q], kind="stable")
         return [(float(cosine[a, b]), int(starts[a]), int(b)) for a, b in zip(w[order], q[order], strict=True)]
 
-    def search(self, text: str | None) -> list[tuple[int | None, float, float, int]]:
+    def search(self, text: str | None) -> list[tuple[int | None, float, float | None, int]]:
         """(item, share, cosine, first word) of each item found in a text."""
         words = words_in(text)
         if not words:
             return []
-        best: dict[int | None, tuple[float, float, int]] = {}
+        best: dict[int | None, tuple[float, float | None, int]] = {}
         for cosine, window, q in self.candidates(words):
             item = self.passages[q].item
             if item in best:
@@ -153,6 +195,13 @@ class Space:
             share = found_in(self.passages[q], words, start, (window + 2) * HALF)
             if share:
                 best[item] = (share, cosine, start)
+        for q, start in self.copies(words):
+            item = self.passages[q].item
+            if item in best:
+                continue
+            share = found_in(self.passages[q], words, start, start + len(self.passages[q].words))
+            if share:
+                best[item] = (share, None, max(0, start))
         return [(item, *what) for item, what in best.items()]
 
 
@@ -265,9 +314,7 @@ def blocks_of(benchmark: DataFrame, size: int = BLOCK_PASSAGES) -> Iterator[list
 
 def spaces_of(docs: DataFrame, benchmark: DataFrame) -> Iterator[Space]:
     for passages in blocks_of(benchmark):
-        space = fit_space(docs, passages)
-        if space.vocab:
-            yield space
+        yield fit_space(docs, passages)
 
 
 HITS = "array<struct<item_id: bigint, share: double, cosine: double, first_word: bigint>>"

@@ -66,6 +66,25 @@ def test_candidates_recall_against_brute_force(planted):
     assert (space.singular[:-1] >= space.singular[1:] - 1e-9).all()
 
 
+def test_every_verbatim_copy_is_found(spark, frame):
+    """Whatever stands around an item, and also if all its words are stop terms of the benchmark."""
+    rnd = random.Random(4)
+    vocab = [f"w{k}" for k in range(300)]
+    draw = lambda n: rnd.choices(vocab, weights=[30 / (k + 3) for k in range(300)], k=n)
+    items = [(k, " ".join(draw(rnd.choice([8, 10, 18, 41, 150])))) for k in range(120)]
+    rows = []
+    for k, text in items:
+        around = (["ndin"] * 80, draw(120), [text.split()[0]] * 90, [])[k % 4]
+        rows.append((k, " ".join([*around[:len(around) // 2], text, *around[len(around) // 2:]])))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in D.find_leaks(frame(rows), benchmark).collect()}
+    assert {(k, k) for k, _ in items} <= got
+    same = spark.createDataFrame([(k, " ".join(rnd.sample(vocab[:9], 9))) for k in range(60)], "item_id long, text string")
+    docs = frame([(r["item_id"], "before " + r["text"] + " after") for r in same.collect()])
+    assert {(k, k) for k in range(60)} <= {(r["doc_id"], r["item_id"]) for r in D.find_leaks(docs, same).collect()}
+    assert D.drop_leaks(docs, same).count() == 0
+
+
 def test_blocks_and_edges(planted, frame, monkeypatch, spark):
     docs, benchmark, truth = planted
     monkeypatch.setattr(D, "BLOCK_PASSAGES", 16)
