@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm import decontaminate, lm, mixing, ngram_join, quality, quoting, secrets, toxicity, url_lists, warc
+from stratamart.llm import decontaminate, lm, mixing, negatives, ngram_join, quality, quoting, repair, secrets, topk, toxicity, url_lists, warc
 from stratamart.llm.common import fold_of, table
 
 
@@ -76,8 +76,29 @@ def op10_quoting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quoting.conversations(messages).withColumnsRenamed({"thread": "conv_id", "ordinal": "turn"})
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best of each vector whose id is divisible by 20, among all others."""
+    found = topk.vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "vec_id", "embedding", scale=64)
+    return topk.top_k(found, F.col("vec_id") % 20 == 0, 20)
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage, and its cheapest repair."""
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return repair.digests(repair.repair(repair.damage(rows)), repair.survivors(rows))
+
+
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each vector whose id is divisible by 100, by positive."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.labelled(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), "vec_id", "embedding", label, scale=256)
+    return negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontaminate": op1_decontaminate, "op2_ngram_join": op2_ngram_join, "op3_warc": op3_warc, "op4_lm": op4_lm, "op5_mix": op5_mix, "op6_secrets": op6_secrets, "op7_quality": op7_quality, "op8_url_lists": op8_url_lists,
     "op9_toxicity": op9_toxicity, "op10_quoting": op10_quoting,
+    "op11_topk": op11_topk, "op12_repair": op12_repair, "op13_negatives": op13_negatives,
 }
-SQL: dict[str, str] = {"op3_warc": warc.OP3_SQL, "op5_mix": mixing.OP5_SQL, "op8_url_lists": url_lists.OP8_SQL, "op10_quoting": quoting.OP10_SQL}
+SQL: dict[str, str] = {"op3_warc": warc.OP3_SQL, "op5_mix": mixing.OP5_SQL, "op8_url_lists": url_lists.OP8_SQL, "op10_quoting": quoting.OP10_SQL,
+                       "op11_topk": topk.OP11_SQL, "op13_negatives": negatives.OP13_SQL}
