@@ -203,6 +203,19 @@ def lineage_check(layers: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     ).withColumn("consistent", (F.col("batches") == 1) & (F.col("layers") == len(layers)))
 
 
+def lineage_by_layer(layers: dict[str, tuple[Sequence[DataFrame], str]]) -> DataFrame:
+    """For each layer: tables, rows, rows without a batch, and the batches that its rows carry, as a sorted list."""
+    parts = [
+        df.groupBy(F.col(column).alias("batch_id")).agg(F.count("*").alias("n")).select(F.lit(layer).alias("layer"), F.lit(k).alias("nr"), "batch_id", "n")
+        for layer, (tables, column) in layers.items() for k, df in enumerate(tables)]
+    stacked = parts[0]
+    for more in parts[1:]:
+        stacked = stacked.unionByName(more)
+    return stacked.groupBy("layer").agg(
+        F.count_distinct("nr").alias("tables"), F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(F.col("batch_id").isNull(), F.col("n"))), F.lit(0)).alias("unstamped"),
+        F.array_join(F.sort_array(F.collect_set("batch_id")), ",").alias("batches"))
+
+
 def audit_trail(*landed: DataFrame) -> DataFrame:
     """Rows and distinct files per source system and batch."""
     cols = ["_source_system", "_batch_id", "_source_file"]

@@ -26,12 +26,14 @@ MARTS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     "agg_inventory_health_weekly": (marts.agg_inventory_health_weekly, ("fct_inventory", "fct_sales", "dim_warehouse", "dim_item")),
     "agg_category_affinity": (marts.agg_category_affinity, ("fct_sales", "dim_item")),
 }
+STAGE, LEDGER = "_stg_sales_flagged", "dq_metrics"
 COMMENTS = {name: spec.comment for name, spec in dims.DIMENSIONS.items()} | {
     "dim_customer": "Customer with demographics, household, income and address",
     "fct_sales": "Store, catalogue and web sales at one grain",
     "fct_returns": "Store, catalogue and web returns at one grain",
     "fct_inventory": "Stock position per item and warehouse",
     "dq_rejects_sales": "Sales lines that broke the contract, with the reason",
+    LEDGER: "What each table arrived with, what was mended and what was published",
 }
 SILVER = [*dims.DIMENSIONS, "dim_customer", "fct_sales", "dq_rejects_sales", "fct_returns", "fct_inventory"]
 
@@ -66,7 +68,7 @@ class RetailLayers:
 
     def flagged_sales(self) -> DataFrame:
         """Replays removed and contracts checked; read by the fact and by the rejects, so staged."""
-        return self.once("stg_sales_flagged", lambda: facts.flagged_sales(self.raw_sales()))
+        return self.once(STAGE, lambda: facts.flagged_sales(self.raw_sales()))
 
     def fresh(self, name: str) -> DataFrame:
         b = self.bronze
@@ -91,7 +93,7 @@ class RetailLayers:
 
     def published(self, name: str) -> DataFrame:
         """A mart, ledger or reject table as the reports read it."""
-        if name == "dq_metrics":
+        if name == LEDGER:
             return self.once(name, self.ledger)
         if name in MARTS:
             return self.once(name, lambda: self.mart(name))

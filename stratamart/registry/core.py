@@ -8,6 +8,7 @@ boolean, d date as text, t timestamp (to the second) as text.
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cache
@@ -25,6 +26,7 @@ class Context:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self.star = Star(spark, folder)
+        self.lock = threading.RLock()
         self.retail = RetailLayers(spark, self.bronze)
 
     def bronze(self, name: str) -> DataFrame:

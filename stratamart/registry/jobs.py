@@ -11,13 +11,15 @@ from pyspark.sql import functions as F
 from stratamart.operators import quality
 from stratamart.plans import banking as bank, flows, scoring
 from stratamart.plans.retail import facts
+from stratamart.plans.retail.flow import LAYERS, SYSTEMS, RetailFlow, outcomes
+from stratamart.plans.retail.layers import COMMENTS
 from stratamart.registry.banking import _PROFILE, RUN
 from stratamart.registry.core import Context, query, relation
 from stratamart.session import scratch_path
 from stratamart.sinks import tables as t
 from stratamart.sources import readers, shapes
-from stratamart.sources.defects import RULES, hit, inject_defects, slices
-from stratamart.sources.landing import ingest, land
+from stratamart.sources.defects import REPLAYS, RULES, hit, inject_defects, slices
+from stratamart.sources.landing import ingest
 
 BATCH = "batch_20240120"
 
@@ -110,33 +112,58 @@ query("src_defect_rules", "feed:s column_name:s kind:s feed_rows:i near_rate:b",
 
 
 # --- landing ----------------------------------------------------------------------------------
-SYSTEMS = {"store_sales": "pos", "web_sales": "web-shop", "customer": "crm", "item": "merch-erp"}
+def retail_flow(ctx: Context, extracts=None, dirty: bool = False, root: str | None = None) -> RetailFlow:
+    """A retail flow of its own, over the 24 extracts."""
+    name = f"sm_{uuid.uuid4().hex[:10]}"
+    return RetailFlow(ctx.spark, root or scratch_path(ctx.spark, name), name, extracts or (lambda n: ctx[f"src_{n}"]), BATCH, dirty=dirty)
+
+
+def built(ctx: Context) -> tuple[RetailFlow, list, list]:
+    """The flow run once for this context and then once more: flow, outcomes, outcomes of the rerun by a new driver."""
+    with ctx.lock:
+        if not hasattr(ctx, "built_flow"):
+            flow = retail_flow(ctx)
+            first = flow.run()
+            again = RetailFlow(ctx.spark, flow.manifest.root, flow.prefix, flow.extracts, BATCH)
+            ctx.built_flow = flow, first, again.run()
+    return ctx.built_flow
 
 
 def landed(ctx: Context) -> str:
-    """Bronze database of four extracts, landed once per context."""
-    if not hasattr(ctx, "landed_db"):
-        ctx.landed_db = fresh_db(ctx, "bronze")
-        land(ctx.spark, {n: ctx[f"src_{n}"] for n in SYSTEMS}, ctx.landed_db, SYSTEMS, BATCH)
+    """Bronze database of all 24 extracts, landed once per context."""
+    with ctx.lock:
+        if not hasattr(ctx, "landed_db"):
+            flow = retail_flow(ctx)
+            flow.land()
+            ctx.landed_db = f"{flow.prefix}_bronze"
     return ctx.landed_db
 
 
 def _landed_dirty(c: Context):
     """Rows of each extract landed with defects, and that its distinct keys are all there."""
-    db = fresh_db(c, "dirty")
-    land(c.spark, {n: c[f"src_{n}"] for n in KEYS}, db, SYSTEMS, BATCH, dirty=True)
+    flow = retail_flow(c, dirty=True)
+    flow.land()
     parts = []
     for n, keys in KEYS.items():
-        source, held = c[f"src_{n}"], c.spark.table(f"{db}.{n}")
+        source, held = c[f"src_{n}"], flow.manifest.read("bronze", n)
         counted = quality.side_by_side(source.agg(F.count("*").alias("feed_rows")), held.agg(F.count("*").alias("m"), F.count_distinct(F.struct(*keys)).alias("distinct_keys")))
-        rate = (F.col("m") - F.col("feed_rows")) / F.col("feed_rows")
-        parts.append(counted.select(F.lit(n).alias("table_name"), "feed_rows", "distinct_keys", rate.between(0.004, 0.035).alias("replays_near_rate")))
+        rate = REPLAYS.get(n, 0) / 1e4 * F.col("feed_rows")
+        near = F.abs(F.col("m") - F.col("feed_rows") - rate) <= 4 * F.sqrt(rate) + (3 if n in REPLAYS else 0)
+        parts.append(counted.select(F.lit(n).alias("table_name"), "feed_rows", "distinct_keys", near.alias("replays_near_rate")))
     return reduce(DataFrame.unionByName, parts)
 
 
-KEYS = {"store_sales": ["ss_item_sk", "ss_ticket_number"], "customer": ["c_customer_sk"], "item": ["i_item_sk"]}
+# What tells the rows of an extract apart; a sold line without its item is known by its order alone.
+KEYS = {
+    "store_sales": ["ss_item_sk", "ss_ticket_number"], "catalog_sales": ["cs_item_sk", "cs_order_number"], "web_sales": ["ws_item_sk", "ws_order_number"],
+    "store_returns": ["sr_item_sk", "sr_ticket_number"], "catalog_returns": ["cr_item_sk", "cr_order_number"], "web_returns": ["wr_item_sk", "wr_order_number"],
+    "inventory": ["inv_item_sk", "inv_warehouse_sk", "inv_date_sk"],
+    "customer": ["c_customer_sk"], "customer_address": ["ca_address_sk"], "customer_demographics": ["cd_demo_sk"], "household_demographics": ["hd_demo_sk"],
+    "income_band": ["ib_income_band_sk"], "item": ["i_item_sk"], "store": ["s_store_sk"], "date_dim": ["d_date_sk"], "time_dim": ["t_time_sk"], "web_site": ["web_site_sk"],
+    "web_page": ["wp_web_page_sk"], "call_center": ["cc_call_center_sk"], "catalog_page": ["cp_catalog_page_sk"], "warehouse": ["w_warehouse_sk"], "promotion": ["p_promo_sk"],
+    "ship_mode": ["sm_ship_mode_sk"], "reason": ["r_reason_sk"],
+}
 query("bronze_land_dirty", "table_name:s feed_rows:i distinct_keys:i replays_near_rate:b", " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS feed_rows, count(DISTINCT {', '.join(k)}) AS distinct_keys, true AS replays_near_rate FROM {{src_{n}}}" if len(k) == 1 else
     f"SELECT '{n}' AS table_name, count(*) AS feed_rows, count(DISTINCT ({', '.join(k)})) AS distinct_keys, true AS replays_near_rate FROM {{src_{n}}}" for n, k in KEYS.items()))(_landed_dirty)
 
 
@@ -145,18 +172,15 @@ _LANDED = " UNION ALL ".join(f"SELECT '{n}' AS table_name, '{s}' AS _source_syst
 
 def _bronze_land(c: Context):
     db = landed(c)
-    out = None
-    for n in SYSTEMS:
-        rows = c.spark.table(f"{db}.{n}").groupBy("_source_system", "_batch_id", "_source_file").agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(n))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    parts = [c.spark.table(f"{db}.{n}").groupBy("_source_system", "_batch_id", "_source_file").agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(n)) for n in SYSTEMS]
+    return reduce(DataFrame.unionByName, parts)
 
 
 query("bronze_land", "table_name:s _source_system:s _batch_id:s _source_file:s rows:i", _LANDED)(_bronze_land)
 query("src_catalog_scan", "c_customer_sk:i c_customer_id:s c_email_address:s", "SELECT c_customer_sk, c_customer_id, c_email_address FROM {src_customer}")(
     lambda c: readers.read_landed(c.spark, f"{landed(c)}.customer"))
-query("dq_audit_trail", "_source_system:s _batch_id:s rows:i files:i", f"SELECT _source_system, _batch_id, sum(rows) AS rows, count(DISTINCT _source_file) AS files FROM ({_LANDED}) WHERE table_name <> 'item' GROUP BY 1, 2")(
-    lambda c: quality.audit_trail(*(c.spark.table(f"{landed(c)}.{n}") for n in ("store_sales", "web_sales", "customer"))))
+query("dq_audit_trail", "_source_system:s _batch_id:s rows:i files:i", f"SELECT _source_system, _batch_id, sum(rows) AS rows, count(DISTINCT _source_file) AS files FROM ({_LANDED}) GROUP BY 1, 2")(
+    lambda c: quality.audit_trail(*(c.spark.table(f"{landed(c)}.{n}") for n in SYSTEMS)))
 _DEFECTS = " UNION ALL ".join([
     "SELECT 'customer' AS tbl, 'duplicate customer keys' AS defect, (SELECT count(*) FROM (SELECT c_customer_sk FROM {src_customer} GROUP BY 1 HAVING count(*) > 1)) AS n",
     "SELECT 'customer', 'missing email', count(*) FROM {src_customer} WHERE c_email_address IS NULL",
@@ -275,25 +299,92 @@ def _files(c: Context):
 query("sink_file_target", "total:i over_limit:i enough_files:b", "SELECT count(*) AS total, 0 AS over_limit, true AS enough_files FROM {orders}")(_files)
 
 
-def _ddl(c: Context):
-    """Create twice, comment, and read the catalog back."""
-    db = fresh_db(c)
+# Rows of every published table, for the expected side.
+_SILVER_ROWS = {n: f"SELECT count(*) FROM {{{r}}}" for n, r in {
+    **{n: f"r_{n}" for n in LAYERS["silver"] if n.startswith("dim_")}, "fct_sales": "r_sales", "fct_returns": "r_returns", "fct_inventory": "r_inventory",
+    "dq_rejects_sales": "m_dq_rejects_sales", "dq_metrics": "m_dq_metrics"}.items()}
+_ROWS = {"bronze": {n: f"SELECT count(*) FROM {{src_{n}}}" for n in SYSTEMS}, "silver": _SILVER_ROWS, "gold": {n: f"SELECT count(*) FROM {{m_{n}}}" for n in LAYERS["gold"]}}
+
+
+def _per_table(layer: str, more: str = "") -> str:
+    return " UNION ALL ".join(f"SELECT '{layer}' AS layer, '{n}' AS table_name, ({q}) AS rows{more}" for n, q in _ROWS[layer].items())
+
+
+for _layer in LAYERS:  # the first run writes every table, the second one none
+    query(f"flow_retail_{ {'bronze': 'land'}.get(_layer, _layer) }", "layer:s table_name:s rows:i status_0:s status_1:s", _per_table(_layer, ", 'WRITTEN' AS status_0, 'KEPT' AS status_1"))(
+        lambda c, layer=_layer: outcomes(c.spark, *built(c)[1:]).where(F.col("layer") == layer))
+# A figure of every mart, read from the catalog.
+_FIGURE = {
+    "dim_customer_rfm": "net_lifetime_value", "agg_customer_channel_mix": "channel_revenue", "agg_promotion_effectiveness": "promoted_revenue", "agg_returns_by_reason_month": "refund_amount",
+    "agg_inventory_health_weekly": "week_revenue", "agg_category_affinity": "baskets_together"}
+
+
+def _mart_totals(c: Context):
+    flow = built(c)[0]
+    return reduce(DataFrame.unionByName, [c.spark.table(f"{flow.prefix}_gold.{n}").groupBy("_gold_batch_id").agg(
+        F.count("*").alias("rows"), F.sum(F.col(_FIGURE.get(n, "net_revenue")).cast("decimal(24,2)")).alias("total")).withColumn("table_name", F.lit(n)) for n in LAYERS["gold"]])
+
+
+query("flow_retail_totals", "table_name:s _gold_batch_id:s rows:i total:f", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, '{BATCH}' AS _gold_batch_id, count(*) AS rows, CAST(sum(CAST({_FIGURE.get(n, 'net_revenue')} AS DECIMAL(24,2))) AS DOUBLE) AS total FROM {{m_{n}}} HAVING count(*) > 0" for n in LAYERS["gold"]))(_mart_totals)
+
+
+def _resumed(c: Context):
+    """An extract that cannot be read leaves the others committed and the layer unsealed; the next run writes only that one."""
+    def broken(name: str) -> DataFrame:
+        if name == "web_sales":
+            raise OSError("the extract is not there")
+        return c[f"src_{name}"]
+
+    flow = retail_flow(c, broken)
+    first, early = flow.land(), flow.manifest.sealed("bronze")
+    second = RetailFlow(c.spark, flow.manifest.root, flow.prefix, lambda n: c[f"src_{n}"], BATCH).land()
+    return outcomes(c.spark, first, second).withColumns({"sealed_0": F.lit(early == BATCH), "sealed_1": F.lit(flow.manifest.sealed("bronze") == BATCH)})
+
+
+query("flow_retail_resume", "table_name:s rows:i status_0:s status_1:s sealed_0:b sealed_1:b", f"""SELECT *, CASE table_name WHEN 'web_sales' THEN 'FAILED' ELSE 'WRITTEN' END AS status_0,
+  CASE table_name WHEN 'web_sales' THEN 'WRITTEN' ELSE 'KEPT' END AS status_1, false AS sealed_0, true AS sealed_1 FROM ({_per_table('bronze')})""")(_resumed)
+
+
+def _described(c: Context, layer: str):
+    """Tables of a layer with their rows, and their comments as the catalog has them."""
+    flow = built(c)[0]
+    db = f"{flow.prefix}_{layer}"
+    return reduce(DataFrame.unionByName, [c.spark.table(f"{db}.{x.name}").agg(F.count("*").alias("rows")).withColumns({
+        "table_name": F.lit(x.name), "comment": F.lit(x.description)}) for x in c.spark.catalog.listTables(db)])
+
+
+def _comment_sql(n: str) -> str:
+    return "'" + COMMENTS[n].replace("'", "''") + "'" if n in COMMENTS else "NULL"
+
+
+def _if_absent(c: Context):
+    """Creating a table again leaves its rows alone."""
+    name = f"{fresh_db(c)}.nations"
     for _ in range(2):
-        t.create_database(c.spark, db, "again")
-        t.create_if_absent(c.spark, f"{db}.pipeline_audit_log", flows.AUDIT_DDL)
-    t.overwrite(_mix(c), f"{db}.mix")
-    t.set_comment(c.spark, f"{db}.mix", "Order mix, it's new")
-    return db
-
-
-query("ddl_table_if_absent", "rows:i", "SELECT 0 AS rows FROM {region} LIMIT 1")(lambda c: c.spark.table(f"{_ddl(c)}.pipeline_audit_log").agg(F.count("*").alias("rows")))
-query("ddl_comment", "comment:s", "SELECT 'Order mix, it''s new' AS comment FROM {orders} LIMIT 1")(
-    lambda c: c.spark.sql(f"DESCRIBE EXTENDED {_ddl(c)}.mix").where("col_name = 'Comment'").select(F.col("data_type").alias("comment")))
-query("ddl_database", "found:b described:b", "SELECT true AS found, true AS described FROM {orders} LIMIT 1")(
-    lambda c: (lambda db: _mix(c).limit(1).select(F.lit(c.spark.catalog.databaseExists(db)).alias("found"), F.lit(bool(t.location_of(c.spark, f"{db}.mix"))).alias("described")))(_ddl(c)))
-query("cat_inspect", "table_name:s position:i column_name:s data_type:s",
-      "SELECT 'mix' AS table_name, 0 AS position, 'o_orderpriority' AS column_name, 'string' AS data_type FROM {orders} LIMIT 1")(
-    lambda c: t.describe(c.spark, _ddl(c)).where("table_name = 'mix' AND position = 0"))
+        t.create_if_absent(c.spark, name, "n_nationkey INT, n_name STRING")
+        t.append(c["nation"].select(F.col("n_nationkey").cast("int"), "n_name"), name)
+    return c.spark.table(name)
+
+
+def _databases(c: Context):
+    """A database created again keeps its tables; what it holds, by layer."""
+    flow = built(c)[0]
+    for layer in LAYERS:
+        t.create_database(c.spark, f"{flow.prefix}_{layer}", "again")
+    return flow.census().withColumns({"layer": F.replace("layer", F.lit(f"{flow.prefix}_"), F.lit("")), "described": F.lit(all(
+        c.spark.catalog.getDatabase(f"{flow.prefix}_{x}").description == f"Tables of the {x} layer" for x in LAYERS))})
+
+
+_CENSUS = " UNION ALL ".join(f"SELECT layer, count(*) AS tables, sum(rows) AS rows FROM ({_per_table(x)}) GROUP BY 1" for x in LAYERS)
+query("ddl_table_if_absent", "n_nationkey:i n_name:s", "SELECT n_nationkey, n_name FROM {nation} UNION ALL SELECT n_nationkey, n_name FROM {nation}")(_if_absent)
+query("ddl_comment", "table_name:s comment:s rows:i", " UNION ALL ".join(f"SELECT '{n}' AS table_name, {_comment_sql(n)} AS comment, ({q}) AS rows FROM (SELECT 1)" for n, q in _ROWS["silver"].items()))(
+    lambda c: _described(c, "silver"))
+query("ddl_database", "layer:s tables:i rows:i described:b", f"SELECT *, true AS described FROM ({_CENSUS})")(_databases)
+_KIND = "CASE WHEN {t} IN ('string', 'VARCHAR') THEN 'text' WHEN {t} IN ('date', 'DATE') THEN 'date' WHEN {t} IN ('timestamp', 'TIMESTAMP') THEN 'time' ELSE 'number' END"
+query("cat_inspect", "table_name:s position:i column_name:s kind:s", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, row_number() OVER () - 1 AS position, column_name, {_KIND.format(t='column_type')} AS kind FROM (DESCRIBE SELECT * FROM {{src_{n}}})" for n in SYSTEMS))(
+    lambda c: t.describe(c.spark, landed(c)).where(~F.startswith("column_name", F.lit("_"))).withColumn("kind", F.expr(_KIND.format(t="data_type"))))
 query("job_table_summary", "table_name:s total:i place:i c_customer_sk:i", """SELECT 'customer' AS table_name, (SELECT count(*) FROM {src_customer}) AS total, row_number() OVER (ORDER BY c_customer_sk) AS place, c_customer_sk
   FROM (SELECT c_customer_sk FROM {src_customer} ORDER BY 1 LIMIT 10)""")(lambda c: flows.table_summary(c.spark, f"{landed(c)}.customer", "c_customer_sk"))
 query("job_table_summary_sql", "customer_id:i rfm_score:i segment:s", "SELECT customer_id, rfm_score, segment FROM {v_segments} ORDER BY rfm_score DESC, customer_id LIMIT 10")(
@@ -305,24 +396,9 @@ def _segments(c: Context):
     return segments(c)
 
 
-def _three_layers(c: Context) -> str:
-    base = fresh_db(c, "bronze").removesuffix("_bronze")
-    for layer in ("silver", "gold"):
-        t.create_database(c.spark, f"{base}_{layer}", layer, scratch_path(c.spark, f"{base}_{layer}"))
-    t.overwrite(c["orders"].withColumn("_batch_id", F.lit(BATCH)), f"{base}_bronze.orders")
-    t.publish(c["orders"], f"{base}_silver.orders", "silver", BATCH)
-    t.publish(_mix(c), f"{base}_gold.mix", "gold", BATCH)
-    t.overwrite(_mix(c), f"{base}_gold._stg_mix")
-    return base
-
-
-query("dq_census", "layer:s tables:i rows:i",
-      f"SELECT 'bronze' AS layer, 1 AS tables, count(*) AS rows FROM {{orders}} UNION ALL SELECT 'silver', 1, count(*) FROM {{orders}} UNION ALL SELECT 'gold', 1, count(*) FROM ({_MIX}) UNION ALL SELECT 'absent', 0, 0 FROM {{region}} WHERE r_regionkey = 0")(
-    lambda c: (lambda base: t.census(c.spark, [f"{base}_{x}" for x in ("bronze", "silver", "gold", "absent")]).withColumn("layer", F.replace("layer", F.lit(f"{base}_"), F.lit(""))))(_three_layers(c)))
-query("dq_lineage_check", "batches:i layers:i consistent:b", "SELECT 1 AS batches, 3 AS layers, true AS consistent FROM {region} WHERE r_regionkey = 0")(
-    lambda c: (lambda base: quality.lineage_check({
-        "bronze": (c.spark.table(f"{base}_bronze.orders"), "_batch_id"), "silver": (c.spark.table(f"{base}_silver.orders"), "_silver_batch_id"),
-        "gold": (c.spark.table(f"{base}_gold.mix"), "_gold_batch_id")}))(_three_layers(c)))
+query("dq_census", "layer:s tables:i rows:i", f"{_CENSUS} UNION ALL SELECT 'absent', 0, 0")(
+    lambda c: (lambda flow: flow.census("absent").withColumn("layer", F.replace("layer", F.lit(f"{flow.prefix}_"), F.lit(""))))(built(c)[0]))
+query("dq_lineage_check", "layer:s tables:i rows:i unstamped:i batches:s", f"SELECT *, 0 AS unstamped, '{BATCH}' AS batches FROM ({_CENSUS})")(lambda c: built(c)[0].lineage())
 
 
 # --- flows -----------------------------------------------------------------------------------
