@@ -7,33 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratamart.sinks.scratch import settle
+
 
 def previous_value(
     df: DataFrame, key: str, order: Sequence[str], value: str, bin_: Column, out: str,
 ) -> DataFrame:
     """lag(value) per key in ``order``, with the work split by (key, bin).
 
-    ``bin_`` must rise with the first order column. Inside a bin an ordinary lag
-    is used; the first row of a bin takes the last value of the key's nearest
-    earlier bin, read from one pre-aggregated row per (key, bin).
+    ``bin_`` must rise with the first order column. The table is read and shuffled once, by (key, bin), and an ordinary lag is
+    used inside a bin. What the last row of a bin hands on to the key's next bin is one row a bin; only the first row of each
+    bin meets it.
     """
-    binned = df.withColumn("__bin", bin_)
+    binned = df.withColumn("__bin", bin_).repartition(key, "__bin")
     inside = Window.partitionBy(key, "__bin").orderBy(*order)
-    local = binned.select(
-        "*", F.lag(value).over(inside).alias("__lag"), F.row_number().over(inside).alias("__nth")
-    )
+    local = settle(binned.select(
+        "*", F.lag(value).over(inside).alias("__lag"), (F.row_number().over(inside) == 1).alias("__first"), F.lead(F.lit(True)).over(inside).isNull().alias("__last")), "bins")
     across = Window.partitionBy("__k").orderBy("__b")
-    carry = (
-        binned.groupBy(F.col(key).alias("__k"), F.col("__bin").alias("__b"))
-        .agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__last"))
-        .select("__k", "__b", F.lag("__last").over(across)["v"].alias("__carried"))
-    )
-    first = F.col("__nth") == 1
-    return (
-        local.join(carry, F.col(key).eqNullSafe(F.col("__k")) & F.col("__bin").eqNullSafe(F.col("__b")), "left")
-        .withColumn(out, F.when(first, F.col("__carried")).otherwise(F.col("__lag")))
-        .select(*df.columns, out)
-    )
+    carry = local.where("__last").select(F.col(key).alias("__k"), F.col("__bin").alias("__b"), F.struct(F.col(value).alias("v")).alias("__end")).withColumn(
+        "__carried", F.lag("__end").over(across)["v"]).drop("__end")
+    opening = local.where("__first").drop("__lag").join(carry, F.col(key).eqNullSafe(F.col("__k")) & F.col("__bin").eqNullSafe(F.col("__b")), "left")
+    return opening.withColumn(out, F.col("__carried")).select(*df.columns, out).unionByName(
+        local.where("NOT __first").withColumn(out, F.col("__lag")).select(*df.columns, out))
 
 
 def events_in_trailing_window(

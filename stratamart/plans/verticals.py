@@ -144,10 +144,11 @@ def readmission_risk(claims: DataFrame) -> DataFrame:
     """Readmission within 30 days of the discharge before, by primary diagnosis.
 
     A beneficiary's stays are ordered by admission, then discharge and claim id. The
-    look-back is cut by admission month. An overlapping stay has a negative gap and counts.
+    look-back is cut by admission day. An overlapping stay has a negative gap and counts.
     """
     order = ["CLM_ADMSN_DT", "NCH_BENE_DSCHRG_DT", "CLM_ID"]
-    with_prior = previous_value(claims, "DESYNPUF_ID", order, "NCH_BENE_DSCHRG_DT", F.floor(F.col("CLM_ADMSN_DT") / 100), "prior_discharge_dt")
+    stays = claims.select("DESYNPUF_ID", *order, "ICD9_DGNS_CD_1", "CLM_PMT_AMT")
+    with_prior = previous_value(stays, "DESYNPUF_ID", order, "NCH_BENE_DSCHRG_DT", F.col("CLM_ADMSN_DT"), "prior_discharge_dt")
     gap = F.datediff(parse_date("CLM_ADMSN_DT", "yyyyMMdd"), parse_date("prior_discharge_dt", "yyyyMMdd"))
     return with_prior.groupBy(F.col("ICD9_DGNS_CD_1").alias("primary_diagnosis_code")).agg(
         F.count("*").alias("total_admissions"), _count_where(gap <= READMISSION_DAYS).alias("readmissions_within_30d"),

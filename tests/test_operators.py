@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 
 from stratamart.functions import exact_sum, in_key_slice, parse_date, parse_number, pct, rounded_sum
 from stratamart.operators import baskets, keyed, quality
-from stratamart.operators.ranking import ntile_scores, rank_within
+from stratamart.operators.ranking import Ranking, ntile_scores, rank_within, rankings
 from stratamart.operators.sequence import dense_months, events_in_trailing_window, previous_value
 from stratamart.sources.defects import inject_defects
 
@@ -136,3 +136,22 @@ def test_sums_are_rounded_once_and_may_be_large(spark):
     assert cents.select(rounded_sum("a").cast("double")).first()[0] == 0.02
     large = spark.createDataFrame([(9e15,)] * 4, "a double").select(exact_sum("a").alias("s"))
     assert large.select(exact_sum("s")).first()[0] == 36_000_000_000_000_000
+
+
+def test_rankings_share_one_sort_and_one_join(skewed):
+    """Two rankings, one of them within finer groups; one shuffle by range beyond the counting, and the rows joined once."""
+    wanted = [Ranking(("key", "bucket"), "fine"), Ranking(("key",), "coarse", "share")]
+    df = skewed.withColumn("bucket", F.col("id") % 3)
+    got = rankings(df, "val", wanted)
+    down = F.col("val").desc_nulls_last()
+    want = df.select("id", F.rank().over(Window.partitionBy("key", "bucket").orderBy(down)).alias("fine"), F.rank().over(Window.partitionBy("key").orderBy(down)).alias("coarse"),
+                     F.percent_rank().over(Window.partitionBy("key").orderBy(F.col("val").asc_nulls_first())).alias("share"))
+    assert rows(got.select("id", "fine", "coarse", "share")) == rows(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1 and "rangepartitioning" not in plan
+
+
+def test_previous_value_reads_its_input_once(skewed):
+    got = previous_value(skewed, "key", ["at", "id"], "val", F.col("at"), "p")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in plan and "LocalRelation" not in plan  # only what was written after the one shuffle is read
