@@ -16,8 +16,31 @@ from stratamart.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: What one batch between Spark and Python holds at most: texts can be long, and every task has a batch on either side.
+BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the batches of this session; what the caller has set lower stays."""
+    for key, most in BATCH_CONF.items():
+        now = int(spark.conf.get(key))
+        if now <= 0 or now > int(most):
+            spark.conf.set(key, most)
+
+
+def as_text(key: Column | str) -> Column:
+    """A whole number on its way through pandas, which would round it beside a NULL; cast back with cast("long")."""
+    return (F.col(key) if isinstance(key, str) else key).cast("long").cast("string")
+
+
+def as_given(keys: pd.Series) -> pd.Series:
+    """Such keys of a batch as plain objects, None where there is none, ready to go out again."""
+    return pd.Series([k if isinstance(k, str) else None for k in keys], dtype="object")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of an input table."""
+    bound_batches(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*(F.col(f"`{c}`") for c in columns)) if columns else df
 

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import add_vectors, settle_at, words_of
+from stratamart.llm.common import add_vectors, as_given, as_text, settle_at, words_of
 
 END = "\n"  # no word holds it
 SHORTLIST = 1_500
@@ -499,7 +499,7 @@ def score(docs: DataFrame, counts: DataFrame, totals: Counts, model: Model, held
                 numbers = Numbering(known, make)
             out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score", "tail", "near"])
             out.insert(0, "held_out", batch["held_out"].array)
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").array)
+            out.insert(0, "doc_id", as_given(batch["doc_id"]))
             yield out
 
     def score_tail(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -510,14 +510,14 @@ def score(docs: DataFrame, counts: DataFrame, totals: Counts, model: Model, held
             out = pd.DataFrame({"row": batch["row"], "t_known": (c > 0).astype(np.int64), "t_base": np.log10((c + SMOOTH) / base), "t_score": inner})
             yield out.groupby("row", as_index=False).sum()
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, tail array<string>, near array<int>"
+    rows = docs.select(as_text("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
+    schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double, tail array<string>, near array<int>"
     scored, _ = settle_at(rows.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     tail = scored.select("row", F.explode(F.arrays_zip("tail", "near")).alias("t")).select("row", F.col("t.tail").alias("token"), F.col("t.near").alias("near"))
     met = tail.join(learnt.drop("g"), "token", "left").select("row", "near", group_column(F.col("token"), model.groups).alias("g"), F.coalesce("c", F.lit(0)).alias("c"), "packed")
     sums = met.mapInPandas(score_tail, "row long, t_known long, t_base double, t_score double").groupBy("row").agg(*(F.sum(x).alias(x) for x in ("t_known", "t_base", "t_score")))
     plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
-    return scored.drop("tail", "near").join(sums, "row", "left").select("doc_id", "held_out", "n_tokens", plus("n_known", "t_known"), F.lit(totals.total).cast("long").alias("train_tokens"),
+    return scored.drop("tail", "near").join(sums, "row", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens", plus("n_known", "t_known"), F.lit(totals.total).cast("long").alias("train_tokens"),
                                                                         plus("base_score", "t_base"), plus("score", "t_score"))
 
 

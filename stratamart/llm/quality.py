@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.llm.common import as_given, as_text
+
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_exclaims", "n_alpha_words", "n_upper", "n_letters")
@@ -93,11 +95,11 @@ def ledger(docs: DataFrame) -> DataFrame:
         for batch in batches:
             rows = [figures(t) for t in batch["text"]]
             out = pd.DataFrame(rows, columns=list(FIGURES), dtype="int64")
-            out.insert(0, "doc_id", batch["doc_id"].array)
+            out.insert(0, "doc_id", as_given(batch["doc_id"]))
             yield out
 
-    schema = "doc_id long, " + ", ".join(f"{c} long" for c in FIGURES)
-    measured = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(measure, schema)
+    schema = "doc_id string, " + ", ".join(f"{c} long" for c in FIGURES)
+    measured = docs.select(as_text("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(measure, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
     bits = [F.when(F.expr(fails), F.lit(BIT[name])).otherwise(F.lit(0)) for name, fails in RULES]
     total = bits[0]
     for b in bits[1:]:

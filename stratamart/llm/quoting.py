@@ -27,20 +27,31 @@ MARKS = r"^((?:[ \t]*>)+)[ \t]?"
 INTRODUCTION = r"(?i)^[ \t]*(on\b.*|[^>]{1,80}) (wrote|writes|said):[ \t\r]*$"
 
 
-def passages_of(text: Column) -> Column:
-    """Array of (level, lines): runs of lines of one level, without marks; introductions of quotes left out."""
-    lines = F.transform(F.split(F.coalesce(text, F.lit("")), "\r?\n"), lambda line: F.struct(
+def bound(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """df with a column that is evaluated once: behind a generator, expressions that use it do not repeat it."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
+def lines_of(text: Column) -> Column:
+    """Array of (level, line), without marks."""
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\r?\n"), lambda line: F.struct(
         F.length(F.regexp_replace(F.regexp_extract(line, MARKS, 1), "[^>]", "")).alias("level"), F.regexp_replace(line, MARKS, "").alias("line")))
-    # an introduction stands right above a line of a deeper level
-    kept = F.filter(F.transform(lines, lambda x, k: F.struct(x["level"].alias("level"), x["line"].alias("line"),
+
+
+def without_introductions(lines: Column) -> Column:
+    """The lines but those that introduce a quote: an introduction stands right above a line of a deeper level."""
+    return F.filter(F.transform(lines, lambda x, k: F.struct(x["level"].alias("level"), x["line"].alias("line"),
                                                             (x["line"].rlike(INTRODUCTION) & (F.get(lines, k + 1)["level"] > x["level"])).alias("intro"))),
                     lambda x: ~F.coalesce(x["intro"], F.lit(False)))
-    return kept
 
 
-def runs_of(lines: Column) -> Column:
-    """The runs of equal level in an array of lines."""
-    starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(lines) - 1, F.lit(0))), lambda k: (k == 0) | (F.get(lines, k - 1)["level"] != F.get(lines, k)["level"]))
+def starts_of(lines: Column) -> Column:
+    """Where the runs of equal level begin in an array of lines."""
+    return F.filter(F.sequence(F.lit(0), F.greatest(F.size(lines) - 1, F.lit(0))), lambda k: (k == 0) | (F.get(lines, k - 1)["level"] != F.get(lines, k)["level"]))
+
+
+def runs_of(lines: Column, starts: Column) -> Column:
+    """The runs of equal level; each line is copied once."""
     return F.transform(starts, lambda s, j: F.struct(
         F.get(lines, s)["level"].alias("level"),
         F.transform(F.slice(lines, s + 1, F.coalesce(F.get(starts, j + 1), F.size(lines)) - s), lambda x: x["line"]).alias("lines")))
@@ -58,8 +69,11 @@ def digest(text: Column) -> Column:
 
 def parse(messages: DataFrame) -> DataFrame:
     """Messages with q_runs (level, hash of the run, hashes of its lines) and q_body, the text without quotes."""
-    rows = messages.select(F.col("thread"), F.col("ordinal"), F.col("role"), F.col("text").cast("string").alias("text")).withColumn("q_lines", passages_of(F.col("text")))
-    rows = rows.withColumn("q_cut", runs_of(F.col("q_lines")))
+    rows = messages.select(F.col("thread"), F.col("ordinal"), F.col("role"), F.col("text").cast("string").alias("text"))
+    rows = bound(rows, "q_all", lines_of(F.col("text")))
+    rows = bound(rows, "q_lines", without_introductions(F.col("q_all")))
+    rows = bound(rows, "q_starts", starts_of(F.col("q_lines")))
+    rows = bound(rows, "q_cut", runs_of(F.col("q_lines"), F.col("q_starts")))
     body = F.trim(F.regexp_replace(F.array_join(F.transform(F.filter("q_lines", lambda x: x["level"] == 0), lambda x: x["line"]), "\n"), r"^\s+|\s+$", ""))
     runs = F.transform("q_cut", lambda r: F.struct(r["level"].alias("level"), digest(F.array_join(r["lines"], "\n")).alias("whole"),
                                                    F.array_distinct(F.filter(F.transform(r["lines"], lambda x: digest(x)), lambda h: h.isNotNull())).alias("each")))

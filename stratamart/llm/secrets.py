@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 SAMPLE_DOCS = 20_000
 KINDS = ("assign", "access", "hex", "crf")
 MASK = "[secret]"
+LONGEST = 12  # tokens of a training example; longer stretches are several
 
 # The base patterns.
 ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -136,11 +137,16 @@ class Field:
         """The best tags of a stretch, by Viterbi; what lies before and after it is O."""
         if not run:
             return []
-        best = [(self.emission(run[0])[t] + self.moves[O][t], [t]) for t in range(3)]
+        score = [self.emission(run[0])[t] + self.moves[O][t] for t in range(3)]
+        back: list[list[int]] = []
         for found in run[1:]:
             e = self.emission(found)
-            best = [max(((s + self.moves[path[-1]][t] + e[t], [*path, t]) for s, path in best), key=lambda x: x[0]) for t in range(3)]
-        return max(best, key=lambda x: x[0] + self.moves[x[1][-1]][O])[1]
+            back.append([max(range(3), key=lambda s, t=t: score[s] + self.moves[s][t]) for t in range(3)])
+            score = [score[s] + self.moves[s][t] + e[t] for t, s in enumerate(back[-1])]
+        path = [max(range(3), key=lambda t: score[t] + self.moves[t][O])]
+        for best in reversed(back):
+            path.append(best[path[-1]])
+        return path[::-1]
 
     def spans(self, text: str) -> list[tuple[str, int, int, int]]:
         of_file, out = None, []
@@ -195,10 +201,14 @@ def _examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     hit = next((b for b in base if b[3] < e and s < b[2]), None)
                     tags.append("O" if hit is None else "I" if hit is last else "B")
                     last = hit
-                found = [features(text, s, e, of_file) for s, e in run]
-                rows.append(("\n".join(" ".join(f) for f in found), "".join(tags)))
-                if "B" in tags:  # shapes alone
-                    rows.append(("\n".join(" ".join(x for x in f if not x.startswith(OUTSIDE)) for f in found), "".join(tags)))
+                whole = [features(text, s, e, of_file) for s, e in run]
+                for k in range(0, len(run), LONGEST):  # a long stretch is learnt from in pieces, all of it
+                    found, tags_here = whole[k:k + LONGEST], tags[k:k + LONGEST]
+                    if tags_here[0] == "I":
+                        tags_here[0] = "B"
+                    rows.append(("\n".join(" ".join(f) for f in found), "".join(tags_here)))
+                    if "B" in tags_here:  # shapes alone
+                        rows.append(("\n".join(" ".join(x for x in f if not x.startswith(OUTSIDE)) for f in found), "".join(tags_here)))
         yield pd.DataFrame(rows, columns=["run", "tags"])
 
 
@@ -210,12 +220,12 @@ def train(docs: DataFrame, bound: int = SAMPLE_DOCS) -> Field | None:
     return fit_field(rows)
 
 
-def fit_field(rows: pd.DataFrame, rounds: int = 200, ridge: float = 0.05, longest: int = 12) -> Field | None:
+def fit_field(rows: pd.DataFrame, rounds: int = 200, ridge: float = 0.05) -> Field | None:
     """Maximum likelihood by forward-backward over all stretches at once, with Adam steps."""
     if not rows["tags"].str.contains("B").any():
         return None
     rows = rows.sort_values(["run", "tags"])
-    runs = [[token.split(" ") for token in run.split("\n")][:longest] for run in rows["run"]]
+    runs = [[token.split(" ") for token in run.split("\n")] for run in rows["run"]]
     names = {f: k + 1 for k, f in enumerate(sorted({f for run in runs for token in run for f in token}))}  # 0: nothing
     length = np.array([len(r) for r in runs])
     wide = max(len(t) for r in runs for t in r)

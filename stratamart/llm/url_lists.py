@@ -2,7 +2,8 @@
 
 A list's history is a table of changes (list_name, verdict, pattern, change, at). Changes become validity intervals: an
 addition holds until the next removal. A pattern is a host or domain, which covers what lies below it, or a host with a
-path, which covers that path and what lies below it. A capture is looked up under every domain and path prefix of its URL,
+path, which covers that path and what lies below it. Hosts of patterns are normalised as those of URLs are (case, www., port,
+final dot) before changes are paired; paths keep their case; a pattern of one label covers a top-level domain. A capture is looked up under every domain and path prefix of its URL,
 joined to the intervals that hold at its fetch time; the longest pattern decides, and at equal length ``block``.
 
 Edge cases, all defined: changes with a NULL in list, pattern, change or time are skipped; of changes at the same instant
@@ -28,11 +29,10 @@ def host_of(url: Column) -> Column:
 
 
 def keys_of(url: Column, depth: Column) -> Column:
-    """All patterns that would cover a URL: its host and domains of two labels or more, and path prefixes up to depth segments."""
+    """All patterns that would cover a URL: its host, the domains above it up to the top level, and path prefixes up to depth segments."""
     host = host_of(url)
     labels = F.split(host, r"\.")
-    domains = F.when(F.size(labels) <= 2, F.array(host)).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size(labels) - 1), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), ".")))
+    domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     parts = F.filter(F.split(F.regexp_extract(url, PATH, 1), "/"), lambda p: F.length(p) > 0)
     deep = F.least(F.size(parts), depth)
     paths = F.when(deep < 1, F.array().cast("array<string>")).otherwise(
@@ -40,15 +40,23 @@ def keys_of(url: Column, depth: Column) -> Column:
     return F.when(host.isNotNull(), F.array_distinct(F.concat(domains, paths)))
 
 
+def normal_pattern(pattern: Column) -> Column:
+    """A pattern as URLs are looked up: host in lower case without www., port or final dot, the path's case kept; NULL without a host."""
+    bare = F.regexp_replace(pattern, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
+    host = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(bare, r"^([^/?#]*)", 1)), r":[0-9]*$", ""), r"^www\.|\.$", "")
+    parts = F.filter(F.split(F.regexp_extract(bare, r"^[^/?#]*([^?#]*)", 1), "/"), lambda p: F.length(p) > 0)
+    return F.when(F.length(host) > 0, F.array_join(F.concat(F.array(host), parts), "/"))
+
+
 def intervals(changes: DataFrame) -> DataFrame:
     """(list_name, verdict, pattern, valid_from, valid_to): when an entry holds; valid_to is NULL while it still does."""
-    known = changes.filter("list_name is not null and pattern is not null and at is not null and change in ('add', 'remove')")
+    known = changes.withColumn("pattern", normal_pattern(F.col("pattern"))).filter("list_name is not null and pattern is not null and at is not null and change in ('add', 'remove')")
     # one change for each instant; a removal wins
     at_once = known.groupBy("list_name", "pattern", "at").agg(F.max("change").alias("change"), F.max("verdict").alias("verdict"))
     group = F.concat_ws("\u0001", "list_name", "pattern")
     # an addition ends at the next change: either a removal, or an addition whose interval goes on from there
     ended = next_value(at_once, group, [F.col("at")], F.col("at"))
-    return ended.filter("change = 'add'").select("list_name", "verdict", F.lower("pattern").alias("pattern"), F.col("at").alias("valid_from"), F.col("following").alias("valid_to"))
+    return ended.filter("change = 'add'").select("list_name", "verdict", "pattern", F.col("at").alias("valid_from"), F.col("following").alias("valid_to"))
 
 
 def judge(captures: DataFrame, changes: DataFrame) -> DataFrame:

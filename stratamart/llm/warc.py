@@ -10,7 +10,8 @@ committed table, so a task that is run again leaves at most an unlisted file beh
 
 Edge cases, all defined: a NULL html is an empty payload; a NULL url gives a record without target; equal payloads with
 equal page_id are both responses; a NULL page_id never becomes the response that others refer to, unless all are NULL; a
-record that is cut off or whose digest differs comes back with digest_ok false; an empty table gives no archive.
+record that is cut off or whose digest differs comes back with digest_ok false; after a member that cannot be inflated the
+reader goes on at the next one that can; an empty table gives no archive.
 """
 
 from __future__ import annotations
@@ -19,20 +20,22 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 from typing import BinaryIO
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import settle_at
+from stratamart.llm.common import as_text, settle_at
 from stratamart.session import scratch_path
 
 MIN_REVISIT = 100
 BLOCK = 1 << 16
+GZIP = b"\x1f\x8b\x08"
 ROLL_BYTES = 256 << 20  # an archive is closed beyond this size
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-READ_SCHEMA = ("page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary, "
+READ_SCHEMA = ("page_id string, url string, record_type string, refers_to string, payload_digest string, payload_bytes long, payload binary, "
                "digest_ok boolean, archive string, offset long")
 
 
@@ -70,17 +73,18 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         store, root = _open_store(folder)
         out: BinaryIO | None = None
         name, n, size, listed = "", 0, 0, []
+        now = datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
         for batch in batches:
             for page, url, payload, digest, refers in zip(batch["page_id"], batch["url"], batch["payload"], batch["digest"], batch["refers_to"], strict=True):
                 if out is None:
                     name, n, size = f"pages-{uuid.uuid4().hex}.warc.gz", 0, 0
                     store.create_dir(root, recursive=True)
                     out = store.open_output_stream(f"{root}/{name}", compression=None)
-                again = not pd.isna(refers)
-                headers = [("WARC-Type", "revisit" if again else "response"), ("WARC-Record-ID", f"<urn:page:{'' if pd.isna(page) else int(page)}>"),
+                again = isinstance(refers, str)
+                headers = [("WARC-Type", "revisit" if again else "response"), ("WARC-Record-ID", f"<urn:page:{page if isinstance(page, str) else ''}>"), ("WARC-Date", now),
                            ("WARC-Payload-Digest", f"sha256:{digest}")]
                 headers += [("WARC-Target-URI", url)] if isinstance(url, str) else []
-                headers += [("WARC-Refers-To", f"<urn:page:{int(refers)}>"), ("WARC-Profile", REVISIT_PROFILE)] if again else []
+                headers += [("WARC-Refers-To", f"<urn:page:{refers}>"), ("WARC-Profile", REVISIT_PROFILE)] if again else []
                 size += out.write(record := record_bytes(headers, b"" if again else payload)) or len(record)
                 n += 1
                 if size >= ROLL_BYTES:
@@ -92,42 +96,61 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             listed.append((name, n, size))
         yield pd.DataFrame(listed, columns=["archive", "records", "bytes"])
 
-    written = plan_records(pages).mapInPandas(write, "archive string, records long, bytes long")
+    # ids go through pandas as text, which holds 64 bits beside a NULL
+    written = plan_records(pages).withColumns({c: as_text(c) for c in ("page_id", "refers_to")}).mapInPandas(write, "archive string, records long, bytes long")
     return settle_at(written, "archives")[0]
 
 
 def _members(stream: BinaryIO) -> Iterator[tuple[int, bytes, bool]]:
-    """(offset, inflated bytes, complete) of each gzip member, read block by block."""
-    pending, at, eof = b"", 0, False
+    """(offset, inflated bytes, complete) of each gzip member, read block by block; a broken one once, then the next that inflates.
+
+    Of the member at hand the compressed bytes are kept too, so that the next header can be looked for inside them.
+    """
+    pending, at, eof, lost = b"", 0, False, False
     while True:
-        unpack, start, parts = zlib.decompressobj(31), at, []
+        unpack, start, parts, raw, broken = zlib.decompressobj(31), at, [], [], False
         while not unpack.eof:
             if not pending:
                 pending = stream.read(BLOCK)
                 eof = not pending
                 if eof:
                     break
+            raw.append(pending)
             try:
                 parts.append(unpack.decompress(pending))
             except zlib.error:
-                yield start, b"".join(parts), False
-                return
+                broken = True
+                break
             at += len(pending) - len(unpack.unused_data)
             pending = unpack.unused_data
+        if broken:
+            if not lost:
+                yield start, b"".join(parts), False
+            lost, held = True, b"".join(raw)
+            next_ = held.find(GZIP, 1)
+            while next_ < 0:  # nothing that begins a member so far: on, keeping what may be the first bytes of a header
+                more = stream.read(BLOCK)
+                if not more:
+                    return
+                start, held = start + len(held) - len(GZIP) + 1, held[1 - len(GZIP):] + more
+                next_ = held.find(GZIP)
+            at, pending = start + next_, held[next_:]
+            continue
         if eof:
-            if parts:
+            if parts and not lost:
                 yield start, b"".join(parts), False
             return
+        lost = False
         yield start, b"".join(parts), True
 
 
-def _page(ref: str | None) -> int | None:
+def _page(ref: str | None) -> str | None:
     text = (ref or "")[10:-1]
-    return int(text) if text.lstrip("-").isdigit() else None
+    return text if text.lstrip("-").isdigit() else None
 
 
 def read_records(stream: BinaryIO) -> Iterator[dict]:
-    """The records of one archive in order. A broken record is returned with digest_ok false; after it nothing can be framed."""
+    """The records of one archive in order. A broken record is returned with digest_ok false."""
     for offset, data, complete in _members(stream):
         head, _, rest = data.partition(b"\r\n\r\n")
         lines = head.decode("utf-8", "replace").split("\r\n")
@@ -164,12 +187,12 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> Da
 
     # one task an archive, as the list itself is a small table
     spread = archives.select("archive").repartition("archive")
-    return spread.mapInPandas(read, READ_SCHEMA)
+    return spread.mapInPandas(read, READ_SCHEMA).withColumns({c: F.col(c).cast("long") for c in ("page_id", "refers_to")})
 
 
 def _frame(rows: list[dict], columns: list[str]) -> pd.DataFrame:
     out = pd.DataFrame(rows, columns=columns)
-    return out.astype({"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "int64", "offset": "int64"})
+    return out.astype({"payload_bytes": "int64", "offset": "int64"})
 
 
 def resolve(records: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import time
 from stratamart.llm import quoting as Q
 
 SCHEMA = "thread long, ordinal long, role string, text string"
@@ -29,3 +30,15 @@ def test_a_long_chain_in_one_thread(spark):
     assert sorted((r["ordinal"], r["depth"], r["root"], r["position"]) for r in got.collect()) == [(k, k, 0, k) for k in range(300)]
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
+def test_a_long_message_takes_time_in_proportion(spark):
+    """Alternating levels make every line a run; four times the lines take at most some eight times as long, start-up aside."""
+    def took(n):
+        rows = [(1, 0, "user", "first words"), (1, 1, "user", "\n".join("> first words" if k % 2 else f"own {k}" for k in range(n)))]
+        df = spark.createDataFrame(rows, "thread long, ordinal long, role string, text string")
+        begin = time.perf_counter()
+        assert Q.parse(df).selectExpr("max(size(q_runs)) AS n").head()["n"] == n
+        return time.perf_counter() - begin
+    took(100)
+    assert took(32_000) < 8 * took(8_000) + 2

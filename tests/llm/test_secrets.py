@@ -75,3 +75,21 @@ def test_edges(spark, frame):
     masked = S.mask_secrets(docs, None)
     assert masked.columns == docs.columns and masked.filter("text like '%hunter2%'").count() == 0 and masked.filter("text is null").count() == 1
     assert all(r["n_chars"] == len(r["text"] or "") for r in masked.collect()) and S.scan(frame([]), None).count() == 0
+
+
+def test_a_long_stretch_is_tagged_in_proportion_and_as_by_trying_all():
+    import itertools
+    import random
+    import time
+    rng = random.Random(2)
+    names = ["a", "b", "c"]
+    model = S.Field({n: tuple(rng.uniform(-2, 2) for _ in range(3)) for n in names}, tuple(tuple(rng.uniform(-1, 1) for _ in range(3)) for _ in range(3)))
+    for _ in range(30):
+        run = [(rng.choice(names),) for _ in range(6)]
+        def worth(tags, run=run):
+            steps = [0, *tags, 0]
+            return sum(model.emission(f)[t] for f, t in zip(run, tags, strict=True)) + sum(model.moves[x][y] for x, y in itertools.pairwise(steps))
+        assert abs(worth(model.tags(run)) - max(map(worth, itertools.product(range(3), repeat=6)))) < 1e-9
+    begin = time.perf_counter()
+    assert len(model.tags([(names[k % 3],) for k in range(200_000)])) == 200_000
+    assert time.perf_counter() - begin < 10

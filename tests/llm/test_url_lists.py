@@ -1,5 +1,7 @@
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from stratamart.llm import url_lists as U
 
 
@@ -32,3 +34,15 @@ def test_intervals_over_many_ranges(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(got) == 1000 and all(r["valid_to"] - r["valid_from"] == dt.timedelta(hours=1) for r in got)
+
+
+def test_patterns_are_normalised_as_urls_are(spark):
+    at = lambda day: f"2024-01-{day:02d} 00:00:00"
+    changes = spark.createDataFrame([
+        ("l", "block", "www.x.org", "add", at(1)), ("l", "block", "y.org/Ads", "add", at(1)), ("l", "block", "zip", "add", at(1)),
+        ("l", "block", "A.com", "add", at(1)), ("l", "block", "a.com", "remove", at(5)), ("l", "block", "http://Q.net:80//b/", "add", at(1))],
+        "list_name string, verdict string, pattern string, change string, at string").withColumn("at", F.col("at").cast("timestamp"))
+    urls = {1: "http://www.x.org/", 2: "http://y.org/Ads/1", 3: "http://y.org/ads/1", 4: "http://evil.zip/a", 5: "http://a.com/", 6: "http://q.net/b/c"}
+    captures = spark.createDataFrame([(k, u) for k, u in urls.items()], "page_id long, url string").withColumn("fetched_at", F.lit(at(9)).cast("timestamp"))
+    got = {r["page_id"]: r["verdict"] for r in U.judge(captures, changes).collect()}
+    assert got == {1: "block", 2: "block", 3: "keep", 4: "block", 5: "keep", 6: "block"}

@@ -40,3 +40,13 @@ def test_reader_frames_checks_and_stops():
     assert [r["digest_ok"] for r in warc.read_records(io.BytesIO(gzip.compress(members) + archive(b"two")))] == [False, True]
     assert not list(warc.read_records(io.BytesIO(b"")))
     assert [r["digest_ok"] for r in warc.read_records(io.BytesIO(data + b"garbage"))][:3] == [True, True, True]
+
+
+def test_reader_goes_on_after_a_broken_member():
+    data = bytearray(archive(b"one", b"two" * 5_000, b"three", b"four"))
+    starts = [r["offset"] for r in warc.read_records(io.BytesIO(bytes(data)))]
+    data[starts[1] + 60] ^= 0xFF
+    data[starts[1] + 61] ^= 0xFF
+    got = [(r["page_id"], r["digest_ok"]) for r in warc.read_records(io.BytesIO(bytes(data)))]
+    assert [p for p, ok in got if ok] == ["0", "2", "3"] and sum(not ok for _, ok in got) == 1
+    assert b"WARC-Date" not in archive(b"x")  # the writer adds it, record_bytes writes what it is given
