@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.llm import decontaminate, mixing, ngram_join, secrets, toxicity
-from stratamart.llm.common import settle_at, table
+from stratamart.llm.common import bound_batches, settle_at, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,6 +20,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: 5-word shingles, a similarity of 0.8."""
+    bound_batches(spark)
     return ngram_join.keep_one(docs, width=5, percent=80)
 
 
@@ -30,6 +31,7 @@ def drop_leaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked."""
+    bound_batches(spark)
     return secrets.mask_secrets(docs, secrets.train(docs))
 
 

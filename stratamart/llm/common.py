@@ -23,8 +23,8 @@ BATCH_CONF = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql
 def bound_batches(spark: SparkSession) -> None:
     """Bound the batches of this session; what the caller has set lower stays."""
     for key, most in BATCH_CONF.items():
-        now = int(spark.conf.get(key))
-        if now <= 0 or now > int(most):
+        now = spark.conf.get(key).removesuffix("b")
+        if now.lstrip("-").isdigit() and not 0 < int(now) <= int(most):  # a size with another unit is the caller's own
             spark.conf.set(key, most)
 
 

@@ -34,10 +34,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import free, settle_at, words_of
+from stratamart.llm.common import as_given, as_text, free, settle_at, words_of
 
 SKETCH_BITS = 22  # counters of the frequency table; its size does not follow the data
 BLOCK_BITS = 14
@@ -157,13 +157,13 @@ def _sets_and_counts(width: int, bits: int):
                 classes.append(class_of(h))
                 profiles.append(profile(h).tobytes())
                 np.add.at(counts, (h & _U((1 << bits) - 1)).astype(np.int64), np.uint32(1))
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"].astype("Int64"), "n": pd.Series(sizes, dtype="Int64"),
+            yield pd.DataFrame({"doc_id": as_given(batch["doc_id"]), "text_hash": batch["text_hash"].astype("Int64"), "n": pd.Series(sizes, dtype="Int64"),
                                 "cls": pd.Series(classes, dtype="Int64"), "profile": profiles, "block": pd.Series([None] * len(batch), dtype="Int32"), "counts": None})
         step = 1 << min(BLOCK_BITS, bits)
         rows = [(k, zlib.compress(part.tobytes(), 1)) for k, part in enumerate(counts.reshape(-1, step)) if part.any()]
         if rows:
-            out = pd.DataFrame({"block": pd.Series([k for k, _ in rows], dtype="Int32"), "counts": [c for _, c in rows]})
-            yield out.reindex(columns=["doc_id", "text_hash", "n", "cls", "profile", "block", "counts"]).astype({c: "Int64" for c in ("doc_id", "text_hash", "n", "cls")})
+            out = pd.DataFrame({"block": pd.Series([k for k, _ in rows], dtype="Int32"), "counts": [c for _, c in rows]}).assign(doc_id=None)
+            yield out.reindex(columns=["doc_id", "text_hash", "n", "cls", "profile", "block", "counts"]).astype({c: "Int64" for c in ("text_hash", "n", "cls")})
     return run
 
 
@@ -241,6 +241,19 @@ def components(edges: DataFrame) -> DataFrame:
         last = mark
 
 
+def _counts_of(profile: Column) -> Column:
+    """The counts of a profile as an array; pairs of hexadecimal digits, so no Python is needed to read it."""
+    digits = F.hex(profile)
+    return F.transform(F.sequence(F.lit(0), F.lit(PROFILE - 1)), lambda k: F.conv(F.substring(digits, 2 * k + 1, F.lit(2)), 16, 10).cast("short"))
+
+
+def _counts_allow(a: Column, b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
+    """What may_be_similar says, as an expression."""
+    low = F.zip_with(a, b, lambda x, y: F.least(x, y))
+    shared = F.aggregate(low, F.lit(0).cast("long"), lambda s, x: F.when((s < 0) | (x == 255), F.lit(-1).cast("long")).otherwise(s + x))
+    return (F.when(shared < 0, F.least(n_a, n_b)).otherwise(shared) * (100 + percent)) >= percent * (n_a + n_b)
+
+
 def _likely(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose profiles do not rule out the threshold."""
     @F.pandas_udf("boolean")
@@ -322,10 +335,13 @@ def class_links(docs: DataFrame, sets: DataFrame, width: int, percent: int, bits
             open_, _ = settle_at(here.join(split.filter("any").select("sig"), "sig"), "open")
             if open_.isEmpty():
                 break
-            side = lambda x: open_.select("sig", F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("first").alias(f"f_{x}"), F.col("least").alias(f"l_{x}"), F.col("comp").alias(f"c_{x}"))
-            # the first of two brings a signature it must have: the smaller, or of equal ones that with more rare shingles
+            counted = open_.join(profiles.select("cls", _counts_of(F.col("profile")).alias("held")), "cls")
+            side = lambda x: counted.select("sig", F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("first").alias(f"f_{x}"), F.col("least").alias(f"l_{x}"), F.col("comp").alias(f"c_{x}"), F.col("held").alias(f"h_{x}"))
+            # the first of two brings a signature it must have: the smaller, or of equal ones that with more rare shingles;
+            # a pair that its profiles rule out never leaves the join
             pairs = side("a").filter("l_a").join(side("b"), "sig").filter(
-                (F.col("f_a") <= F.col("f_b")) & (F.col("c_a") != F.col("c_b")) & (100 * F.col("n_a") >= percent * F.col("n_b"))).select(
+                (F.col("f_a") <= F.col("f_b")) & (F.col("c_a") != F.col("c_b")) & (100 * F.col("n_a") >= percent * F.col("n_b"))
+                & _counts_allow(F.col("h_a"), F.col("h_b"), F.col("n_a"), F.col("n_b"), percent)).select(
                 F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
         else:
             near = here.join(split.select("sig", F.col("hub.cls").alias("u"), F.col("hub.n").alias("n_u"), F.col("hub.comp").alias("c_u")), "sig").filter(
@@ -350,7 +366,8 @@ def class_links(docs: DataFrame, sets: DataFrame, width: int, percent: int, bits
 def join_documents(docs: DataFrame, width: int = 5, percent: int = 80, sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, text_hash, n_shingles, cls, component_id, and whether its text represents its component."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
-    sets, _ = settle_at(docs.mapInPandas(_sets_and_counts(width, sketch_bits), "doc_id long, text_hash long, n long, cls long, profile binary, block int, counts binary"), "classes")
+    made = docs.withColumn("doc_id", as_text("doc_id")).mapInPandas(_sets_and_counts(width, sketch_bits), "doc_id string, text_hash long, n long, cls long, profile binary, block int, counts binary")
+    sets, _ = settle_at(made.withColumn("doc_id", F.col("doc_id").cast("long")), "classes")
     roots = class_links(docs, sets, width, percent, sketch_bits)
     rows = sets.filter("block is null").select("doc_id", "text_hash", "n", "cls")
     least = F.min(F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("order"), "doc_id", "text_hash"))
