@@ -13,9 +13,10 @@ alone for near copies, and with the item's answer (its last sentence) beside it
 Items are handled in blocks of ``BLOCK_PASSAGES``, each a pair of passes, so what is sent to the tasks has a bound that
 does not follow the benchmark; no block drops anything.
 
-Edge cases, all defined: NULL or blank documents and items match nothing; items of fewer than ``MIN_WORDS`` words are too
-short to tell and are skipped; an item with several passages is found if one of them is; long documents are searched to
-their end; repeated rows are judged alike; an empty corpus or benchmark gives no hits and keeps every document.
+Edge cases, all defined: NULL or blank documents and items match nothing; items of fewer than ``MIN_WORDS`` words count only
+where all their words stand in a row, and those of fewer than ``RUN`` say too little and are skipped; a character of a script
+that is written without blanks is a word of its own; an item with several passages is found if one of them is; long documents are searched to
+their end; of several places of an item the first that is accepted gives its share; repeated rows are judged alike; an empty corpus or benchmark gives no hits and keeps every document.
 """
 
 from __future__ import annotations
@@ -42,16 +43,24 @@ OVERSAMPLE = 32
 STOP_SHARE = 0.08  # terms of more benchmark passages than this tell nothing
 MIN_COSINE = 0.4
 RUN = 4  # words in a row; numbers of 16 bits make one of 64
+SLOT_BITS = 18
 NEAR_COPY = 0.75  # share of an item's words found in order
 PARAPHRASE = 0.55  # with the answer beside it
 ANSWER = 0.75
 
+# Thai to Myanmar, Khmer, kana, ideographs and their extensions.
+UNSPACED = re.compile("[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
 _SPLIT = bytes(b if b >= 128 or chr(b).isalnum() and not chr(b).isupper() else ord(chr(b).lower()) if chr(b).isupper() else 32 for b in range(256))
 
 
 def words_in(text: str | None) -> list[bytes]:
-    """Words without ASCII punctuation, A-Z lower-cased."""
-    return text.encode("utf-8", "replace").translate(_SPLIT).split() if text else []
+    """Words without ASCII punctuation, A-Z lower-cased; each character of a script without blanks is one."""
+    if not text:
+        return []
+    if not text.isascii() and UNSPACED.search(text):
+        text = UNSPACED.sub(r" \g<0> ", text)
+    return text.encode("utf-8", "replace").translate(_SPLIT).split()
 
 
 @dataclass
@@ -75,8 +84,10 @@ def _masks(words: list[bytes]) -> dict[bytes, int]:
 
 def passages_of(item: int | None, text: str | None) -> list[Passage]:
     words = words_in(text)
-    if len(words) < MIN_WORDS:
+    if len(words) < RUN:
         return []
+    if len(words) < MIN_WORDS:
+        return [Passage(item, words, dict(Counter(words)), _masks(words), {}, 0)]
     sentences = [s for s in map(words_in, re.split(r"[.?!]\s|\n", text)) if s]
     answer = sentences[-1] if len(sentences) > 1 and 4 <= len(sentences[-1]) <= len(words) // 2 else words[-max(4, len(words) // 5):]
     n = -(-len(words) // PASSAGE)
@@ -109,6 +120,22 @@ def found_in(passage: Passage, words: list[bytes], start: int, end: int) -> floa
     return best
 
 
+def block_sums(terms: np.ndarray, ids: np.ndarray, first: np.ndarray, out: np.ndarray) -> None:
+    """Sums of terms[ids] over the blocks that begin at ``first`` (HALF ids each at most), some blocks at a time in a small buffer."""
+    edges, together = np.r_[first, len(ids)], 16
+    held = np.empty((min(len(ids), together * HALF), terms.shape[1]), dtype=terms.dtype)
+    for k in range(0, len(first), together):
+        m = min(together, len(first) - k)
+        a, b = edges[k], edges[k + m]
+        np.take(terms, ids[a:b], axis=0, out=held[:b - a], mode="clip")
+        own = np.repeat(np.arange(m), np.diff(edges[k:k + m + 1]))
+        np.matmul((own[None, :] == np.arange(m)[:, None]).astype(terms.dtype), held[:b - a], out=out[k:k + m])
+
+
+def _slot(keys: np.ndarray) -> np.ndarray:
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
 def _run_keys(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place, key) of all runs of RUN known words."""
     n = max(0, len(ids) - RUN + 1)
@@ -131,8 +158,9 @@ class Space:
     singular: np.ndarray = field(default_factory=lambda: np.empty(0))
     _runs: tuple | None = field(default=None, repr=False)
 
-    def runs(self) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray]:
-        """Numbers of all words of the passages, stop terms too; all their runs in order, with passage and place."""
+    def runs(self) -> tuple[dict[bytes, int], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers of all words of the passages, stop terms too; all their runs in order, with passage and place; the term of each
+        number; and a table of the slots that the runs fall into."""
         if self._runs is None:
             numbers: dict[bytes, int] = {}
             rows = []
@@ -141,13 +169,24 @@ class Space:
                 rows.append(np.stack([keys, np.full(len(keys), q, dtype=np.uint64), np.arange(len(keys), dtype=np.uint64)]))
             keys, q, at = np.concatenate(rows, axis=1)
             order = np.argsort(keys, kind="stable")
-            self._runs = numbers, keys[order], q[order].astype(np.int64), at[order].astype(np.int64)
+            terms = np.full(len(numbers) + 1, -1, dtype=np.int32)  # the last entry: no word of the passages
+            for w, k in numbers.items():
+                terms[k] = self.vocab.get(w, -1)
+            marked = np.zeros(1 << SLOT_BITS, dtype=bool)
+            marked[_slot(keys)] = True
+            self._runs = numbers, keys[order], q[order].astype(np.int64), at[order].astype(np.int64), terms, marked
         return self._runs
 
-    def copies(self, words: list[bytes]) -> list[tuple[int, int]]:
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """The words' numbers, -1 for a word of no passage."""
+        return np.fromiter(map(self.runs()[0].get, words, repeat(-1)), dtype=np.int32, count=len(words))
+
+    def copies(self, numbers: np.ndarray) -> list[tuple[int, int]]:
         """(passage, where it would begin) of all runs shared with the passages; those close together once."""
-        numbers, keys, passage, place = self.runs()
-        begin, mine = _run_keys(np.fromiter(map(numbers.get, words, repeat(-1)), dtype=np.int64, count=len(words)))
+        _, keys, passage, place, _, marked = self.runs()
+        begin, mine = _run_keys(numbers)
+        some = np.flatnonzero(marked[_slot(mine)])  # few runs pass the table, and only these are looked up
+        begin, mine = begin[some], mine[some]
         low = np.searchsorted(keys, mine)
         n = np.searchsorted(keys, mine, side="right") - low
         if not n.any():
@@ -159,9 +198,9 @@ class Space:
         _, kept = np.unique(np.stack([q, first // step]), axis=1, return_index=True)
         return [(int(q[k]), int(first[k])) for k in kept]
 
-    def candidates(self, words: list[bytes]) -> list[tuple[float, int, int]]:
+    def candidates(self, numbers: np.ndarray) -> list[tuple[float, int, int]]:
         """(cosine, window, passage) of all pairs above the threshold, best first."""
-        ids = np.fromiter(map(self.vocab.get, words, repeat(-1)), dtype=np.int32, count=len(words))
+        ids = self.runs()[4][numbers]
         hits = np.flatnonzero(ids >= 0)
         if not len(hits):
             return []
@@ -169,7 +208,7 @@ class Space:
         first = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
         # only blocks with a known term, and the windows that hold one
         halves = np.zeros((len(first) + 1, self.terms.shape[1]), dtype=np.float32)
-        halves[:-1] = np.add.reduceat(self.terms[ids[hits]], first, axis=0)
+        block_sums(self.terms, ids[hits], first, halves)
         at = block[first]
         after = np.where(np.r_[at[1:] == at[:-1] + 1, False], np.arange(1, len(first) + 1), len(first))
         before = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])  # windows that begin one block earlier
@@ -187,19 +226,23 @@ class Space:
         if not words:
             return []
         best: dict[int | None, tuple[float, float | None, int]] = {}
-        for cosine, window, q in self.candidates(words):
+        numbers = self.numbers(words)
+        for cosine, window, q in self.candidates(numbers):
             item = self.passages[q].item
             if item in best:
                 continue
             start = max(0, window * HALF)
-            share = found_in(self.passages[q], words, start, (window + 2) * HALF)
+            share = found_in(self.passages[q], words, start, (window + 2) * HALF) if len(self.passages[q].words) >= MIN_WORDS else 0.0
             if share:
                 best[item] = (share, cosine, start)
-        for q, start in self.copies(words):
-            item = self.passages[q].item
+        for q, start in self.copies(numbers):
+            item, own = self.passages[q].item, self.passages[q].words
             if item in best:
                 continue
-            share = found_in(self.passages[q], words, start, start + len(self.passages[q].words))
+            if len(own) < MIN_WORDS:  # too short for anything but its very words
+                share = float(start >= 0 and words[start:start + len(own)] == own)
+            else:
+                share = found_in(self.passages[q], words, start, start + len(own))
             if share:
                 best[item] = (share, None, max(0, start))
         return [(item, *what) for item, what in best.items()]

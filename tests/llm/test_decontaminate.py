@@ -94,3 +94,9 @@ def test_blocks_and_edges(planted, frame, monkeypatch, spark):
     assert D.find_leaks(frame([]), benchmark).count() == 0
     nothing = benchmark.limit(0)
     assert D.find_leaks(docs, nothing).count() == 0 and D.drop_leaks(docs, nothing).count() == 402
+
+
+def test_short_items_and_scripts_without_blanks(spark, frame):
+    benchmark = spark.createDataFrame([(1, "what is the capital of france paris"), (2, "\u5317\u4eac\u662f\u4e2d\u56fd\u7684\u9996\u90fd\u4e5f\u662f\u6700\u5927\u7684\u57ce\u5e02"), (3, "two words")], "item_id long, text string")
+    docs = frame([(1, "noise before. What is the capital of France? Paris! and after " * 2), (2, "the capital of france is what paris is"), (3, "x" * 50 + " \u5317\u4eac\u662f\u4e2d\u56fd\u7684\u9996\u90fd\u4e5f\u662f\u6700\u5927\u7684\u57ce\u5e02\u3002 y"), (4, "two words")])
+    assert {(r["doc_id"], r["item_id"]) for r in D.find_leaks(docs, benchmark).collect()} == {(1, 1), (3, 2)}
