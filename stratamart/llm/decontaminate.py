@@ -51,6 +51,8 @@ ANSWER = 0.75
 # Thai to Myanmar, Khmer, kana, ideographs and their extensions.
 UNSPACED = re.compile("[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
+# All bytes but those that begin the UTF-8 of these characters.
+_NO_LEAD = bytes(b for b in range(256) if b not in (0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0))
 _SPLIT = bytes(b if b >= 128 or chr(b).isalnum() and not chr(b).isupper() else ord(chr(b).lower()) if chr(b).isupper() else 32 for b in range(256))
 
 
@@ -58,9 +60,10 @@ def words_in(text: str | None) -> list[bytes]:
     """Words without ASCII punctuation, A-Z lower-cased; each character of a script without blanks is one."""
     if not text:
         return []
-    if not text.isascii() and UNSPACED.search(text):
-        text = UNSPACED.sub(r" \g<0> ", text)
-    return text.encode("utf-8", "replace").translate(_SPLIT).split()
+    data = text.encode("utf-8", "replace")
+    if not text.isascii() and data.translate(None, _NO_LEAD):  # only then can such a character be there
+        data = UNSPACED.sub(r" \g<0> ", text).encode("utf-8", "replace")
+    return data.translate(_SPLIT).split()
 
 
 @dataclass
@@ -215,10 +218,11 @@ class Space:
         windows = np.concatenate([halves[:-1] + halves[after], halves[before]])
         starts = np.concatenate([at, at[before] - 1])
         norm = np.sqrt(np.einsum("ij,ij->i", windows, windows)) + 1e-9
-        cosine = (windows @ self.queries) / norm[:, None]
-        w, q = np.nonzero(cosine >= MIN_COSINE)
-        order = np.argsort(-cosine[w, q], kind="stable")
-        return [(float(cosine[a, b]), int(starts[a]), int(b)) for a, b in zip(w[order], q[order], strict=True)]
+        dots = windows @ self.queries
+        w, q = np.nonzero(dots >= (MIN_COSINE * norm)[:, None])
+        cosine = dots[w, q] / norm[w]
+        order = np.argsort(-cosine, kind="stable")
+        return list(zip(cosine[order].tolist(), starts[w[order]].tolist(), q[order].tolist(), strict=True))
 
     def search(self, text: str | None) -> list[tuple[int | None, float, float | None, int]]:
         """(item, share, cosine, first word) of each item found in a text."""
@@ -291,7 +295,8 @@ def _add_products(ids: np.ndarray, blocks: np.ndarray, col: np.ndarray, sign: np
         order = np.argsort(i, kind="stable")
         start = np.flatnonzero(np.r_[True, np.diff(i[order]) != 0])
         total[i[order][start]] += weight * np.add.reduceat(product[b[order]], start, axis=0)
-        np.add.at(seen, np.unique(b.astype(np.int64) * len(seen) + i) % len(seen), 1)
+        term, at = i[order], b[order]  # each passage once a term: blocks ascend inside a term
+        seen += np.bincount(term[np.r_[True, (np.diff(term) != 0) | (np.diff(at) != 0)]], minlength=len(seen))
         edge = end
 
 
