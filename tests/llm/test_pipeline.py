@@ -69,7 +69,7 @@ def test_run_equals_its_stages(spark, folder, stages):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_query_equals_its_sql(spark, folder, name):
     db = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "embeddings"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     df = queries.QUERIES[name](spark, folder)
     want = db.execute(queries.SQL[name])
@@ -81,4 +81,4 @@ def test_query_equals_its_sql(spark, folder, name):
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {f"{x.split('_')[0]}_" for x in names if x.startswith("op")} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} == {f"{x.split('_')[0]}_" for x in names if x.startswith("op")} and "pipeline" in names
