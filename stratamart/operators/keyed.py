@@ -23,9 +23,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str]
     return df.withColumn("__pick", F.row_number().over(w)).where("__pick = 1").drop("__pick")
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys carried by more than one row."""
-    return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1").select(*keys)
+def key_copies(df: DataFrame, key: str) -> DataFrame:
+    """Each key that is not NULL with the number of rows that carry it, in ``<key>_copies``."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(f"{key}_copies"))
 
 
 def conform(df: DataFrame, shape: Sequence[tuple[str, str]], source_of: dict[str, str], **tags: str) -> DataFrame:

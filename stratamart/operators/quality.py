@@ -104,14 +104,21 @@ def side_by_side(*one_row_frames: DataFrame) -> DataFrame:
 
 # --- quarantine ---------------------------------------------------------------
 
-def quarantine(df: DataFrame, entity: str, reason: str, key: str, remediation: dict[str, str]) -> DataFrame:
-    """Offending rows in the shared shape; the payload keeps the business columns as JSON."""
-    return df.select(
-        F.col(key).cast("string").alias("record_key"),
+def tag_reasons(df: DataFrame, rules: Sequence[tuple[str, Column]], column: str = "reject_reason") -> DataFrame:
+    """One row for each rule that a row breaks, all rules in one pass; a row that breaks none is dropped, NULL breaks nothing."""
+    broken = F.array_compact(F.array(*(F.when(rule, F.lit(name)) for name, rule in rules)))
+    return df.withColumn(column, F.explode(broken))
+
+
+def quarantine(tagged: DataFrame, entity: str, key: Column, payload: Sequence[str], remediation: dict[str, str]) -> DataFrame:
+    """Tagged rows in the shared shape; the payload keeps the named columns as JSON."""
+    advice = F.create_map(*(F.lit(x) for pair in remediation.items() for x in pair))
+    return tagged.select(
+        key.cast("string").alias("record_key"),
         F.lit(entity).alias("source_entity"),
-        F.lit(reason).alias("reject_reason"),
-        F.lit(remediation[reason]).alias("remediation"),
-        F.to_json(F.struct(*business_columns(df))).alias("record_payload"),
+        "reject_reason",
+        F.try_element_at(advice, F.col("reject_reason")).alias("remediation"),
+        F.to_json(F.struct(*payload)).alias("record_payload"),
     )
 
 
@@ -160,16 +167,57 @@ def profile(df: DataFrame, table: str, batch_id: str, run_date: str) -> DataFram
 
 # --- reconciliation -----------------------------------------------------------
 
+def multiset_digest(columns: Sequence[str]) -> Column:
+    """An aggregate that is equal for equal multisets of rows, whatever their order.
+
+    It joins the exclusive or of one row hash with the exact sum of another. The first alone loses rows that come in
+    pairs. A hash skips NULL, so the rows' NULL flags are hashed too: ('a', NULL) and (NULL, 'a') differ.
+    """
+    names = sorted(columns)
+    flags = [F.col(c).isNull() for c in names]
+    one, two = (F.xxhash64(F.lit(salt), *names, *flags) for salt in ("first", "second"))
+    return F.concat_ws(":", F.bit_xor(one).cast("string"), F.sum(two.cast("decimal(20,0)")).cast("string"))
+
+
 def control_totals(df: DataFrame, domain: Column, amount: str, side: str) -> DataFrame:
     """Row count, amount sum and an order-free checksum per domain."""
-    row_hash = F.xxhash64(*sorted(df.columns))
     return df.groupBy(domain.alias("domain")).agg(
         F.count("*").alias(f"{side}_rows"),
         F.sum(F.col(amount).cast("decimal(18,2)")).alias(f"{side}_amount"),
-        F.bit_xor(row_hash).alias(f"{side}_checksum"),
+        multiset_digest(df.columns).alias(f"{side}_checksum"),
     )
 
 
+def differing_buckets(left: DataFrame, right: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Numbers of the hash buckets of the keys whose rows are not the same multiset on both sides; at most ``buckets`` rows."""
+    def summed(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(_bucket(keys, buckets)).agg(multiset_digest(df.columns).alias(name))
+
+    both = summed(left, "a").join(summed(right.select(*left.columns), "b"), "bucket", "full")
+    return both.where(~F.col("a").eqNullSafe(F.col("b"))).select("bucket")
+
+
+def differing_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], buckets: int = 4096) -> DataFrame:
+    """Rows that the two sides do not hold equally often, with their number on each side.
+
+    Digests by bucket go first: where layers agree but for a few rows, only the buckets of those rows are compared row by
+    row. Equal rows are counted before the shuffle, so a row that fills a third of a side is one row a task.
+    """
+    cols = left.columns
+    wanted = differing_buckets(left, right, keys, buckets)
+
+    def kept(df: DataFrame, is_left: int) -> DataFrame:
+        return df.select(*cols, _bucket(keys, buckets)).join(wanted, "bucket", "left_semi").select(
+            *cols, F.lit(is_left).alias("__l"), F.lit(1 - is_left).alias("__r"))
+
+    counted = kept(left, 1).unionByName(kept(right, 0)).groupBy(*cols).agg(F.sum("__l").alias("left_copies"), F.sum("__r").alias("right_copies"))
+    return counted.where("left_copies <> right_copies")
+
+
+def _bucket(keys: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit("bucket"), *keys), F.lit(buckets)).cast("int").alias("bucket")
+
+
 def compare_controls(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
     """Both layers by domain with one verdict per control; a domain on one side only fails."""
     both = left.join(right, "domain", "full")

@@ -37,9 +37,13 @@ def rejects(ctx: Context):
     return bank.txn_rejects(txns(ctx), keyed(ctx))
 
 
+def all_rejects(ctx: Context):
+    return bank.txn_rejects(txns(ctx), keyed(ctx), dim(ctx))
+
+
 def silver(ctx: Context, name: str):
     """Published banking tables, as the gold jobs read them."""
-    build = {"bank_dim": dim, "bank_clean": clean, "bank_rejects": rejects}[name]
+    build = {"bank_dim": dim, "bank_clean": clean, "bank_rejects": rejects, "bank_rejects_all": all_rejects}[name]
     return ctx.retail.once(name, lambda: build(ctx))
 
 
@@ -73,6 +77,8 @@ relation("b_keyed", f"SELECT * REPLACE (upper(trim(currency)) AS currency) FROM
 relation("b_rejects", f"""SELECT txn_id, account_id, amount, currency, 'NULL_TXN_ID' AS reject_reason FROM {{src_txns}} WHERE txn_id IS NULL
   UNION ALL SELECT txn_id, account_id, amount, currency, 'NON_POSITIVE_AMOUNT' FROM {{b_keyed}} WHERE amount <= 0
   UNION ALL SELECT txn_id, account_id, amount, currency, 'INVALID_CURRENCY' FROM {{b_keyed}} WHERE currency NOT IN {_CCY}""")
+relation("b_rejects_all", """SELECT * FROM {b_rejects} UNION ALL SELECT txn_id, account_id, amount, currency, 'NULL_VALUE' FROM {b_keyed} WHERE amount IS NULL OR currency IS NULL
+  UNION ALL SELECT txn_id, account_id, amount, currency, 'UNKNOWN_ACCOUNT' FROM {b_keyed} k WHERE NOT EXISTS (SELECT 1 FROM {b_dim} d WHERE d.account_id = k.account_id)""")
 relation("b_clean", f"""SELECT *, CASE WHEN direction = 'CREDIT' THEN amount_inr ELSE -amount_inr END AS signed_amount_inr FROM (
   SELECT txn_id, k.account_id, customer_id AS acct_customer_id, branch_code AS acct_branch_code, account_type AS acct_type, risk_category AS acct_risk_category, is_active AS acct_is_active,
   ts AS txn_ts, CAST(ts AS DATE) AS txn_date, hour(ts) AS txn_hour, hour(ts) < 6 OR hour(ts) >= 22 AS is_night_txn, amount, k.currency,
@@ -117,11 +123,12 @@ query("bank_bronze_txns", "txn_id:s account_id:s txn_ts:s amount:f currency:s di
       f"SELECT *, {_LINEAGE}, 'payments-switch' AS _source_system, 'txns.json' AS _source_file FROM {{src_txns}}")(txns)
 query("bank_txn_by_channel", "channel:s txn_count:i total_amount:f", f"SELECT channel, count(*) AS txn_count, CAST(round(sum(CAST(amount AS DECIMAL(28,6))), 2) AS DOUBLE) AS total_amount FROM {{src_txns}} GROUP BY 1")(
     lambda ctx: bank.txn_by_channel(txns(ctx)))
-query("dq_reconcile_strict", "outcome:s keys:i share_pct:f", f"""SELECT outcome, coalesce(n, 0) AS keys, {pctn_('coalesce(n, 0)', 'sum(n) OVER ()', 4)} AS share_pct FROM
-  (VALUES ('NULL_VALUE'), ('REJECTED'), ('UNKNOWN_ACCOUNT'), ('CLEAN')) o(outcome) LEFT JOIN (
+query("dq_reconcile_strict", "outcome:s keys:i share_pct:f status:s", f"""SELECT outcome, coalesce(n, 0) AS keys, {pctn_('coalesce(n, 0)', 'sum(n) OVER ()', 4)} AS share_pct, 'PASS' AS status FROM
+  (VALUES ('NULL_VALUE'), ('REJECTED'), ('UNKNOWN_ACCOUNT'), ('CLEAN'), ('NOWHERE'), ('TWICE'), ('UNEXPECTED')) o(outcome) LEFT JOIN (
   SELECT CASE WHEN amount IS NULL OR currency IS NULL THEN 'NULL_VALUE' WHEN amount <= 0 OR currency NOT IN ('INR', 'USD', 'EUR', 'GBP', 'AED', 'SGD') THEN 'REJECTED'
     WHEN account_id IS NULL OR account_id NOT IN (SELECT account_id FROM {{b_dim}} WHERE account_id IS NOT NULL) THEN 'UNKNOWN_ACCOUNT' ELSE 'CLEAN' END AS outcome, count(*) AS n FROM {{b_keyed}} GROUP BY 1) USING (outcome)""")(
-    lambda ctx: bank.txn_outcomes(keyed(ctx), dim(ctx)).withColumn("share_pct", F.round(F.col("keys") / F.sum("keys").over(Window.partitionBy()) * 100, 4)))
+    lambda ctx: bank.txn_outcomes(bank.key_ledger(keyed(ctx), silver(ctx, "bank_clean"), silver(ctx, "bank_rejects_all"))).withColumn(
+        "share_pct", F.round(F.col("keys") / F.sum("keys").over(Window.partitionBy()) * 100, 4)))
 query("bank_dim_account", "account_id:s customer_id:s account_type:s branch_code:s currency:s opening_balance:f status:s is_active:b opened_on:d account_age_years:f risk_band:i risk_category:s",
       "SELECT * FROM {b_dim}")(dim)
 query("bank_account_mix", "risk_category:s status:s accounts:i", "SELECT risk_category, status, count(*) AS accounts FROM {b_dim} GROUP BY 1, 2")(lambda ctx: bank.account_mix(dim(ctx)))
@@ -130,6 +137,7 @@ query("bank_txn_clean", "txn_id:s account_id:s acct_customer_id:s acct_branch_co
 query("bank_txn_rejects", "txn_id:s account_id:s amount:f currency:s reject_reason:s", "SELECT * FROM {b_rejects}")(rejects)
 query("dq_reject_multi", "reject_reason:s lines:i", "SELECT reject_reason, count(*) AS lines FROM {b_rejects} GROUP BY 1")(
     lambda ctx: rejects(ctx).groupBy("reject_reason").agg(F.count("*").alias("lines")))
+query("bank_txn_rejects_all", "txn_id:s account_id:s amount:f currency:s reject_reason:s", "SELECT * FROM {b_rejects_all}")(all_rejects)
 query("bank_balance_daily", "txn_date:d account_id:s customer_id:s branch_code:s account_type:s currency:s status:s risk_category:s txn_count:i channels_used:i distinct_merchants:i activity_tier:s "
       "total_debit_inr:f total_credit_inr:f net_movement_inr:f avg_txn_inr:f max_txn_inr:f opening_balance:f cumulative_movement_inr:f closing_balance_inr:f is_overdrawn:b mixes_currencies:b",
       "SELECT * FROM {b_balance}")(balances)
@@ -271,10 +279,15 @@ query("dq_profile", "table_name:s column_name:s data_type:s table_row_count:i nu
 # --- reconciliation -------------------------------------------------------------------------------
 
 
+def compared(ctx: Context):
+    """Keyed transactions and the cleaned ones, in one shape."""
+    return (keyed(ctx).where("amount > 0").select(F.upper("channel").alias("channel"), "txn_id", "amount", "currency"),
+            clean(ctx).select("channel", "txn_id", "amount", "currency"))
+
+
 def controls(ctx: Context):
-    """Keyed transactions against the cleaned and rejected ones, by channel."""
-    left = keyed(ctx).where("amount > 0").select(F.upper("channel").alias("channel"), "txn_id", "amount", "currency")
-    right = clean(ctx).select("channel", "txn_id", "amount", "currency")
+    """Both by channel."""
+    left, right = compared(ctx)
     return quality.compare_controls(
         quality.control_totals(left, F.col("channel"), "amount", "bronze"),
         quality.control_totals(right, F.col("channel"), "amount", "silver"), "bronze", "silver")
@@ -287,8 +300,14 @@ _CONTROL = """SELECT coalesce(b.channel, s.channel) AS domain, bn AS bronze_rows
 relation("b_controls", _CONTROL)
 query("recon_rowcount", "domain:s bronze_rows:i silver_rows:i rows_status:s", "SELECT * FROM {b_controls}")(controls)
 query("recon_sum", "domain:s bronze_amount:f silver_amount:f amount_status:s", "SELECT * FROM {b_controls}")(controls)
-# a layer against itself passes, against a cleaned one fails whenever rows were dropped
-query("recon_checksum", "domain:s checksum_status:s", "SELECT domain, CASE WHEN bronze_rows = silver_rows THEN 'PASS' ELSE 'FAIL' END AS checksum_status FROM {b_controls}")(controls)
+# the expected side has no digest: it compares the rows themselves
+_BOTH = ("SELECT upper(channel) AS channel, txn_id, amount, currency FROM {b_keyed} WHERE amount > 0", "SELECT channel, txn_id, amount, currency FROM {b_clean}")
+relation("b_differing", f"""SELECT channel, txn_id, amount, currency, sum(l) AS left_copies, sum(r) AS right_copies FROM (
+  SELECT *, 1 AS l, 0 AS r FROM ({_BOTH[0]}) UNION ALL SELECT *, 0, 1 FROM ({_BOTH[1]})) GROUP BY 1, 2, 3, 4 HAVING sum(l) <> sum(r)""")
+query("recon_checksum", "domain:s checksum_status:s", """SELECT domain, CASE WHEN EXISTS (SELECT 1 FROM {b_differing} d WHERE d.channel IS NOT DISTINCT FROM c.domain) THEN 'FAIL' ELSE 'PASS' END AS checksum_status
+  FROM {b_controls} c""")(controls)
+query("recon_locate", "channel:s txn_id:s amount:f currency:s left_copies:i right_copies:i", "SELECT * FROM {b_differing}")(
+    lambda ctx: quality.differing_rows(*compared(ctx), ["txn_id"]))
 query("recon_variance", "domain:s bronze_amount:f silver_amount:f variance_pct:f status:s",
       f"SELECT *, CASE WHEN variance_pct <= 0.5 THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT *, {rnd('abs(CAST(silver_amount - bronze_amount AS DOUBLE)) * 100 / CAST(bronze_amount AS DOUBLE)', 4, 9)} AS variance_pct FROM {{b_controls}})")(
     lambda ctx: quality.variance_check(controls(ctx), "silver_amount", "bronze_amount", 0.5))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.operators import quality
+from stratamart.operators.keyed import latest_per_key
 from stratamart.plans import banking as bank, flows, scoring
 from stratamart.plans.retail import facts
 from stratamart.plans.retail.flow import LAYERS, SYSTEMS, RetailFlow, outcomes
@@ -408,6 +409,22 @@ def _flow(c: Context, run: bank.Run):
     return flow, flow.run(c["src_accounts"], c["src_txns"], run)
 
 
+def _clean_flow(c: Context):
+    """The strict flow over the rows of both feeds that keep the contract."""
+    accounts = latest_per_key(c["src_accounts"].where("account_id IS NOT NULL"), ["account_id"])
+    kept = latest_per_key(c["src_txns"].where("txn_id IS NOT NULL"), ["txn_id"]).where(
+        (F.col("amount") > 0) & F.upper(F.trim("currency")).isin(bank.CURRENCIES) & F.col("txn_ts").try_cast("timestamp").isNotNull())
+    name = f"sm_{uuid.uuid4().hex[:10]}"
+    flow = flows.BankFlow(c.spark, name, scratch_path(c.spark, name), strict=True)
+    return flow.run(accounts, kept.join(accounts.select("account_id"), "account_id", "left_semi").select(*c["src_txns"].columns), RUN)
+
+
+def _two_batches(c: Context):
+    """A batch that passes, then one that does not, into the same databases: the audit of the second one."""
+    flow, _ = _flow(c, bank.Run("2024-01-19", threshold=0.5))
+    return flow.run(c["src_accounts"], c["src_txns"], RUN)
+
+
 _AUDIT = "batch_id:s run_date:s stage:s table_name:s row_count:i status:s"
 
 
@@ -426,10 +443,20 @@ _DIRTY = _audit(
     ("bronze", "GATE:bronze_quality", "9", "FAIL"), ("silver", "GATE:silver_quality", "0", "NOT_RUN"))
 _PASSING = _audit(
     *_RAW, ("bronze", "bronze.quarantine_records", "0", "ABSENT"), ("silver", "silver.dim_account", _n("b_dim"), "PRESENT"), ("silver", "silver.txn_clean", _n("b_clean"), "PRESENT"),
-    ("silver", "silver.txn_rejects", _n("b_rejects"), "PRESENT"), ("gold", "gold.account_balance_daily", _n("b_balance"), "PRESENT"), ("gold", "gold.fraud_signal_summary", _n("b_summary"), "PRESENT"),
+    ("silver", "silver.txn_rejects", _n("b_rejects_all"), "PRESENT"), ("gold", "gold.account_balance_daily", _n("b_balance"), "PRESENT"), ("gold", "gold.fraud_signal_summary", _n("b_summary"), "PRESENT"),
     ("bronze", "GATE:bronze_quality", "9", "PASS"), ("silver", "GATE:silver_quality", "10", "FAIL"))
 query("flow_medallion_bank", _AUDIT, _DIRTY)(lambda c: _flow(c, RUN)[1])
 query("flow_medallion_bank_pass", _AUDIT, _PASSING)(lambda c: _flow(c, bank.Run(RUN.date, threshold=0.5))[1])
+_DATED = "{b_clean} WHERE txn_date IS NOT NULL"
+_CLEAN = _audit(
+    ("bronze", "bronze.raw_accounts", _n("b_dim"), "PRESENT"), ("bronze", "bronze.raw_transactions", f"SELECT count(*) FROM {_DATED}", "PRESENT"),
+    ("bronze", "bronze.quarantine_records", "0", "ABSENT"), ("silver", "silver.dim_account", _n("b_dim"), "PRESENT"),
+    ("silver", "silver.txn_clean", f"SELECT count(*) FROM {_DATED}", "PRESENT"), ("silver", "silver.txn_rejects", "0", "PRESENT"),
+    ("gold", "gold.account_balance_daily", f"SELECT count(DISTINCT (account_id, txn_date)) FROM {_DATED}", "PRESENT"),
+    ("gold", "gold.fraud_signal_summary", f"SELECT count(DISTINCT account_id) FROM {_DATED}", "PRESENT"),
+    ("bronze", "GATE:bronze_quality", "9", "PASS"), ("silver", "GATE:silver_quality", "11", "PASS"))
+query("flow_medallion_bank_clean", _AUDIT, _CLEAN)(_clean_flow)
+query("flow_medallion_bank_two_batches", _AUDIT, _DIRTY)(_two_batches)
 query("dq_manifest_audit", "run_status:s", "SELECT 'DEGRADED' AS run_status FROM {region} WHERE r_regionkey = 0")(lambda c: flows.run_status(_flow(c, RUN)[1]))
 
 
@@ -452,11 +479,21 @@ def _stale(c: Context, table: str) -> None:
     t.overwrite_partitioned(_by_day(c).withColumn("value", F.when(F.dayofmonth("event_date") % 5 == 0, 0.0).otherwise(F.col("value"))), table, "event_date")
 
 
-def _replayed(c: Context):
+def _replay(c: Context):
+    """A table with stale days, replayed: its name and the outcome of each day."""
     table = f"{fresh_db(c)}.events"
     _stale(c, table)
-    flows.replay_days(table, [f"2024-01-{d:02d}" for d in (5, 10, 15, 20, 25, 30)], lambda day: _by_day(c), "event_date")
-    return c.spark.table(table)
+
+    def read_day(day):
+        start = F.lit(str(day)).cast("timestamp")
+        return c["events"].where((F.col("ts") >= start) & (F.col("ts") < start + F.expr("INTERVAL 1 DAY"))).select(
+            "event_id", "value", F.to_date("ts").alias("event_date"))
+
+    return table, flows.replay_days(_by_day(c), read_day, table, "event_date", f"{table}_day")
+
+
+def _replayed(c: Context):
+    return c.spark.table(_replay(c)[0])
 
 
 def _loaded(c: Context):
@@ -471,6 +508,8 @@ def _loaded(c: Context):
 
 _EVENTS = "SELECT event_id, value, CAST(ts AS DATE) AS event_date FROM {events}"
 query("replay_slice", "event_id:i value:f event_date:d", _EVENTS)(_replayed)
+query("replay_slice_days", "day:d rows:i status:s", f"""SELECT event_date AS day, count(*) AS rows, 'MERGED' AS status FROM ({_EVENTS})
+  WHERE day(event_date) % 5 = 0 GROUP BY 1 HAVING count(*) FILTER (value IS DISTINCT FROM 0) > 0""")(lambda c: _replay(c)[1])
 query("load_strategy", "strategy:s event_id:i value:f event_date:d", f"SELECT *, 'INCREMENTAL' AS strategy FROM ({_EVENTS}) UNION ALL SELECT *, 'FULL_REFRESH' FROM ({_EVENTS})")(_loaded)
 
 # --- scoring -----------------------------------------------------------------------------------

@@ -46,16 +46,18 @@ def overwrite_partitioned(df: DataFrame, table: str, column: str, rows_per_file:
 def replace_partitions(df: DataFrame, table: str) -> None:
     """Overwrite only the partitions present in ``df``; the table must exist.
 
-    insertInto follows the session setting, so it is switched for this write only.
+    The mode is an option of this one write, which insertInto would ignore: the write goes to the table's folder and the
+    catalog is told of partitions that are new. No setting of the session changes, so writers of other partitions may run
+    beside it. Values are cast to the table's types.
     """
     spark = df.sparkSession
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
-    try:
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(mode, before)
+    partitions = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if not partitions:
+        raise ValueError(f"{table} has no partitions to replace")
+    typed = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in spark.table(table).schema.fields))
+    typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(location_of(spark, table))
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
 
 
 def create_table_as(spark: SparkSession, table: str, query: str, **frames: DataFrame) -> None:

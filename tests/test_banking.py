@@ -85,3 +85,71 @@ def test_flow_branches_on_the_gate(spark, threshold, verdicts):
     gates = [r.status for r in audit.where(F.startswith("table_name", F.lit("GATE"))).orderBy("table_name").collect()]
     assert gates == verdicts and audit.count() == 10
     assert flows.run_status(audit).head().run_status == ("SUCCESS" if verdicts == ["PASS", "PASS"] else "DEGRADED")
+
+
+def test_every_key_is_somewhere(bronze):
+    """A published row that goes missing, comes twice or from nowhere is found; nothing else fails."""
+    accounts, txns = bronze
+    dim, keyed = bank.dim_account(accounts, RUN), bank.keyed_transactions(txns)
+    clean, rejects = bank.txn_clean(keyed, dim, RUN), bank.txn_rejects(txns, keyed, dim)
+    assert sorted(r.reject_reason for r in rejects.collect()) == ["NON_POSITIVE_AMOUNT", "NON_POSITIVE_AMOUNT", "NULL_TXN_ID", "UNKNOWN_ACCOUNT"]
+
+    def found(c, r):
+        return {x.outcome: (x["keys"], x.status) for x in bank.txn_outcomes(bank.key_ledger(keyed, c, r)).collect()}
+
+    sound = {"NULL_VALUE": (0, "PASS"), "REJECTED": (2, "PASS"), "UNKNOWN_ACCOUNT": (1, "PASS"), "CLEAN": (15, "PASS"),
+             "NOWHERE": (0, "PASS"), "TWICE": (0, "PASS"), "UNEXPECTED": (0, "PASS")}
+    assert found(clean, rejects) == sound
+    short = clean.where("txn_id <> 'TXN-20'")
+    assert found(short, rejects) == {**sound, "CLEAN": (14, "PASS"), "NOWHERE": (1, "FAIL")}
+    assert found(clean.unionByName(clean.where("txn_id = 'TXN-20'")), rejects) == {**sound, "CLEAN": (14, "PASS"), "TWICE": (1, "FAIL")}
+    odd = rejects.unionByName(rejects.limit(1).withColumn("txn_id", F.lit("TXN-0")))
+    assert found(clean, odd) == {**sound, "UNEXPECTED": (1, "FAIL")}
+    for held, status in ((clean, "PASS"), (short, "FAIL")):
+        results = bank.validate_silver(dim, held, rejects, txns, RUN, bank.key_ledger(keyed, held, rejects))
+        assert results.count() == 11 and results.where("check_name = 'every_key_once'").head().status == status
+    assert results.where("check_name = 'row_reconciliation'").head().status == "FAIL"
+
+
+def test_null_values_are_rejected_when_accounts_are_known(spark, bronze):
+    accounts, _ = bronze
+    rows = [_txn(1, "ACC-1001", "08:00:00", None), _txn(2, "ACC-1001", "08:00:00", 5.0, None), _txn(3, None, "08:00:00", -5.0, "XXX"), _txn(4, "ACC-1001", "08:00:00", 5.0)]
+    txns = bank.bronze_transactions(spark.createDataFrame(rows, bank.TXN_SCHEMA), RUN)
+    keyed, dim = bank.keyed_transactions(txns), bank.dim_account(accounts, RUN)
+    got = sorted((r.txn_id, r.reject_reason) for r in bank.txn_rejects(txns, keyed, dim).collect())
+    assert got == [("TXN-1", "NULL_VALUE"), ("TXN-2", "NULL_VALUE"), ("TXN-3", "INVALID_CURRENCY"), ("TXN-3", "NON_POSITIVE_AMOUNT"), ("TXN-3", "UNKNOWN_ACCOUNT")]
+    assert {r.reject_reason for r in bank.txn_rejects(txns, keyed).collect()} == {"INVALID_CURRENCY", "NON_POSITIVE_AMOUNT"}
+
+
+def test_quarantine_reads_each_feed_twice(spark, bronze, tmp_path):
+    paths = [str(tmp_path / n) for n in ("accounts", "txns")]
+    for df, path in zip(bronze, paths):
+        df.write.parquet(path)
+    out = bank.quarantine_records(*(spark.read.parquet(p) for p in paths), RUN)
+    assert len(out.collect()) == bank.quarantine_records(*bronze, RUN).count()
+    final = out._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    scans = [line for line in final.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 4 and sum("txn_id" in line for line in scans) == 2
+
+
+def test_a_batch_is_audited_by_its_own_rows(spark):
+    """What an earlier batch left in silver and gold is not there for the one whose bronze gate failed."""
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    feeds = spark.createDataFrame(_accounts(), bank.ACCOUNT_SCHEMA), spark.createDataFrame(_txns(), bank.TXN_SCHEMA)
+    flow = flows.BankFlow(spark, name, scratch_path(spark, name))
+    assert flows.run_status(flow.run(*feeds, bank.Run("2026-09-02", 0.5))).head().run_status == "SUCCESS"
+    audit = {r.table_name: (r.row_count, r.status) for r in flow.run(*feeds, RUN).collect()}
+    assert audit["silver.txn_clean"] == (0, "ABSENT") and audit["gold.fraud_signal_summary"] == (0, "ABSENT")
+    assert audit["GATE:bronze_quality"] == (9, "FAIL") and audit["GATE:silver_quality"] == (0, "NOT_RUN")
+    assert audit["bronze.raw_accounts"] == (13, "PRESENT")
+
+
+def test_a_strict_flow_holds_gold_back(spark):
+    """A time that cannot be parsed fails the silver gate; the strict flow then builds no marts."""
+    rows = [*_txns(), ("TXN-40", "ACC-1001", "soon", 10.0, "INR", "DEBIT", "UPI", "Shop", "IN")]
+    feeds = spark.createDataFrame(_accounts(), bank.ACCOUNT_SCHEMA), spark.createDataFrame(rows, bank.TXN_SCHEMA)
+    for strict, gold in ((True, "ABSENT"), (False, "PRESENT")):
+        name = f"t_{uuid.uuid4().hex[:8]}"
+        audit = {r.table_name: r for r in flows.BankFlow(spark, name, scratch_path(spark, name), strict).run(*feeds, bank.Run(RUN.date, 0.5)).collect()}
+        assert (audit["GATE:silver_quality"].status, audit["GATE:silver_quality"].row_count) == ("FAIL", 10 + strict)
+        assert audit["gold.account_balance_daily"].status == gold
