@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratamart.functions import code
 from stratamart.operators import quality
 from stratamart.operators.keyed import latest_per_key
 from stratamart.plans import banking as bank, flows, scoring
@@ -410,10 +411,10 @@ def _flow(c: Context, run: bank.Run):
 
 
 def _clean_flow(c: Context):
-    """The strict flow over the rows of both feeds that keep the contract."""
+    """The strict flow over the rows of both feeds that keep the contract, currencies trimmed at the source."""
     accounts = latest_per_key(c["src_accounts"].where("account_id IS NOT NULL"), ["account_id"])
-    kept = latest_per_key(c["src_txns"].where("txn_id IS NOT NULL"), ["txn_id"]).where(
-        (F.col("amount") > 0) & F.upper(F.trim("currency")).isin(bank.CURRENCIES) & F.col("txn_ts").try_cast("timestamp").isNotNull())
+    kept = latest_per_key(c["src_txns"].where("txn_id IS NOT NULL"), ["txn_id"]).withColumn("currency", code("currency")).where(
+        (F.col("amount") > 0) & F.col("currency").isin(bank.CURRENCIES) & F.col("txn_ts").try_cast("timestamp").isNotNull())
     name = f"sm_{uuid.uuid4().hex[:10]}"
     flow = flows.BankFlow(c.spark, name, scratch_path(c.spark, name), strict=True)
     return flow.run(accounts, kept.join(accounts.select("account_id"), "account_id", "left_semi").select(*c["src_txns"].columns), RUN)
