@@ -214,7 +214,36 @@ def verify_vertical(summary: DataFrame, name: str) -> DataFrame:
     return summary.agg(F.count("*").alias("total_rows")).select(F.lit(name).alias("summary"), "total_rows")
 
 
-def top_rows(df: DataFrame, by: Column, k: int, *ties: str) -> DataFrame:
+#: What leads each summary: the columns that name a row, its figure, and how many rows (None: all, in the order of the names).
+LEADERS = {
+    "channel_revenue_summary": (("d_year", "channel"), "total_revenue", None),
+    "crop_yield_trend": (("state", "commodity", "census_year"), "yield_change_pct", 10),
+    "customer_rfm_segments": (("segment",), "customers", 10),
+    "drug_safety_signal": (("drug_name", "reaction_term"), "report_count", 10),
+    "fraud_risk_by_bucket": (("amount_bucket", "hour_of_day"), "fraud_count", 10),
+    "readmission_risk": (("primary_diagnosis_code",), "total_admissions", 10),
+    "trial_pipeline_health": (("phase",), "trial_count", 10),
+}
+
+
+def leading_rows(summary: DataFrame, name: str) -> DataFrame:
+    """The rows that lead a summary, numbered, in one shape: (summary, place, row_name, figure).
+
+    Rows without a figure do not lead. Places are given after the cut, so the window sees a fixed number of rows, or one
+    a channel and year. Customers are counted by segment first.
+    """
+    labels, figure, k = LEADERS[name]
+    if name == "customer_rfm_segments":
+        summary = summary.groupBy("segment").agg(F.count("*").alias("customers"))
+    names = [F.col(c).asc_nulls_first() for c in labels]
+    held, order = (summary, names) if k is None else (
+        top_rows(summary.where(F.col(figure).isNotNull()), F.col(figure), k, *names), [F.col(figure).desc(), *names])
+    row_name = F.concat_ws(" / ", *(F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in labels))
+    return held.select(
+        F.lit(name).alias("summary"), F.row_number().over(Window.orderBy(*order)).alias("place"), row_name.alias("row_name"), F.col(figure).cast("double").alias("figure"))
+
+
+def top_rows(df: DataFrame, by: Column, k: int, *ties: str | Column) -> DataFrame:
     """The k largest by a measure, ties settled by columns; planned as a per-task top-k."""
     return df.orderBy(by.desc_nulls_last(), *ties).limit(k)
 

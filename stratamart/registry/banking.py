@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratamart.operators import quality
 from stratamart.plans import banking as bank
-from stratamart.registry.core import Context, latest_, pctn_, query, relation, rnd
+from stratamart.registry.core import ENTRIES, Context, latest_, pctn_, query, relation, rnd
 
 RUN = bank.Run("2024-01-20")
 _CCY = "('INR', 'USD', 'EUR', 'GBP', 'AED', 'SGD')"
@@ -267,12 +267,34 @@ query("dq_triage", "source_entity:s reject_reason:s remediation:s records:i", "S
 
 # --- profile --------------------------------------------------------------------------------------
 
-_TYPES = dict(txn_id="string", account_id="string", txn_ts="string", amount="double", currency="string", direction="string", channel="string", merchant="string", country="string")
-_PROFILE = " UNION ALL ".join(
-    f"SELECT 'raw_transactions' AS table_name, '{c}' AS column_name, '{t}' AS data_type, count(*) AS table_row_count, count(*) - count({c}) AS null_count, "
-    f"{rnd(f'(count(*) - count({c})) * 100.0::DOUBLE / count(*)', 2)} AS null_pct, "
-    + (f"count(DISTINCT {c}) + CASE WHEN count({c}) < count(*) THEN 1 ELSE 0 END" if t == "string" else "-1") + " AS distinct_count FROM {src_txns}"
-    for c, t in _TYPES.items())
+def profile_sql(table: str, rel: str, types: dict[str, str]) -> str:
+    """Expected profile of a relation."""
+    def distinct(c: str, t: str) -> str:
+        return f"count(DISTINCT {c}) + CASE WHEN count({c}) < count(*) THEN 1 ELSE 0 END" if t in quality.COUNTED_TYPES else "-1"
+
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, '{t}' AS data_type, count(*) AS table_row_count, count(*) - count({c}) AS null_count, "
+        f"{rnd(f'(count(*) - count({c})) * 100.0::DOUBLE / count(*)', 2)} AS null_pct, {distinct(c, t)} AS distinct_count FROM {{{rel}}}" for c, t in types.items())
+
+
+def schema_types(ddl: str) -> dict[str, str]:
+    return dict(part.split() for part in ddl.split(", "))
+
+
+def shape_types(name: str, **other: str) -> dict[str, str]:
+    """Types of a published table, from the shape of its query; ``other`` names those that the shape leaves open."""
+    kinds = {"s": "string", "b": "boolean", "d": "date", "t": "timestamp", "f": "double", "i": "bigint"}
+    return {**{c: kinds[k] for c, _, k in (part.partition(":") for part in ENTRIES[name].shape.split())}, **other}
+
+
+_PROFILE = profile_sql("raw_transactions", "src_txns", schema_types(bank.TXN_SCHEMA))
+PROFILES = [
+    ("bronze", "raw_accounts", "src_accounts", schema_types(bank.ACCOUNT_SCHEMA)), ("bronze", "raw_transactions", "src_txns", schema_types(bank.TXN_SCHEMA)),
+    ("silver", "dim_account", "b_dim", shape_types("bank_dim_account", risk_band="int")), ("silver", "txn_clean", "b_clean", shape_types("bank_txn_clean", txn_hour="int")),
+    ("silver", "txn_rejects", "b_rejects_all", shape_types("bank_txn_rejects_all")),
+    ("gold", "account_balance_daily", "b_balance", shape_types("bank_balance_daily")),
+    ("gold", "fraud_signal_summary", "b_summary", shape_types("bank_fraud_summary", peak_txn_score="int", countries_seen="array<string>", channels_seen="array<string>")),
+]
 query("dq_profile", "table_name:s column_name:s data_type:s table_row_count:i null_count:i null_pct:f distinct_count:i", _PROFILE)(
     lambda ctx: quality.profile(txns(ctx), "raw_transactions", RUN.batch_id, RUN.date))
 

@@ -15,7 +15,7 @@ from stratamart.plans import banking as bank, flows, scoring
 from stratamart.plans.retail import facts
 from stratamart.plans.retail.flow import LAYERS, SYSTEMS, RetailFlow, outcomes
 from stratamart.plans.retail.layers import COMMENTS
-from stratamart.registry.banking import _PROFILE, RUN
+from stratamart.registry.banking import _PROFILE, PROFILES, RUN, profile_sql
 from stratamart.registry.core import Context, query, relation
 from stratamart.session import scratch_path
 from stratamart.sinks import tables as t
@@ -472,6 +472,17 @@ def _profiled(c: Context):
 query("flow_profile_each", "table_name:s column_name:s data_type:s table_row_count:i null_count:i null_pct:f distinct_count:i", _PROFILE)(_profiled)
 
 
+def _profiled_layers(c: Context):
+    """Profiles of all tables that a run of the flow leaves; it profiles the marts itself."""
+    flow, _ = _flow(c, bank.Run(RUN.date, threshold=0.5))
+    flow.profile_each([(layer, name) for layer, name, *_ in PROFILES if layer != "gold"], RUN)
+    return flow.read("gold", "table_stats").withColumn("table_name", F.element_at(F.split("table_name", r"\."), -1))
+
+
+query("flow_profile_layers", "table_name:s column_name:s data_type:s table_row_count:i null_count:i null_pct:f distinct_count:i",
+      " UNION ALL ".join(profile_sql(name, rel, types) for _, name, rel, types in PROFILES))(_profiled_layers)
+
+
 def _by_day(c: Context):
     return c["events"].select("event_id", "value", F.to_date("ts").alias("event_date"))
 

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
+
 from stratamart.plans import taxi, verticals as v
 from stratamart.registry.core import Context, mean_, query, relation, rnd
 from stratamart.sources.shapes import normalise_orders, state_crop_rows
@@ -103,6 +107,24 @@ def _verify(ctx: Context):
 
 query("verify_vertical", "summary:s total_rows:i", " UNION ALL ".join(f"SELECT '{n}' AS summary, count(*) AS total_rows FROM {{{r}}}" for n, (_, r, _) in SUMMARIES.items()))(_verify)
 
+
+
+def _leaders(ctx: Context):
+    return reduce(DataFrame.unionByName, (
+        v.leading_rows(segments(ctx) if name == "customer_rfm_segments" else build(ctx), name) for name, (_, _, build) in SUMMARIES.items()))
+
+
+def _leading(name: str, rel: str) -> str:
+    labels, figure, k = v.LEADERS[name]
+    source = "(SELECT segment, count(*) AS customers FROM {v_segments} GROUP BY 1)" if name == "customer_rfm_segments" else f"{{{rel}}}"
+    names = ", ".join(f"{c} NULLS FIRST" for c in labels)
+    order, kept = (names, "") if k is None else (f"{figure} DESC, {names}", f"WHERE {figure} IS NOT NULL QUALIFY place <= {k}")
+    label = " || ' / ' || ".join(f"coalesce(CAST({c} AS VARCHAR), 'NULL')" for c in labels)
+    return f"SELECT '{name}' AS summary, row_number() OVER (ORDER BY {order}) AS place, {label} AS row_name, {figure} AS figure FROM {source} {kept}"
+
+
+query("verify_vertical_leaders", "summary:s place:i row_name:s figure:f", " UNION ALL ".join(f"SELECT * FROM ({_leading(n, r)})" for n, (_, r, _) in SUMMARIES.items()))(_leaders)
+
 # --- dashboards -----------------------------------------------------------------------------
 query("dash_top_diagnoses", _READMIT, "SELECT * FROM {v_readmission} ORDER BY total_admissions DESC, primary_diagnosis_code LIMIT 15")(
     lambda ctx: v.top_diagnoses(v.readmission_risk(ctx["src_claims"])))
