@@ -192,14 +192,16 @@ def start_model(counts: Counts, width: int = WIDTH, seed: int = 5) -> Model:
                  np.log(share / share.sum()).astype(np.float32), np.ones(width, dtype=np.float32), np.full(width, 0.5, dtype=np.float32))
 
 
-def _add_rows(to: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
-    first = np.flatnonzero(np.r_[True, np.diff(rows[order]) != 0])
-    to[rows[order][first]] += np.add.reduceat(values[order], first, axis=0)
+def _row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows, and the sum of the values of each."""
+    width = values.shape[1]
+    at = np.flatnonzero(np.bincount(rows))
+    summed = np.bincount((rows[:, None] * width + np.arange(width)).ravel(), weights=values.ravel())
+    return at, summed.reshape(-1, width)[at].astype(values.dtype)
 
 
 class Trainer:
-    """Mini-batches of noise-contrastive estimation with Adagrad."""
+    """Mini-batches of noise-contrastive estimation with Adagrad; a step costs by the rows it meets, not by the model's size."""
 
     def __init__(self, model: Model, seed: int = 9):
         self.m, self.rng = model, np.random.default_rng(seed)
@@ -212,28 +214,26 @@ class Trainer:
     def step(self, far: np.ndarray, near: np.ndarray, target: np.ndarray) -> None:
         m = self.m
         noise = np.minimum(np.searchsorted(self.edges, self.rng.random(NOISE)), m.classes - 1)
-        c1, c2 = m.context[near], m.context[far]
+        c1, c2 = m.context.take(near, axis=0), m.context.take(far, axis=0)
         q = c1 * m.near + c2 * m.far
-        right = m.target[target]
+        right, wrong = m.target.take(target, axis=0), m.target.take(noise, axis=0)
         shift = np.log(NOISE)
-        plus = np.einsum("ij,ij->i", q, right) + m.bias[target] - (self.noise_log[target] + shift)
-        minus = q @ m.target[noise].T + m.bias[noise] - (self.noise_log[noise] + shift)
-        g_plus = (-1 / (1 + np.exp(np.clip(plus, -30, 30)))).astype(np.float32)
-        g_minus = (1 / (1 + np.exp(-np.clip(minus, -30, 30)))).astype(np.float32)
-        dq = g_plus[:, None] * right + g_minus @ m.target[noise]
-        grads = [np.zeros_like(p) for p in self.params]
-        _add_rows(grads[1], target, g_plus[:, None] * q)
-        np.add.at(grads[1], noise, g_minus.T @ q)
-        grads[2] += np.bincount(target, weights=g_plus, minlength=m.classes).astype(np.float32)
-        np.add.at(grads[2], noise, g_minus.sum(axis=0))
-        _add_rows(grads[0], near, dq * m.near)
-        _add_rows(grads[0], far, dq * m.far)
-        grads[3] += (dq * c1).sum(axis=0)
-        grads[4] += (dq * c2).sum(axis=0)
-        for p, g, memory in zip(self.params, grads, self.memory, strict=True):
-            g /= len(target)
-            memory += g * g
-            p -= RATE * g / np.sqrt(memory)
+        # the share of a token among the noise moves to its bias, so that all stays in four bytes
+        lift = (m.bias - (self.noise_log + shift)).astype(np.float32)
+        plus = np.einsum("ij,ij->i", q, right) + lift[target]
+        minus = q @ wrong.T + lift[noise]
+        g_plus = -1 / (1 + np.exp(np.clip(plus, -30, 30)))
+        g_minus = 1 / (1 + np.exp(-np.clip(minus, -30, 30)))
+        dq = g_plus[:, None] * right + g_minus @ wrong
+        # A row without a gradient moves neither its parameters nor its memory, so only the others are looked at.
+        met, sums = _row_sums(np.r_[target, noise], np.concatenate([np.c_[g_plus[:, None] * q, g_plus], np.c_[g_minus.T @ q, g_minus.sum(axis=0)]]))
+        near_far, context = _row_sums(np.r_[near, far], np.concatenate([dq * m.near, dq * m.far]))
+        whole = slice(None)
+        for p, at, g, memory in zip(self.params, (near_far, met, met, whole, whole), (context, sums[:, :-1], sums[:, -1], np.einsum("ij,ij->j", dq, c1), np.einsum("ij,ij->j", dq, c2)), self.memory, strict=True):
+            g = g / np.float32(len(target))
+            held = memory[at] + g * g
+            memory[at] = held
+            p[at] -= RATE * g / np.sqrt(held)
 
 
 def _contexts(model: Model, texts) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

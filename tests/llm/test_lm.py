@@ -93,3 +93,30 @@ def test_edges(spark, frame):
     assert lm.score_all(frame([]), fold_of(F.col("doc_id"), 10) == 0).count() == 0
     got = lm.score_all(frame([(1, "a b"), (2, None)]), F.lit(True)).collect()  # nothing to learn from
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and r["score"] == pytest.approx(0, abs=1e-6) for r in got)
+
+
+def test_a_step_is_that_of_the_whole_tables():
+    """Rows that a batch does not meet stay as they are, and the others move as if all were summed up."""
+    totals = lm.Counts(1000, 300, {f"w{k}".encode(): 40 - k for k in range(20)}, tuple([9] * 300))
+    rows, sums = lm._row_sums(np.array([3, 1, 3, 0]), np.array([[1., 2], [3, 4], [5, 6], [7, 8]]))
+    assert rows.tolist() == [0, 1, 3] and sums.tolist() == [[7, 8], [3, 4], [6, 8]]
+    trainer, rng = lm.Trainer(lm.start_model(totals)), np.random.default_rng(3)
+    for _ in range(5):
+        far, near, target = rng.integers(0, trainer.m.classes, (3, 64))
+        old, memory, noise_rng = [p.astype(np.float64) for p in trainer.params], [x.astype(np.float64) for x in trainer.memory], np.random.default_rng()
+        noise_rng.bit_generator.state = trainer.rng.bit_generator.state
+        noise = np.minimum(np.searchsorted(trainer.edges, noise_rng.random(lm.NOISE)), trainer.m.classes - 1)
+        context, out, bias, a, b = old
+        q = context[near] * a + context[far] * b
+        up = -1 / (1 + np.exp((q * out[target]).sum(axis=1) + bias[target] - trainer.noise_log[target] - np.log(lm.NOISE)))
+        down = 1 / (1 + np.exp(-(q @ out[noise].T + bias[noise] - trainer.noise_log[noise] - np.log(lm.NOISE))))
+        dq = up[:, None] * out[target] + down @ out[noise]
+        grads = [np.zeros_like(p) for p in old]
+        for k, at, g in ((0, near, dq * a), (0, far, dq * b), (1, target, up[:, None] * q), (1, noise, down.T @ q), (2, target, up), (2, noise, down.sum(axis=0))):
+            np.add.at(grads[k], at, g)
+        grads[3], grads[4] = (dq * context[near]).sum(axis=0), (dq * context[far]).sum(axis=0)
+        trainer.step(far, near, target)
+        for p, was, g, x, now in zip(trainer.params, old, grads, memory, trainer.memory, strict=True):
+            g = g / len(target)
+            x = x + g * g
+            assert now == pytest.approx(x, rel=1e-3, abs=1e-9) and p == pytest.approx(was - lm.RATE * g / np.sqrt(x), rel=1e-3, abs=1e-5)
