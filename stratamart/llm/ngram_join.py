@@ -42,7 +42,9 @@ from stratamart.llm.common import as_given, as_text, free, settle_at, words_of
 SKETCH_BITS = 22  # counters of the frequency table; its size does not follow the data
 BLOCK_BITS = 14
 FIRST_LEVEL = 6
+MARK_BITS = 26  # bits of the table that tells which signatures several classes may have
 PROFILE = 256  # buckets of a set's profile
+FULL = 127  # what a bucket's count is cut to inside the last round's join; more may lie in it
 TEXT_BUCKETS = 1 << 20  # bound of what is broadcast to find the texts of candidates
 _U = np.uint64
 _M = _U(0x9E3779B97F4A7C15)
@@ -190,11 +192,11 @@ def _frequencies(sets: DataFrame, bits: int) -> np.ndarray:
 
 def _postings(width: int, percent: int, bits: int, table: np.ndarray, limit: int):
     scale = limit // 30_000 + 1  # two bytes a counter, at any size of the corpus
-    short = np.minimum(table // scale, 65_535).astype(np.uint16)
+    packed = zlib.compress(np.minimum(table // scale, 65_535).astype(np.uint16), 1)  # it passes through the driver's heap
     cut = limit // scale
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mask = _U((1 << bits) - 1)
+        mask, short = _U((1 << bits) - 1), np.frombuffer(zlib.decompress(packed), dtype=np.uint16)
         for batch in batches:
             sigs, flags, classes, sizes, held = [], [], [], [], 0
             for text in batch["text"]:
@@ -222,6 +224,61 @@ def _posting_frame(sigs: list[np.ndarray], flags: list[np.ndarray], classes: lis
                          "n": np.repeat(np.array([n for n, _ in sizes], dtype=np.int64), times), "first": np.repeat(np.array([f for _, f in sizes], dtype=np.int64), times)})
 
 
+def _marks(sigs: DataFrame, bits: int) -> np.ndarray:
+    """2^bits bits, of which those are set that a signature of sigs falls on; the table's size does not follow the data."""
+    step = 1 << min(BLOCK_BITS, bits - 3)
+
+    def blocks(table: np.ndarray) -> pd.DataFrame:
+        rows = [(k, zlib.compress(part.tobytes(), 1)) for k, part in enumerate(table.reshape(-1, step)) if part.any()]
+        return pd.DataFrame({"block": pd.Series([k for k, _ in rows], dtype="int32"), "marks": [m for _, m in rows]})
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        table = np.zeros(1 << (bits - 3), dtype=np.uint8)
+        for batch in batches:
+            at = _mark_of(batch["sig"], bits)
+            np.bitwise_or.at(table, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+        yield blocks(table)
+
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, marks in zip(batch["block"], batch["marks"], strict=True):
+                part = np.frombuffer(zlib.decompress(marks), dtype=np.uint8)
+                total[block] = total[block] | part if block in total else part
+        yield pd.DataFrame({"block": pd.Series(list(total), dtype="int32"), "marks": [zlib.compress(m.tobytes(), 1) for m in total.values()]})
+
+    out = np.zeros(1 << (bits - 3), dtype=np.uint8)
+    schema = "block int, marks binary"
+    for row in sigs.select("sig").mapInPandas(mark, schema).repartition("block").mapInPandas(merge, schema).collect():
+        out[row["block"] * step:(row["block"] + 1) * step] = np.frombuffer(zlib.decompress(bytes(row["marks"])), dtype=np.uint8)
+    return out
+
+
+def _mark_of(sigs: pd.Series, bits: int) -> np.ndarray:
+    return (sigs.to_numpy(dtype=np.int64).view(_U) & _U((1 << bits) - 1)).astype(np.int64)
+
+
+def _in_several(made: DataFrame, bits: int = MARK_BITS) -> tuple[DataFrame, str]:
+    """The distinct postings of signatures that several classes have, settled; and the table's path.
+
+    Most signatures have one class. They are found by their smallest and largest class alone, and what is set aside by marks
+    in a table of fixed size is not shuffled again; the join on the signatures decides.
+    """
+    spark = made.sparkSession
+    several, path = settle_at(made.groupBy("sig").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low < high").select("sig"), "several")
+    packed = zlib.compress(_marks(several, bits), 1)
+
+    def marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        marks = np.frombuffer(zlib.decompress(packed), dtype=np.uint8)
+        for batch in batches:
+            at = _mark_of(batch["sig"], bits)
+            yield batch[(marks[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)]
+
+    found = settle_at(made.mapInPandas(marked, made.schema).join(several, "sig", "left_semi").distinct(), "shared")
+    free(spark, path)
+    return found
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(u, root) of every vertex of the edges (u, v) but the roots: alternating large and small stars until nothing moves."""
     at, path, last = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), None, None
@@ -241,16 +298,19 @@ def components(edges: DataFrame) -> DataFrame:
         last = mark
 
 
-def _counts_of(profile: Column) -> Column:
-    """The counts of a profile as an array; pairs of hexadecimal digits, so no Python is needed to read it."""
-    digits = F.hex(profile)
-    return F.transform(F.sequence(F.lit(0), F.lit(PROFILE - 1)), lambda k: F.conv(F.substring(digits, 2 * k + 1, F.lit(2)), 16, 10).cast("short"))
+def _counts_of(profiles: DataFrame) -> DataFrame:
+    """(cls, held): the counts of each profile as an array, at most FULL a bucket."""
+    @F.pandas_udf("array<tinyint>")
+    def counts(packed: pd.Series) -> pd.Series:
+        return pd.Series([np.minimum(np.frombuffer(x, dtype=np.uint8), FULL).astype(np.int8) for x in packed], dtype="object")
+
+    return profiles.select("cls", counts("profile").alias("held"))
 
 
 def _counts_allow(a: Column, b: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     """What may_be_similar says, as an expression."""
     low = F.zip_with(a, b, lambda x, y: F.least(x, y))
-    shared = F.aggregate(low, F.lit(0).cast("long"), lambda s, x: F.when((s < 0) | (x == 255), F.lit(-1).cast("long")).otherwise(s + x))
+    shared = F.aggregate(low, F.lit(0).cast("long"), lambda s, x: F.when((s < 0) | (x == FULL), F.lit(-1).cast("long")).otherwise(s + x))
     return (F.when(shared < 0, F.least(n_a, n_b)).otherwise(shared) * (100 + percent)) >= percent * (n_a + n_b)
 
 
@@ -302,17 +362,19 @@ def class_links(docs: DataFrame, sets: DataFrame, width: int, percent: int, bits
     mean = float(table.mean())
     limit = int(2 * mean + 4 * mean ** 0.5 + 8)  # a counter hit clearly more often than chance holds a frequent shingle
     made, made_path = settle_at(docs.select("text").mapInPandas(_postings(width, percent, bits, table, limit), "sig long, least boolean, cls long, n long, first long"), "postings")
+    del table
+    several, several_path = _in_several(made)
+    free(spark, made_path)
+    if several.isEmpty():
+        free(spark, several_path)
+        return None
     # Signatures with the same classes propose the same pairs: one of them stays, with their number as its weight.
     mark, other = F.xxhash64("cls", "least"), F.xxhash64("cls", "least", F.lit(3))
     low32 = lambda c: F.sum(c.bitwiseAND(F.lit(0xFFFFFFFF)))  # noqa: E731  stays below 2^63 for two billion rows a signature
-    shared = made.groupBy("sig").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), low32(mark).alias("d0"), low32(F.shiftrightunsigned(mark, 32)).alias("d1"),
-                                     low32(other).alias("d2")).filter("low < high")
+    shared = several.groupBy("sig").agg(F.min("cls").alias("low"), F.max("cls").alias("high"), low32(mark).alias("d0"), low32(F.shiftrightunsigned(mark, 32)).alias("d1"), low32(other).alias("d2"))
     distinct = shared.groupBy("low", "high", "d0", "d1", "d2").agg(F.min("sig").alias("sig"), F.count("*").alias("weight")).select("sig", "weight")
-    found, found_path = settle_at(made.join(distinct, "sig").distinct(), "candidates")
-    free(spark, made_path)
-    if found.isEmpty():
-        free(spark, found_path)
-        return None
+    found, found_path = settle_at(several.join(distinct, "sig"), "candidates")
+    free(spark, several_path)
     # A hub is the class that shares most: the text that its near copies were made from, if it is there.
     central = found.join(found.groupBy("sig").agg(F.count("*").alias("m")), "sig").groupBy("cls").agg(F.sum(F.col("weight") * F.col("m")).alias("central"))
     active, active_path = settle_at(found.join(central, "cls"), "active")
@@ -323,7 +385,7 @@ def class_links(docs: DataFrame, sets: DataFrame, width: int, percent: int, bits
         F.min(F.struct("doc_id", "text_hash")).alias("d")).select("cls", "d.*"), "members")
     profiles, profiles_path = settle_at(sets.filter("cls is not null").join(active.select("cls").distinct(), "cls").groupBy("cls").agg(
         F.first("n").alias("size"), F.first("profile").alias("profile")), "profiles")
-    roots, roots_path = None, None
+    roots, roots_path, counts_path = None, None, None
     for step in ("central hubs", "other hubs", "pairs"):
         if roots is None:
             here = active.withColumn("comp", F.col("cls"))
@@ -335,7 +397,8 @@ def class_links(docs: DataFrame, sets: DataFrame, width: int, percent: int, bits
             open_, _ = settle_at(here.join(split.filter("any").select("sig"), "sig"), "open")
             if open_.isEmpty():
                 break
-            counted = open_.join(profiles.select("cls", _counts_of(F.col("profile")).alias("held")), "cls")
+            counts, counts_path = settle_at(_counts_of(profiles.join(open_.select("cls").distinct(), "cls", "left_semi")), "counts")
+            counted = open_.join(counts, "cls")
             side = lambda x: counted.select("sig", F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("first").alias(f"f_{x}"), F.col("least").alias(f"l_{x}"), F.col("comp").alias(f"c_{x}"), F.col("held").alias(f"h_{x}"))
             # the first of two brings a signature it must have: the smaller, or of equal ones that with more rare shingles;
             # a pair that its profiles rule out never leaves the join
@@ -354,7 +417,7 @@ def class_links(docs: DataFrame, sets: DataFrame, width: int, percent: int, bits
         links = links if roots is None else links.union(roots.select("u", F.col("root").alias("v")))
         joined, joined_path = settle_at(links, "links")
         new, new_path = settle_at(components(joined), "roots")
-        for path in (likely_path, whole_path, joined_path, roots_path):
+        for path in (likely_path, whole_path, joined_path, roots_path, counts_path):
             if path:
                 free(spark, path)
         roots, roots_path = new, new_path

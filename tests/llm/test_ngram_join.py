@@ -113,3 +113,33 @@ def test_a_large_group_of_near_copies_needs_few_comparisons(spark, frame, monkey
     monkeypatch.setattr(J, "_verified", counted)
     got = J.join_documents(frame(rows), 5, 80).select("component_id").distinct().collect()
     assert [r[0] for r in got] == [0] and sum(seen) < 4 * len(rows)
+
+
+def test_signatures_of_one_class_are_not_shuffled_again(spark, frame):
+    """Beside those of several classes, the join sees only what falls on the same marks; few bits cost time, never a link."""
+    rows = [(k, " ".join(f"t{k}x{j}" for j in range(60))) for k in range(300)]
+    rows += [(1000 + k, " ".join(["x", *(f"c{j}" for j in range(60))][k:])) for k in range(2)]
+    table = np.zeros(1 << 12, dtype=np.int64)
+    made = frame(rows).select("text").mapInPandas(J._postings(4, 85, 12, table, 1), "sig long, least boolean, cls long, n long, first long")
+    want = {tuple(r) for r in made.collect()}
+    by_sig = {}
+    for r in want:
+        by_sig.setdefault(r[0], set()).add(r[2])
+    want = {r for r in want if len(by_sig[r[0]]) > 1}
+    assert want
+    for bits in (26, 4):
+        got, _ = J._in_several(made, bits)
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+    marks = J._marks(spark.createDataFrame([(5,), (-1,), (5 + 2**30,)], "sig long"), 26)
+    assert marks.size == 1 << 23 and np.unpackbits(marks).sum() == 2
+    got = J.join_documents(frame(rows), 4, 85).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 4, 85)
+
+
+def test_counts_of_a_profile_rule_out_what_the_profile_does(spark):
+    rnd = np.random.default_rng(2)
+    sets = [np.unique(rnd.integers(0, 2**63, n, dtype=np.uint64)) for n in (5, 300, 300, 9_000, 60_000)]
+    sets.append(np.unique(np.concatenate([sets[1][3:], sets[0][:2]])))
+    rows = [(k, len(h), bytearray(J.profile(h).tobytes())) for k, h in enumerate(sets)]
+    made = J._counts_of(spark.createDataFrame(rows, "cls long, size long, profile binary")).collect()
+    assert all(list(r["held"]) == [min(x, J.FULL) for x in J.profile(sets[r["cls"]]).tolist()] for r in made)
