@@ -21,18 +21,18 @@ one class; repeated rows are scored alike; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import repeat
 from zlib import crc32
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.llm.common import add_vectors, as_given, as_text, settle_at, words_of
+from stratamart.llm.common import add_vectors, as_text, settle_at
 
 END = "\n"  # no word holds it
 SHORTLIST = 1_500
@@ -45,31 +45,54 @@ SMOOTH = 0.1
 PRIOR = 20  # occurrences that the mean of its class counts for in a word's own mean
 ENDING = 3  # characters
 HELD_WORDS = 400_000  # that a task holds before it hands them on
+PIECE = 512  # rows of a product with all classes that stay near the processor
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    return [*words_of(text), END.encode()]
+def tokens_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The tokens of a batch of texts: the distinct ones, the place of each token among them, and where each text ends.
+
+    Words are those of words_of: Arrow's ASCII white space and letters are the same. What follows looks a word up once a
+    batch, not once an occurrence.
+    """
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    coded = lists.flatten().dictionary_encode()
+    words, at, n = coded.dictionary, coded.indices.to_numpy(), np.diff(lists.offsets.to_numpy())
+    blank = pc.index(words, pa.scalar("", words.type)).as_py()  # before, behind and instead of words
+    if blank >= 0:
+        keep = at != blank
+        n = np.bincount(np.repeat(np.arange(len(n)), n)[keep], minlength=len(n))
+        at = at[keep]
+        at -= at > blank
+        words = pa.concat_arrays([words[:blank], words[blank + 1:]])
+    ends = np.cumsum(n + 1)
+    out = np.full(len(at) + len(n), len(words), dtype=np.int32)
+    word = np.ones(len(out), dtype=bool)
+    word[ends - 1] = False
+    out[word] = at
+    return pa.concat_arrays([words, pa.array([END], words.type)]) if len(n) else words, out, ends
 
 
 def count_tokens(docs: DataFrame) -> DataFrame:
     """(token, c) over all texts of docs; counted in the tasks first."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        for batch in batches:
-            for text in batch["text"]:
-                seen.update(words_of(text))
-            seen[END.encode()] += len(batch)
-            if len(seen) > HELD_WORDS:
-                yield _count_frame(seen)
-                seen = Counter()
-        if seen:
-            yield _count_frame(seen)
-
-    return docs.select("text").mapInPandas(count, "token string, c long").groupBy("token").agg(F.sum("c").alias("c"))
+    def added(held: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("c", "sum")]).select(["token", "c_sum"]).rename_columns(["token", "c"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            words, at, _ = tokens_in(batch["text"])
+            held.append(pa.table({"token": words, "c": np.bincount(at, minlength=len(words))}))
+            size += len(words)
+            if size > 4 * HELD_WORDS:
+                held = [added(held)]
+                size = held[0].num_rows
+                if size > HELD_WORDS:
+                    yield from held[0].to_batches()
+                    held, size = [], 0
+        if size:
+            yield from added(held).to_batches()
 
-def _count_frame(seen: Counter) -> pd.DataFrame:
-    return pd.DataFrame({"token": [w.decode("utf-8", "replace") for w in seen], "c": list(seen.values())})
+    return docs.select("text").mapInArrow(count, "token string, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
 @dataclass
@@ -95,6 +118,20 @@ def group_of(word: bytes, groups: int) -> int:
     return crc32(word.decode("utf-8", "replace")[-ENDING:].encode()) % groups if groups > 1 else 0
 
 
+def groups_in(words: pa.Array, groups: int) -> np.ndarray:
+    """What group_of gives for each of the words."""
+    endings = pc.utf8_slice_codeunits(words, -ENDING).dictionary_encode()
+    return np.array([group_of(w.encode(), groups) for w in endings.dictionary.to_pylist()], dtype=np.int32)[endings.indices.to_numpy()]
+
+
+def numbers_in(words: pa.Array, known: pa.Array, groups: int) -> np.ndarray:
+    """The place of each of the words among the known ones; of the others, the group after them."""
+    out = np.array(pc.fill_null(pc.index_in(words, value_set=known), -1))
+    other = np.flatnonzero(out < 0)
+    out[other] = len(known) + groups_in(words.take(pa.array(other)), groups)
+    return out
+
+
 def group_column(token: Column, groups: int) -> Column:
     """What group_of gives."""
     return F.pmod(F.crc32(F.right(token, F.lit(ENDING)).cast("binary")), F.lit(groups)).cast("int")
@@ -122,16 +159,15 @@ def read_counts(counts: DataFrame, head: int = HEAD) -> Counts:
     return out
 
 
-class Numbering(dict):
-    """Words to numbers; a word that is not there gets what ``make`` gives, and keeps it."""
-
-    def __init__(self, known, make):
-        super().__init__(known)
-        self.make = make
-
-    def __missing__(self, word: bytes) -> int:
-        made = self[word] = self.make(word)
-        return made
+def contexts(ids: np.ndarray, ends: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """(far, near): the two classes before each token of joined texts that end at ``ends``."""
+    begin = np.r_[0, ends][:-1]
+    out = []
+    for _ in range(2):
+        ids = np.r_[start, ids][:len(ids)].astype(np.int32)
+        ids[begin] = start
+        out.append(ids)
+    return out[1], out[0]
 
 
 @dataclass
@@ -144,11 +180,10 @@ class Model:
     bias: np.ndarray
     near: np.ndarray
     far: np.ndarray
-    _ids: dict = field(default_factory=dict, repr=False)
     _tables: tuple | None = field(default=None, repr=False)
 
     def __getstate__(self):
-        return {**self.__dict__, "_ids": {}, "_tables": None}
+        return {**self.__dict__, "_tables": None}
 
     @property
     def classes(self) -> int:
@@ -158,11 +193,12 @@ class Model:
     def groups(self) -> int:
         return self.classes - len(self.words)
 
+    def ids_of(self, words: pa.Array) -> np.ndarray:
+        """The class of each of the words."""
+        return numbers_in(words, pa.array([w.decode() for w in self.words], words.type), self.groups)
+
     def ids(self, tokens: list[bytes]) -> np.ndarray:
-        if not self._ids or len(self._ids) > len(self.words) + HELD_WORDS:
-            first, groups = len(self.words), self.groups
-            self._ids = Numbering(((w, k) for k, w in enumerate(self.words)), lambda w: first + group_of(w, groups))
-        return np.fromiter(map(self._ids.__getitem__, tokens), dtype=np.int32, count=len(tokens))
+        return self.ids_of(pa.array([w.decode("utf-8", "replace") for w in tokens], pa.string()))
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Logits by nearer context (bias included) and by farther context, and the log normaliser of each pair."""
@@ -176,8 +212,9 @@ class Model:
 
     def log_probabilities(self, ids: np.ndarray) -> np.ndarray:
         """Natural log probability of each class in a text of classes, given the two before it."""
-        start = self.classes
-        far, near = np.r_[start, start, ids[:-2]][:len(ids)], np.r_[start, ids[:-1]]
+        return self.log_odds(*contexts(ids, np.array([len(ids)]), self.classes), ids)
+
+    def log_odds(self, far: np.ndarray, near: np.ndarray, ids: np.ndarray) -> np.ndarray:
         a, b, z = self.tables()
         return a[near, ids] + b[far, ids] - z[near, far]
 
@@ -193,11 +230,12 @@ def start_model(counts: Counts, width: int = WIDTH, seed: int = 5) -> Model:
 
 
 def _row_sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct rows, and the sum of the values of each."""
-    width = values.shape[1]
-    at = np.flatnonzero(np.bincount(rows))
-    summed = np.bincount((rows[:, None] * width + np.arange(width)).ravel(), weights=values.ravel())
-    return at, summed.reshape(-1, width)[at].astype(values.dtype)
+    """The distinct rows, and the sum of the values of each; two neighbours are added at once, as one complex number."""
+    pairs = values if values.shape[1] % 2 else values.view(np.result_type(values.dtype, np.complex64))
+    width, met = pairs.shape[1], np.bincount(rows)
+    at, summed = np.flatnonzero(met), np.zeros((len(met), width), dtype=pairs.dtype)
+    np.add.at(summed.reshape(-1), (rows[:, None] * width + np.arange(width)).ravel(), pairs.ravel())
+    return at, summed.take(at, axis=0).view(values.dtype)
 
 
 class Trainer:
@@ -212,51 +250,65 @@ class Trainer:
         self.edges = np.cumsum(p / p.sum())
 
     def step(self, far: np.ndarray, near: np.ndarray, target: np.ndarray) -> None:
-        m = self.m
+        m, n = self.m, len(target)
         noise = np.minimum(np.searchsorted(self.edges, self.rng.random(NOISE)), m.classes - 1)
         c1, c2 = m.context.take(near, axis=0), m.context.take(far, axis=0)
-        q = c1 * m.near + c2 * m.far
+        q = c1 * m.near
+        q += c2 * m.far
         right, wrong = m.target.take(target, axis=0), m.target.take(noise, axis=0)
         shift = np.log(NOISE)
         # the share of a token among the noise moves to its bias, so that all stays in four bytes
         lift = (m.bias - (self.noise_log + shift)).astype(np.float32)
         plus = np.einsum("ij,ij->i", q, right) + lift[target]
-        minus = q @ wrong.T + lift[noise]
+        minus = q @ wrong.T
+        minus += lift[noise]
         g_plus = -1 / (1 + np.exp(np.clip(plus, -30, 30)))
-        g_minus = 1 / (1 + np.exp(-np.clip(minus, -30, 30)))
-        dq = g_plus[:, None] * right + g_minus @ wrong
+        g_minus = np.exp(np.negative(np.clip(minus, -30, 30, out=minus), out=minus), out=minus)
+        g_minus += 1
+        np.reciprocal(g_minus, out=g_minus)
+        dq = g_minus @ wrong
+        dq += g_plus[:, None] * right
         # A row without a gradient moves neither its parameters nor its memory, so only the others are looked at.
-        met, sums = _row_sums(np.r_[target, noise], np.concatenate([np.c_[g_plus[:, None] * q, g_plus], np.c_[g_minus.T @ q, g_minus.sum(axis=0)]]))
-        near_far, context = _row_sums(np.r_[near, far], np.concatenate([dq * m.near, dq * m.far]))
+        drawn, up = np.concatenate([target, noise]), np.empty((n + NOISE, q.shape[1]), dtype=np.float32)
+        np.multiply(q, g_plus[:, None], out=up[:n])
+        np.matmul(g_minus.T, q, out=up[n:])
+        met, sums = _row_sums(drawn, up)
+        bias = np.bincount(drawn, weights=np.concatenate([g_plus, g_minus.sum(axis=0)]))[met].astype(np.float32)
+        both = np.empty((2 * n, q.shape[1]), dtype=np.float32)
+        np.multiply(dq, m.near, out=both[:n])
+        np.multiply(dq, m.far, out=both[n:])
+        near_far, context = _row_sums(np.concatenate([near, far]), both)
         whole = slice(None)
-        for p, at, g, memory in zip(self.params, (near_far, met, met, whole, whole), (context, sums[:, :-1], sums[:, -1], np.einsum("ij,ij->j", dq, c1), np.einsum("ij,ij->j", dq, c2)), self.memory, strict=True):
-            g = g / np.float32(len(target))
-            held = memory[at] + g * g
+        for p, at, g, memory in zip(self.params, (near_far, met, met, whole, whole), (context, sums, bias, np.einsum("ij,ij->j", dq, c1), np.einsum("ij,ij->j", dq, c2)), self.memory, strict=True):
+            g /= np.float32(n)
+            held = g * g
+            held += memory[at]
             memory[at] = held
-            p[at] -= RATE * g / np.sqrt(held)
-
-
-def _contexts(model: Model, texts) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(far, near, target) of the texts, in batches; what is left over fills the next one."""
-    start = model.classes
-    held: list[np.ndarray] = []
-    size = 0
-    for text in texts:
-        ids = model.ids(tokens_of(text))
-        held.append(np.stack([np.r_[start, start, ids[:-2]][:len(ids)], np.r_[start, ids[:-1]], ids]))
-        size += len(ids)
-        if size >= 64 * BATCH:
-            yield from _batches(held)
-            held, size = [], 0
-    if held:
-        yield from _batches(held)
+            g *= np.float32(RATE)
+            g /= np.sqrt(held, out=held)
+            p[at] -= g
+
+
+def _batches(model: Model, texts: pa.Array) -> Iterator[np.ndarray]:
+    """(far, near, target) of the texts in mini-batches, mixed within blocks of whole texts."""
+    words, at, ends = tokens_in(texts)
+    ids = model.ids_of(words)[at]
+    joined = np.stack([*contexts(ids, ends, model.classes), ids])
+    begin = 0
+    while begin < len(ids):
+        end = ends[min(np.searchsorted(ends, begin + 64 * BATCH), len(ends) - 1)]
+        mixed = joined[:, begin + np.random.default_rng(end - begin).permutation(end - begin)].astype(np.intp)
+        for k in range(0, end - begin, BATCH):
+            yield mixed[:, k:k + BATCH]
+        begin = end
+
+
+VECTORS = "row int, n long, part binary"
 
 
-def _batches(held: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    joined = np.concatenate(held, axis=1)
-    joined = joined[:, np.random.default_rng(joined.shape[1]).permutation(joined.shape[1])]
-    for k in range(0, joined.shape[1], BATCH):
-        yield tuple(joined[:, k:k + BATCH])
+def _vector_rows(rows: list[int], n: int, parts: list[bytes]) -> pa.RecordBatch:
+    """Rows for add_vectors, of which the first holds the count."""
+    return pa.RecordBatch.from_arrays([pa.array(rows, pa.int32()), pa.array([n, *repeat(0, len(rows) - 1)], pa.int64()), pa.array(parts, pa.binary())], names=["row", "n", "part"])
 
 
 def train(docs: DataFrame, counts: Counts) -> Model:
@@ -265,18 +317,18 @@ def train(docs: DataFrame, counts: Counts) -> Model:
     shapes = [p.shape for p in (begin.context, begin.target, begin.bias, begin.near, begin.far)]
     piece = 1 << 14
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer, n = Trainer(start_model(counts)), 0
         for batch in batches:
-            for far, near, target in _contexts(trainer.m, batch["text"]):
+            for far, near, target in _batches(trainer.m, batch["text"]):
                 trainer.step(far, near, target)
                 n += len(target)
         if n:
             flat = np.concatenate([p.ravel() for p in trainer.params]).astype(np.float32) * np.float32(n)
             parts = [flat[k:k + piece].tobytes() for k in range(0, len(flat), piece)]
-            yield pd.DataFrame({"row": [-1, *range(len(parts))], "n": [n, *repeat(0, len(parts))], "part": [b"", *parts]})
+            yield _vector_rows([-1, *range(len(parts))], n, [b"", *parts])
 
-    n, parts = add_vectors(docs.select("text").mapInPandas(run, "row int, n long, part binary"))
+    n, parts = add_vectors(docs.select("text").mapInArrow(run, VECTORS))
     if not n:
         return begin
     flat = np.concatenate([parts[k] for k in sorted(parts)]) / n
@@ -317,147 +369,159 @@ def before_vectors(model: Model, counts: Counts) -> np.ndarray:
     return (u @ (axes / np.sqrt(np.maximum(size, 0) + 1e-3 * max(size.max(), 1e-12)))).astype(np.float32)
 
 
-def _nearer(ids: np.ndarray, ends: np.ndarray, start: int) -> np.ndarray:
-    """The class before each token of joined texts that end at ``ends``."""
-    near = np.r_[start, ids[:-1]]
-    near[ends[:-1]] = start
-    return near
+FEW = 48  # classes of two bytes take no more room than a vector of WIDTH floats
 
 
-FEW = 48  # classes of two bytes take no more room than a vector of WIDTH floats
+def _binaries(data, lengths: np.ndarray) -> pa.Array:
+    """The pieces of these lengths that lie behind each other in data."""
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(np.r_[0, np.cumsum(lengths)].astype(np.int32)), pa.py_buffer(data)])
+
 
+def _data(packed: pa.Array, at: np.ndarray, kind: type) -> np.ndarray:
+    """The bytes of some pieces behind each other, as numbers of a kind."""
+    some = packed.take(pa.array(at))
+    edge = np.frombuffer(some.buffers()[1], dtype=np.int32, count=len(some) + 1, offset=4 * some.offset)
+    return np.frombuffer(some.buffers()[2] or b"", dtype=np.uint8)[edge[0]:edge[-1]].view(kind)
 
-def pack(at: np.ndarray, near: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+
+def pack(at: np.ndarray, near: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(word, how often, what stands before it): the classes themselves for FEW occurrences, the sum of their vectors for more."""
-    order = np.argsort(at, kind="stable")
-    near = near[order].astype(np.uint16)
-    begin = np.flatnonzero(np.r_[True, np.diff(at[order]) != 0]) if len(at) else np.zeros(0, dtype=np.int64)
+    both = np.sort(at.astype(np.int64) << 16 | near)
+    at, near = both >> 16, (both & 0xFFFF).astype(np.uint16)
+    begin = np.flatnonzero(np.r_[True, np.diff(at) != 0][:len(at)])
     n = np.diff(np.r_[begin, len(at)])
-    flat = near.tobytes()
-    return at[order][begin], n, [flat[2 * k:2 * (k + c)] if c <= FEW else before[near[k:k + c]].sum(axis=0, dtype=np.float64).astype(np.float32).tobytes() for k, c in zip(begin.tolist(), n.tolist(), strict=True)]
+    few = n <= FEW
+    rows = np.r_[np.flatnonzero(few), np.flatnonzero(~few)]
+    sums = [before[near[k:k + c]].sum(axis=0, dtype=np.float64).astype(np.float32).tobytes() for k, c in zip(begin[~few].tolist(), n[~few].tolist(), strict=True)]
+    return at[begin][rows], n[rows], _binaries(near[np.repeat(few, n)].tobytes() + b"".join(sums), np.where(few, 2 * n, 4 * before.shape[1])[rows])
 
 
-def unpack(n: np.ndarray, packed: list[bytes], before: np.ndarray) -> np.ndarray:
+def unpack(n: np.ndarray, packed: pa.Array | list[bytes], before: np.ndarray) -> np.ndarray:
     """The sums of vectors that pack stands for."""
+    packed = packed if isinstance(packed, pa.Array) else pa.array(packed, pa.binary())
     out = np.zeros((len(n), before.shape[1]), dtype=np.float64)
     few, many = np.flatnonzero((n > 0) & (n <= FEW)), np.flatnonzero(n > FEW)
-    if len(few):
-        near = np.frombuffer(b"".join(packed[k] for k in few), dtype=np.uint16)
-        out[few] = np.add.reduceat(before[near], np.r_[0, np.cumsum(n[few])[:-1]].astype(np.int64), axis=0)
+    for k in range(0, len(few), 4_000):
+        some = few[k:k + 4_000]
+        out[some] = np.add.reduceat(before[_data(packed, some, np.uint16)], np.r_[0, np.cumsum(n[some])[:-1]].astype(np.int64), axis=0)
     if len(many):
-        out[many] = np.frombuffer(b"".join(packed[k] for k in many), dtype=np.float32).reshape(len(many), -1)
+        out[many] = _data(packed, many, np.float32).reshape(len(many), -1)
     return out
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in fewer batches."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.concat_batches(held)
+
+
 def learn_words(docs: DataFrame, totals: Counts, model: Model) -> tuple[Words, DataFrame]:
     """The words of all training texts outside the shortlist: what is common to them, and (token, c, g, packed)."""
     before = before_vectors(model, totals)
     width, groups, first = before.shape[1], model.groups, len(model.words)
 
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def fresh():
-            seen: list[bytes] = []
-            made: list[int] = list(range(first))
-
-            def make(word: bytes) -> int:
-                seen.append(word)
-                made.append(first + group_of(word, groups))
-                return len(made) - 1
-            return Numbering(((w, k) for k, w in enumerate(model.words)), make), seen, made, [], 0
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def frame(held: list[tuple]) -> pa.RecordBatch:
+            names, at, near = zip(*held, strict=True)
+            coded = pa.concat_arrays(names).dictionary_encode()
+            at, n, packed = pack(coded.indices.to_numpy()[np.concatenate(at)], np.concatenate(near), before)
+            return pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(at)), pa.array(n, pa.int64()), packed], names=["token", "n", "packed"])
 
-        def frame(seen: list[bytes], held: list[np.ndarray]) -> pd.DataFrame:
-            at, n, packed = pack(*np.concatenate(held, axis=1), before)
-            return pd.DataFrame({"token": [seen[k].decode("utf-8", "replace") for k in at.tolist()], "n": n, "packed": packed})
-
-        index, seen, made, held, size = fresh()
+        held, met, size = [], 0, 0
         for batch in batches:
-            for tokens, ends in _joined(batch["text"]):
-                at = np.fromiter(map(index.__getitem__, tokens), dtype=np.int32, count=len(tokens))
-                near = _nearer(np.array(made, dtype=np.int32)[at], ends, model.classes)
-                own = np.flatnonzero(at >= first)
-                held.append(np.stack([at[own] - first, near[own]]).astype(np.int32))
-                size += len(own)
-                if size and (len(seen) > HELD_WORDS or size > 10 * HELD_WORDS):
-                    yield frame(seen, held)
-                    index, seen, made, held, size = fresh()
-        if size:
-            yield frame(seen, held)
-
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: list[str] = []
-        index = Numbering((), lambda w: seen.append(w) or len(seen) - 1)
-        at, n, packed = [], [], []
-        for batch in batches:
-            at += map(index.__getitem__, batch["token"])
-            n.append(batch["n"].to_numpy())
-            packed += batch["packed"].tolist()
-        if not at:
+            names, at, ends = tokens_in(batch["text"])
+            classes = model.ids_of(names)
+            ids = classes[at]
+            _, near = contexts(ids, ends, model.classes)
+            own, others = np.flatnonzero(ids >= first), classes >= first
+            if not len(own):
+                continue
+            held.append((names.filter(pa.array(others)), (np.cumsum(others) - 1 + met)[at[own]], near[own]))
+            met, size = met + len(held[-1][0]), size + len(own)
+            if met > 4 * HELD_WORDS or size > 10 * HELD_WORDS:
+                yield frame(held)
+                held, met, size = [], 0, 0
+        if held:
+            yield frame(held)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
             return
-        at, n = np.array(at), np.concatenate(n)
+        pieces = pa.concat_batches(held)
+        del held
+        coded, n, packed = pieces["token"].dictionary_encode(), pieces["n"].to_numpy(), pieces["packed"]
+        at = coded.indices.to_numpy()
         order = np.argsort(at, kind="stable")
         begin = np.flatnonzero(np.r_[True, np.diff(at[order]) != 0])
         c = np.add.reduceat(n[order], begin)
-        edges = np.r_[begin, len(at)]
-        for k in range(0, len(seen), 20_000):
-            out = []
-            for j in range(k, min(k + 20_000, len(seen))):
-                some = order[edges[j]:edges[j + 1]]
-                pieces = [packed[x] for x in some.tolist()]
-                out.append(b"".join(pieces) if c[j] <= FEW else unpack(n[some], pieces, before).sum(axis=0).astype(np.float32).tobytes())
-            yield pd.DataFrame({"token": seen[k:k + 20_000], "c": c[k:k + 20_000], "packed": out})
-
-    pieces = docs.select("text").mapInPandas(gather, "token string, n long, packed binary").repartition("token")
-    learnt, _ = settle_at(pieces.mapInPandas(add, "token string, c long, packed binary").withColumn("g", group_column(F.col("token"), groups)), "words")
+        few = c <= FEW
+        pieces_of = np.diff(np.r_[begin, len(at)])
+        joined, some = [_data(packed, order[np.repeat(few, pieces_of)], np.uint8)], order[np.repeat(~few, pieces_of)]
+        if len(some):
+            joined.append(np.add.reduceat(unpack(n[some], packed.take(pa.array(some)), before), np.r_[0, np.cumsum(pieces_of[~few])[:-1]], axis=0).astype(np.float32).ravel().view(np.uint8))
+        rows = np.r_[np.flatnonzero(few), np.flatnonzero(~few)]
+        out = pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(rows)), pa.array(c[rows], pa.int64()), _binaries(np.concatenate(joined), np.where(few, 2 * c, 4 * width)[rows])], names=["token", "c", "packed"])
+        for k in range(0, len(out), 20_000):
+            yield out.slice(k, 20_000)
+
+    pieces = docs.select("text").mapInArrow(gather, "token string, n long, packed binary").repartition("token")
+    learnt, _ = settle_at(pieces.mapInArrow(add, "token string, c long, packed binary").withColumn("g", group_column(F.col("token"), groups)), "words")
     means = np.zeros((groups, width))
 
-    def add_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((groups, width + 1))
-        for batch in batches:
+        for batch in _blocks(batches):
             c = batch["c"].to_numpy()
-            np.add.at(total, batch["g"].to_numpy(), np.concatenate([unpack(c, batch["packed"].tolist(), before), c[:, None]], axis=1))
-        yield pd.DataFrame({"row": range(groups), "n": 0, "part": [x.astype(np.float32).tobytes() for x in total]})
+            np.add.at(total, batch["g"].to_numpy(), np.concatenate([unpack(c, batch["packed"], before), c[:, None]], axis=1))
+        yield _vector_rows(list(range(groups)), 0, [x.astype(np.float32).tobytes() for x in total])
 
-    for g, total in add_vectors(learnt.select("c", "g", "packed").mapInPandas(add_groups, "row int, n long, part binary"))[1].items():
+    for g, total in add_vectors(learnt.select("c", "g", "packed").mapInArrow(add_groups, VECTORS))[1].items():
         means[g] = total[:-1] / max(total[-1], 1)
     words = Words(before, means, np.zeros((groups, len(before))))
 
-    def normalise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z, n = np.zeros((groups, len(before)), dtype=np.float64), 0
-        for batch in batches:
+        once = np.zeros((groups, len(before)), dtype=np.int64)  # words met once, by group and class before: alike in all that counts here
+
+        def add_words(c: np.ndarray, sums: np.ndarray, g: np.ndarray, times: np.ndarray | int = 1) -> None:
+            """Add ``times`` words of each kind, ordered by group."""
+            s, b = words.vectors(c, sums, g)
+            e = np.concatenate([s, (b + np.log(times))[:, None].astype(np.float32)], axis=1) @ wide
+            at = np.flatnonzero(np.r_[True, np.diff(g) != 0])
+            z[g[at]] += np.add.reduceat(np.exp(e, out=e), at, axis=0)
+
+        wide = np.concatenate([before, np.ones((len(before), 1), dtype=np.float32)], axis=1).T
+        for batch in _blocks(batches):
             n += len(batch)
-            batch = batch.sort_values("g")
-            for k in range(0, len(batch), 4_000):
-                some = batch.iloc[k:k + 4_000]
-                g = some["g"].to_numpy()
-                c = some["c"].to_numpy()
-                s, b = words.vectors(c, unpack(c, some["packed"].tolist(), before), g)
-                e = np.exp(s @ before.T + b[:, None].astype(np.float32))
-                at = np.flatnonzero(np.r_[True, np.diff(g) != 0])
-                z[g[at]] += np.add.reduceat(e, at, axis=0)
+            c, g = batch["c"].to_numpy(), batch["g"].to_numpy()
+            alone, rest = np.flatnonzero(c == 1), np.flatnonzero(c > 1)
+            np.add.at(once, (g[alone], _data(batch["packed"], alone, np.uint16)), 1)
+            rest = rest[np.argsort(g[rest], kind="stable")]
+            for k in range(0, len(rest), PIECE):
+                some = rest[k:k + PIECE]
+                add_words(c[some], unpack(c[some], batch["packed"].take(pa.array(some)), before), g[some])
+        group, near = np.nonzero(once)
+        for k in range(0, len(group), PIECE):
+            g, u = group[k:k + PIECE], near[k:k + PIECE]
+            add_words(np.ones(len(g), dtype=np.int64), before[u].astype(np.float64), g, once[g, u])
         if n:
-            yield pd.DataFrame({"row": [-1, *range(groups)], "n": [n, *repeat(0, groups)], "part": [b"", *(x.astype(np.float32).tobytes() for x in z)]})
+            yield _vector_rows([-1, *range(groups)], n, [b"", *(x.astype(np.float32).tobytes() for x in z)])
 
     z = np.full((groups, len(before)), SMOOTH)  # the unseen word of each class
-    for g, more in add_vectors(learnt.select("c", "g", "packed").mapInPandas(normalise, "row int, n long, part binary"))[1].items():
+    for g, more in add_vectors(learnt.select("c", "g", "packed").mapInArrow(normalise, VECTORS))[1].items():
         z[g] += more
     words.log_z = np.log(z)
     return words, learnt
 
 
-def _joined(texts, size: int = 1 << 16) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """(tokens, where each text ends) of some texts at a time."""
-    tokens: list[bytes] = []
-    ends: list[int] = []
-    for text in texts:
-        tokens += tokens_of(text)
-        ends.append(len(tokens))
-        if len(tokens) >= size:
-            yield tokens, np.array(ends)
-            tokens, ends = [], []
-    if ends:
-        yield tokens, np.array(ends)
-
-
 def score(docs: DataFrame, counts: DataFrame, totals: Counts, model: Model, held_out: Column) -> DataFrame:
     """Per row of docs (doc_id, text): doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
@@ -473,49 +537,47 @@ def score(docs: DataFrame, counts: DataFrame, totals: Counts, model: Model, held
         some = learnt.filter(F.col("c") >= least).toPandas()  # at most `HEAD` words
         head_sums[[head_at[w.encode()] for w in some["token"]]] = unpack(some["c"].to_numpy(), some["packed"].tolist(), words.before)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.array(list(totals.head.values()), dtype=np.float64)
-        group = np.array([0] * first + [group_of(w, model.groups) for w in list(totals.head)[first:]], dtype=np.int64)
+        known = pa.array([w.decode() for w in totals.head], pa.string())
+        group = np.array([0] * first + groups_in(known[first:], model.groups).tolist(), dtype=np.int64)
         s, b = words.vectors(count, head_sums, group)
         # head words have their place as number, the others come after them by group
-        known = [(w, k) for k, w in enumerate(totals.head)]
-        make = lambda w: n_head + group_of(w, model.groups)
         classes = np.r_[np.arange(first), first + group[first:], first + np.arange(model.groups)].astype(np.int32)
         base_log = np.r_[np.log10((count + SMOOTH) / base), np.zeros(model.groups)]
-        log_z, numbers = words.log_z.astype(np.float32), Numbering(known, make)
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                tokens = tokens_of(text)
-                at = np.fromiter(map(numbers.__getitem__, tokens), dtype=np.int32, count=len(tokens))
-                ids = classes[at]
-                near = np.r_[model.classes, ids[:-1]]
-                inside, tail = np.flatnonzero((at >= first) & (at < n_head)), np.flatnonzero(at >= n_head)
-                w, u = at[inside], near[inside]
-                inner = (np.einsum("ij,ij->i", s[w], words.before[u]) + b[w] - log_z[group[w], u]).sum(dtype=np.float64)
-                rows.append((len(tokens), len(tokens) - len(tail), float(base_log[at].sum()), float(model.log_probabilities(ids).sum(dtype=np.float64) + inner) / np.log(10),
-                             [tokens[k].decode("utf-8", "replace") for k in tail.tolist()], near[tail]))
-            if len(numbers) > n_head + HELD_WORDS:
-                numbers = Numbering(known, make)
-            out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "base_score", "score", "tail", "near"])
-            out.insert(0, "held_out", batch["held_out"].array)
-            out.insert(0, "doc_id", as_given(batch["doc_id"]))
-            yield out
-
-    def score_tail(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        log_z = words.log_z.astype(np.float32)
         for batch in batches:
-            c, g, near = batch["c"].to_numpy(dtype=np.float64), batch["g"].to_numpy(), batch["near"].to_numpy()
-            s, b = words.vectors(c, unpack(batch["c"].to_numpy(), batch["packed"].tolist(), words.before), g)  # 0 and log(SMOOTH) for unseen ones
+            names, place, ends = tokens_in(batch["text"])
+            at = numbers_in(names, known.cast(names.type), model.groups)[place]
+            ids = classes[at]
+            far, near = contexts(ids, ends, model.classes)
+            value = model.log_odds(far, near, ids).astype(np.float64)
+            inside, tail = np.flatnonzero((at >= first) & (at < n_head)), np.flatnonzero(at >= n_head)
+            for k in range(0, len(inside), 1 << 14):
+                some = inside[k:k + (1 << 14)]
+                w, u = at[some], near[some]
+                value[some] += np.einsum("ij,ij->i", s[w], words.before[u]) + b[w] - log_z[group[w], u]
+            begin, edges = np.r_[0, ends][:-1], np.searchsorted(tail, np.r_[0, ends]).astype(np.int32)
+            n, known_n = np.diff(np.r_[0, ends]), np.diff(np.r_[0, ends]) - np.diff(edges)
+            sums = lambda x: np.add.reduceat(x, begin) if len(begin) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["held_out"], pa.array(n, pa.int64()), pa.array(known_n, pa.int64()), pa.array(sums(base_log[at])), pa.array(sums(value) / np.log(10)),
+                 pa.ListArray.from_arrays(edges, names.take(pa.array(place[tail]))), pa.ListArray.from_arrays(edges, pa.array(near[tail], pa.int32()))],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "tail", "near"])
+
+    def score_tail(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _blocks(batches):
+            c, g, near = batch["c"].to_numpy(), batch["g"].to_numpy(), batch["near"].to_numpy()
+            s, b = words.vectors(c, unpack(c, batch["packed"], words.before), g)  # 0 and log(SMOOTH) for unseen ones
             inner = (np.einsum("ij,ij->i", s, words.before[near]) + b - words.log_z[g, near]) / np.log(10)
-            out = pd.DataFrame({"row": batch["row"], "t_known": (c > 0).astype(np.int64), "t_base": np.log10((c + SMOOTH) / base), "t_score": inner})
-            yield out.groupby("row", as_index=False).sum()
+            yield pa.RecordBatch.from_arrays([batch["row"], pa.array((c > 0).astype(np.int64)), pa.array(np.log10((c + SMOOTH) / base)), pa.array(inner)], names=["row", "t_known", "t_base", "t_score"])
 
     rows = docs.select(as_text("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double, tail array<string>, near array<int>"
-    scored, _ = settle_at(rows.mapInPandas(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
+    scored, _ = settle_at(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scored")
     tail = scored.select("row", F.explode(F.arrays_zip("tail", "near")).alias("t")).select("row", F.col("t.tail").alias("token"), F.col("t.near").alias("near"))
     met = tail.join(learnt.drop("g"), "token", "left").select("row", "near", group_column(F.col("token"), model.groups).alias("g"), F.coalesce("c", F.lit(0)).alias("c"), "packed")
-    sums = met.mapInPandas(score_tail, "row long, t_known long, t_base double, t_score double").groupBy("row").agg(*(F.sum(x).alias(x) for x in ("t_known", "t_base", "t_score")))
+    sums = met.mapInArrow(score_tail, "row long, t_known long, t_base double, t_score double").groupBy("row").agg(*(F.sum(x).alias(x) for x in ("t_known", "t_base", "t_score")))
     plus = lambda a, b: (F.col(a) + F.coalesce(b, F.lit(0))).alias(a)
     return scored.drop("tail", "near").join(sums, "row", "left").select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens", plus("n_known", "t_known"), F.lit(totals.total).cast("long").alias("train_tokens"),
                                                                         plus("base_score", "t_base"), plus("score", "t_score"))

@@ -4,11 +4,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from stratamart.llm import lm
-from stratamart.llm.common import fold_of
+from stratamart.llm.common import fold_of, words_of
 
 
 def texts(n):
@@ -120,3 +121,53 @@ def test_a_step_is_that_of_the_whole_tables():
             g = g / len(target)
             x = x + g * g
             assert now == pytest.approx(x, rel=1e-3, abs=1e-9) and p == pytest.approx(was - lm.RATE * g / np.sqrt(x), rel=1e-3, abs=1e-5)
+
+
+def test_tokens_of_a_batch_are_those_of_its_texts():
+    rnd = random.Random(4)
+    signs = ["a", "B", "é", "İ", "word", " ", "\t", "\n", "\x0b", "\x0c", "\r", "\x00", "\x1c", "\x1f", "\x85", "\u2003", "\U0001f600"]
+    for given in ([None, "", "  ", " a  b ", "A a"], ["one"], [None], [], ["".join(rnd.choices(signs, k=rnd.randrange(30))) for _ in range(3000)]):
+        names, at, ends = lm.tokens_in(pa.array(given, pa.string()))
+        want = [[*words_of(t), b"\n"] for t in given]
+        got = [names[k].as_py().encode() for k in at.tolist()]
+        assert got == [w for words in want for w in words] and ends.tolist() == np.cumsum([len(words) for words in want]).tolist()
+        assert len(names) == len(set(got))
+
+
+def test_endings_are_classed_once(monkeypatch):
+    """The work on words follows the distinct endings of a batch, not its words."""
+    model = lm.start_model(lm.Counts(1000, 300, {f"w{k}".encode(): 40 - k for k in range(20)}, tuple([9] * 30)))
+    words, calls, group_of = [f"{k}end".encode() for k in range(500)] + [b"w3", "né".encode()], [], lm.group_of
+    want = [*(20 + group_of(w, 30) for w in words[:500]), 3, 20 + group_of(words[-1], 30)]
+    monkeypatch.setattr(lm, "group_of", lambda w, groups: calls.append(w) or group_of(w, groups))
+    assert model.ids(words).tolist() == want and len(calls) == 2
+
+
+def test_words_of_all_counts_are_learnt_over_tasks(spark, frame, monkeypatch):
+    """Words met once to 300 times: their sums are those of the whole text, and each class is normalised over all of them."""
+    monkeypatch.setattr(lm, "SHORTLIST", 2)
+    rnd = random.Random(6)
+    often = [f"x{k}" for k, n in enumerate((1, 2, lm.FEW, lm.FEW + 1, 100, 300)) for _ in range(n)] + [f"once{k}x" for k in range(900)]
+    rnd.shuffle(often)
+    pairs = [f"{rnd.choice(['left', 'right'])} {w}" for w in often]
+    rows = [(k, " ".join(pairs[k::40])) for k in range(40)]
+    docs = frame(rows, 4)
+    counts, _ = lm.settle_at(lm.count_tokens(docs), "counts")
+    totals = lm.read_counts(counts)
+    model = lm.train(docs, totals)
+    words, learnt = lm.learn_words(docs, totals, model)
+    got = learnt.toPandas()
+    sums = lm.unpack(got["c"].to_numpy(), got["packed"].tolist(), words.before)
+    want = {}
+    for _, text in rows:
+        tokens = [*words_of(text), b"\n"]
+        ids = model.ids(tokens)
+        for before, at, token in zip([model.classes, *ids[:-1]], ids, tokens, strict=True):
+            if at >= 2:
+                c, total = want.get(token, (0, 0))
+                want[token] = c + 1, total + words.before[before]
+    assert {w.encode(): c for w, c in zip(got["token"], got["c"], strict=True)} == {w: c for w, (c, _) in want.items()} and got["c"].max() == 300
+    assert sums == pytest.approx(np.array([want[w.encode()][1] for w in got["token"]]), abs=1e-2, rel=1e-4)
+    s, b = words.vectors(got["c"].to_numpy(), sums, got["g"].to_numpy())
+    total = np.exp(s @ words.before.T + b[:, None] - words.log_z[got["g"]]).sum(axis=0) + np.exp(math.log(lm.SMOOTH) - words.log_z).sum(axis=0)
+    assert total == pytest.approx(np.full(len(words.before), model.groups), abs=1e-3)
