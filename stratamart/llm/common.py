@@ -82,7 +82,7 @@ def free(spark: SparkSession, path: str) -> None:
         pass
 
 
-def _add_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _add_parts(batches: Iterator[pd.DataFrame], how: np.ufunc = np.add) -> Iterator[pd.DataFrame]:
     parts: dict[int, np.ndarray] = {}
     n = 0
     for batch in batches:
@@ -90,18 +90,20 @@ def _add_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             n += count
             if row >= 0:
                 more = np.frombuffer(part, dtype=np.float32).astype(np.float64)
-                parts[row] = parts[row] + more if row in parts else more
+                parts[row] = how(parts[row], more) if row in parts else more
     yield pd.DataFrame({"row": [-1, *parts], "n": [n, *(0 for _ in parts)], "part": [b"", *(p.tobytes() for p in parts.values())]})
 
 
-def add_vectors(made: DataFrame) -> tuple[int, dict[int, np.ndarray]]:
+def add_vectors(made: DataFrame, how: np.ufunc = np.add) -> tuple[int, dict[int, np.ndarray]]:
     """Add up what tasks emit: (row, n, part) with parts of float32 by row, and n counted. The sums come to the driver.
 
+    ``how`` adds two parts; np.logaddexp adds the logarithms of sums that would be too large themselves.
+
     A vector is cut into rows, so its pieces add up in different tasks, one batch at a time. The caller's vectors have a
     length that does not follow the data.
     """
     n, parts = 0, {}
-    for r in made.repartition("row").mapInPandas(_add_parts, "row int, n long, part binary").collect():
+    for r in made.repartition("row").mapInPandas(lambda batches: _add_parts(batches, how), "row int, n long, part binary").collect():
         n += r["n"]
         if r["row"] >= 0:
             parts[r["row"]] = np.frombuffer(bytes(r["part"]), dtype=np.float64)

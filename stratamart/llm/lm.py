@@ -45,6 +45,7 @@ SMOOTH = 0.1
 PRIOR = 20  # occurrences that the mean of its class counts for in a word's own mean
 ENDING = 3  # characters
 HELD_WORDS = 400_000  # that a task holds before it hands them on
+ROWS = 20_000  # that a batch on its way out of a task holds
 PIECE = 512  # rows of a product with all classes that stay near the processor
 
 
@@ -87,10 +88,10 @@ def count_tokens(docs: DataFrame) -> DataFrame:
                 held = [added(held)]
                 size = held[0].num_rows
                 if size > HELD_WORDS:
-                    yield from held[0].to_batches()
+                    yield from held[0].to_batches(ROWS)
                     held, size = [], 0
         if size:
-            yield from added(held).to_batches()
+            yield from added(held).to_batches(ROWS)
 
     return docs.select("text").mapInArrow(count, "token string, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
@@ -162,12 +163,11 @@ def read_counts(counts: DataFrame, head: int = HEAD) -> Counts:
 def contexts(ids: np.ndarray, ends: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     """(far, near): the two classes before each token of joined texts that end at ``ends``."""
     begin = np.r_[0, ends][:-1]
-    out = []
-    for _ in range(2):
-        ids = np.r_[start, ids][:len(ids)].astype(np.int32)
-        ids[begin] = start
-        out.append(ids)
-    return out[1], out[0]
+    near, far = np.empty_like(ids), np.empty_like(ids)
+    for before, of in ((near, ids), (far, near)):
+        before[1:] = of[:-1]
+        before[begin] = start
+    return far, near
 
 
 @dataclass
@@ -206,8 +206,11 @@ class Model:
             a = (self.context * self.near) @ self.target.T + self.bias
             b = (self.context * self.far) @ self.target.T
             top_a, top_b = a.max(axis=1, keepdims=True), b.max(axis=1, keepdims=True)
-            z = np.log(np.maximum(np.exp(a - top_a) @ np.exp(b - top_b).T, 1e-37)) + top_a + top_b.T
-            self._tables = tuple(x.astype(np.float32) for x in (a, b, z))
+            z = np.exp(a - top_a) @ np.exp(b - top_b).T
+            np.log(np.maximum(z, 1e-37, out=z), out=z)
+            z += top_a
+            z += top_b.T
+            self._tables = tuple(x.astype(np.float32, copy=False) for x in (a, b, z))
         return self._tables
 
     def log_probabilities(self, ids: np.ndarray) -> np.ndarray:
@@ -386,7 +389,9 @@ def _data(packed: pa.Array, at: np.ndarray, kind: type) -> np.ndarray:
 
 def pack(at: np.ndarray, near: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(word, how often, what stands before it): the classes themselves for FEW occurrences, the sum of their vectors for more."""
-    both = np.sort(at.astype(np.int64) << 16 | near)
+    both = at.astype(np.int64) << 16
+    both |= near
+    both.sort()
     at, near = both >> 16, (both & 0xFFFF).astype(np.uint16)
     begin = np.flatnonzero(np.r_[True, np.diff(at) != 0][:len(at)])
     n = np.diff(np.r_[begin, len(at)])
@@ -409,7 +414,7 @@ def unpack(n: np.ndarray, packed: pa.Array | list[bytes], before: np.ndarray) ->
     return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
     """The same rows in fewer batches."""
     held, size = [], 0
     for batch in batches:
@@ -427,6 +432,10 @@ def learn_words(docs: DataFrame, totals: Counts, model: Model) -> tuple[Words, D
     before = before_vectors(model, totals)
     width, groups, first = before.shape[1], model.groups, len(model.words)
 
+    def slices(out: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(out), ROWS):
+            yield out.slice(k, ROWS)
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def frame(held: list[tuple]) -> pa.RecordBatch:
             names, at, near = zip(*held, strict=True)
@@ -443,13 +452,13 @@ def learn_words(docs: DataFrame, totals: Counts, model: Model) -> tuple[Words, D
             own, others = np.flatnonzero(ids >= first), classes >= first
             if not len(own):
                 continue
-            held.append((names.filter(pa.array(others)), (np.cumsum(others) - 1 + met)[at[own]], near[own]))
+            held.append((names.filter(pa.array(others)), (np.cumsum(others, dtype=np.int32) + np.int32(met - 1))[at[own]], near[own].astype(np.uint16)))
             met, size = met + len(held[-1][0]), size + len(own)
             if met > 4 * HELD_WORDS or size > 10 * HELD_WORDS:
-                yield frame(held)
+                yield from slices(frame(held))
                 held, met, size = [], 0, 0
         if held:
-            yield frame(held)
+            yield from slices(frame(held))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [batch for batch in batches if batch.num_rows]
@@ -469,8 +478,7 @@ def learn_words(docs: DataFrame, totals: Counts, model: Model) -> tuple[Words, D
             joined.append(np.add.reduceat(unpack(n[some], packed.take(pa.array(some)), before), np.r_[0, np.cumsum(pieces_of[~few])[:-1]], axis=0).astype(np.float32).ravel().view(np.uint8))
         rows = np.r_[np.flatnonzero(few), np.flatnonzero(~few)]
         out = pa.RecordBatch.from_arrays([coded.dictionary.take(pa.array(rows)), pa.array(c[rows], pa.int64()), _binaries(np.concatenate(joined), np.where(few, 2 * c, 4 * width)[rows])], names=["token", "c", "packed"])
-        for k in range(0, len(out), 20_000):
-            yield out.slice(k, 20_000)
+        yield from slices(out)
 
     pieces = docs.select("text").mapInArrow(gather, "token string, n long, packed binary").repartition("token")
     learnt, _ = settle_at(pieces.mapInArrow(add, "token string, c long, packed binary").withColumn("g", group_column(F.col("token"), groups)), "words")
@@ -488,37 +496,39 @@ def learn_words(docs: DataFrame, totals: Counts, model: Model) -> tuple[Words, D
     words = Words(before, means, np.zeros((groups, len(before))))
 
     def normalise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z, n = np.zeros((groups, len(before)), dtype=np.float64), 0
+        log_z, n = np.full((groups, len(before)), -np.inf), 0  # logarithms: a word that is sure to follow a class goes beyond exp()
         once = np.zeros((groups, len(before)), dtype=np.int64)  # words met once, by group and class before: alike in all that counts here
 
+        wide = np.concatenate([before, np.ones((len(before), 1), dtype=np.float32)], axis=1).T
+
         def add_words(c: np.ndarray, sums: np.ndarray, g: np.ndarray, times: np.ndarray | int = 1) -> None:
             """Add ``times`` words of each kind, ordered by group."""
             s, b = words.vectors(c, sums, g)
-            e = np.concatenate([s, (b + np.log(times))[:, None].astype(np.float32)], axis=1) @ wide
-            at = np.flatnonzero(np.r_[True, np.diff(g) != 0])
-            z[g[at]] += np.add.reduceat(np.exp(e, out=e), at, axis=0)
-
-        wide = np.concatenate([before, np.ones((len(before), 1), dtype=np.float32)], axis=1).T
-        for batch in _blocks(batches):
+            s = np.concatenate([s, (b + np.log(times))[:, None].astype(np.float32)], axis=1)
+            edges = np.flatnonzero(np.diff(g, prepend=-1, append=-1)).tolist()
+            for begin, end in zip(edges[:-1], edges[1:], strict=True):
+                for k in range(begin, end, PIECE):
+                    e = s[k:min(end, k + PIECE)] @ wide
+                    top = e.max(axis=0)
+                    e -= top
+                    log_z[g[k]] = np.logaddexp(log_z[g[k]], np.log(np.exp(e, out=e).sum(axis=0)) + top)
+
+        for batch in _blocks(batches, 3 * ROWS):
             n += len(batch)
             c, g = batch["c"].to_numpy(), batch["g"].to_numpy()
             alone, rest = np.flatnonzero(c == 1), np.flatnonzero(c > 1)
             np.add.at(once, (g[alone], _data(batch["packed"], alone, np.uint16)), 1)
             rest = rest[np.argsort(g[rest], kind="stable")]
-            for k in range(0, len(rest), PIECE):
-                some = rest[k:k + PIECE]
-                add_words(c[some], unpack(c[some], batch["packed"].take(pa.array(some)), before), g[some])
-        group, near = np.nonzero(once)
-        for k in range(0, len(group), PIECE):
-            g, u = group[k:k + PIECE], near[k:k + PIECE]
-            add_words(np.ones(len(g), dtype=np.int64), before[u].astype(np.float64), g, once[g, u])
+            add_words(c[rest], unpack(c[rest], batch["packed"].take(pa.array(rest)), before), g[rest])
+        for k in range(0, groups, 16):
+            g, u = np.nonzero(once[k:k + 16])
+            add_words(np.ones(len(g), dtype=np.int64), before[u].astype(np.float64), g + k, once[g + k, u])
         if n:
-            yield _vector_rows([-1, *range(groups)], n, [b"", *(x.astype(np.float32).tobytes() for x in z)])
+            yield _vector_rows([-1, *range(groups)], n, [b"", *(x.astype(np.float32).tobytes() for x in log_z)])
 
-    z = np.full((groups, len(before)), SMOOTH)  # the unseen word of each class
-    for g, more in add_vectors(learnt.select("c", "g", "packed").mapInArrow(normalise, VECTORS))[1].items():
-        z[g] += more
-    words.log_z = np.log(z)
+    words.log_z += np.log(SMOOTH)  # the unseen word of each class
+    for g, more in add_vectors(learnt.select("c", "g", "packed").mapInArrow(normalise, VECTORS), np.logaddexp)[1].items():
+        words.log_z[g] = np.logaddexp(words.log_z[g], more)
     return words, learnt
 
 
@@ -537,15 +547,15 @@ def score(docs: DataFrame, counts: DataFrame, totals: Counts, model: Model, held
         some = learnt.filter(F.col("c") >= least).toPandas()  # at most `HEAD` words
         head_sums[[head_at[w.encode()] for w in some["token"]]] = unpack(some["c"].to_numpy(), some["packed"].tolist(), words.before)
 
+    count, known = np.array(list(totals.head.values()), dtype=np.float64), pa.array([w.decode() for w in totals.head], pa.string())
+    group = np.r_[np.zeros(first, dtype=np.int32), groups_in(known[first:], model.groups)]
+    s, b = words.vectors(count, head_sums, group)
+    # head words have their place as number, the others come after them by group
+    classes = np.r_[np.arange(first), first + group[first:], first + np.arange(model.groups)].astype(np.int32)
+    base_log = np.r_[np.log10((count + SMOOTH) / base), np.zeros(model.groups)]
+    before, log_z = words.before, words.log_z.astype(np.float32)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.array(list(totals.head.values()), dtype=np.float64)
-        known = pa.array([w.decode() for w in totals.head], pa.string())
-        group = np.array([0] * first + groups_in(known[first:], model.groups).tolist(), dtype=np.int64)
-        s, b = words.vectors(count, head_sums, group)
-        # head words have their place as number, the others come after them by group
-        classes = np.r_[np.arange(first), first + group[first:], first + np.arange(model.groups)].astype(np.int32)
-        base_log = np.r_[np.log10((count + SMOOTH) / base), np.zeros(model.groups)]
-        log_z = words.log_z.astype(np.float32)
         for batch in batches:
             names, place, ends = tokens_in(batch["text"])
             at = numbers_in(names, known.cast(names.type), model.groups)[place]
@@ -556,7 +566,7 @@ def score(docs: DataFrame, counts: DataFrame, totals: Counts, model: Model, held
             for k in range(0, len(inside), 1 << 14):
                 some = inside[k:k + (1 << 14)]
                 w, u = at[some], near[some]
-                value[some] += np.einsum("ij,ij->i", s[w], words.before[u]) + b[w] - log_z[group[w], u]
+                value[some] += np.einsum("ij,ij->i", s[w], before[u]) + b[w] - log_z[group[w], u]
             begin, edges = np.r_[0, ends][:-1], np.searchsorted(tail, np.r_[0, ends]).astype(np.int32)
             n, known_n = np.diff(np.r_[0, ends]), np.diff(np.r_[0, ends]) - np.diff(edges)
             sums = lambda x: np.add.reduceat(x, begin) if len(begin) else np.zeros(0)

@@ -171,3 +171,22 @@ def test_words_of_all_counts_are_learnt_over_tasks(spark, frame, monkeypatch):
     s, b = words.vectors(got["c"].to_numpy(), sums, got["g"].to_numpy())
     total = np.exp(s @ words.before.T + b[:, None] - words.log_z[got["g"]]).sum(axis=0) + np.exp(math.log(lm.SMOOTH) - words.log_z).sum(axis=0)
     assert total == pytest.approx(np.full(len(words.before), model.groups), abs=1e-3)
+
+
+def test_words_that_are_sure_to_follow_a_class_stay_finite(spark, frame, monkeypatch):
+    """Logits beyond the range of exp() neither make a normaliser infinite nor take the words beside them along."""
+    monkeypatch.setattr(lm, "SHORTLIST", 3)
+    vectors = lm.before_vectors
+    monkeypatch.setattr(lm, "before_vectors", lambda *given: 40 * vectors(*given))
+    rnd = random.Random(7)
+    docs = frame([(k, " ".join(f"{side} {side[0]}{rnd.randrange(40)}end {side}{rnd.randrange(2000)}" for side in rnd.choices(["left", "right"], k=30))) for k in range(100)])
+    counts, _ = lm.settle_at(lm.count_tokens(docs), "counts")
+    totals = lm.read_counts(counts)
+    words, learnt = lm.learn_words(docs, totals, lm.train(docs, totals))
+    got = learnt.toPandas()
+    s, b = words.vectors(got["c"].to_numpy(), lm.unpack(got["c"].to_numpy(), got["packed"].tolist(), words.before), got["g"].to_numpy())
+    logits = s.astype(np.float64) @ words.before.T.astype(np.float64) + b[:, None]
+    assert logits.max() > 1000
+    for g in range(len(words.log_z)):
+        assert words.log_z[g] == pytest.approx(np.logaddexp(math.log(lm.SMOOTH), np.logaddexp.reduce(logits[got["g"] == g], axis=0)), rel=1e-4, abs=1e-3)
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in lm.score_all(docs, fold_of(F.col("doc_id"), 10) == 0).collect())
