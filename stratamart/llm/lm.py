@@ -382,7 +382,7 @@ def _binaries(data, lengths: np.ndarray) -> pa.Array:
 
 def _data(packed: pa.Array, at: np.ndarray, kind: type) -> np.ndarray:
     """The bytes of some pieces behind each other, as numbers of a kind."""
-    some = packed.take(pa.array(at))
+    some = packed.take(pa.array(at)).cast(pa.binary())
     edge = np.frombuffer(some.buffers()[1], dtype=np.int32, count=len(some) + 1, offset=4 * some.offset)
     return np.frombuffer(some.buffers()[2] or b"", dtype=np.uint8)[edge[0]:edge[-1]].view(kind)
 
