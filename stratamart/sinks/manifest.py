@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratamart.sinks.scratch import packed, shuffles_dropped
 from stratamart.sinks.tables import ROWS_PER_FILE, create_database
 
 RECORD = "batch_id string, layer string, table_name string, path string, partition_by string, rows long, kind string, at timestamp"
@@ -72,8 +73,8 @@ class Manifest:
     def write(self, df: DataFrame, batch_id: str, layer: str, table: str, partition_by: str | None = None) -> Commit:
         """Write a table of the batch and commit it; the rows are counted in the files' footers."""
         path = f"{self.root}/{layer}/{table}/{batch_id}-{uuid.uuid4().hex[:8]}"
-        writer = (df.hint("rebalance", partition_by).sortWithinPartitions(partition_by) if partition_by else df).write.option("maxRecordsPerFile", ROWS_PER_FILE)
-        (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+        with shuffles_dropped(self.spark):
+            packed(df, partition_by).option("maxRecordsPerFile", ROWS_PER_FILE).parquet(path)
         rows = self.spark.read.schema(df.schema).parquet(path).count()
         self._record(batch_id, layer, table, path, partition_by, rows, COMMITTED)
         self._seen[batch_id, layer, table] = Commit(path, partition_by, rows)
