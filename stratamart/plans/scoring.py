@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 CLAIM_FEATURES = ["claim_amount", "policy_tenure_months", "num_prior_claims", "premium_amount", "claim_to_premium_ratio", "days_to_report"]
 FLOWER_FEATURES = ["sepal_length", "sepal_width", "petal_length", "petal_width"]
 FRAUD_THRESHOLD = 0.5
+FOREST_ROWS, FOREST_TASKS = 100_000, 4  # rows of a task at most; tasks for each core that the application has, at least
 
 
 # --- validation ---------------------------------------------------------------------------
@@ -37,10 +38,19 @@ def with_text_rejection(df: DataFrame, column: str = "text") -> DataFrame:
 # --- claims -------------------------------------------------------------------------------
 
 def train_claim_model(labelled: DataFrame, label: str = "is_fraud", trees: int = 200, seed: int = 42) -> PipelineModel:
-    """Random forest with classes weighted by the inverse of their frequency."""
-    weights = labelled.groupBy(label).agg(F.count("*").alias("n"))
-    total, classes = weights.agg(F.sum("n")).scalar(), weights.agg(F.count("*")).scalar()
-    weighted = labelled.join(weights, label).withColumn("weight", total.cast("double") / (classes * F.col("n")))
+    """Random forest with classes weighted by the inverse of their frequency; rows without a label are left out.
+
+    The classes are counted once and their weights, a handful, are literals: joined by label, all rows of a class would be
+    one task. The rows are dealt out evenly, since the forest takes its tasks from the layout of its input.
+    """
+    counted = {r[label]: r["n"] for r in labelled.groupBy(label).agg(F.count("*").alias("n")).collect()}
+    total, classes = sum(counted.values()), len(counted)
+    weight = F.lit(None).cast("double")
+    for value, n in counted.items():
+        if value is not None:
+            weight = F.when(F.col(label) == F.lit(value), F.lit(total / (classes * n))).otherwise(weight)
+    tasks = max(FOREST_TASKS * labelled.sparkSession.sparkContext.defaultParallelism, -(-total // FOREST_ROWS))
+    weighted = labelled.where(F.col(label).isNotNull()).select(*CLAIM_FEATURES, label).repartition(tasks).withColumn("weight", weight)
     forest = RandomForestClassifier(featuresCol="features", labelCol=label, weightCol="weight", numTrees=trees, seed=seed)
     return Pipeline(stages=[VectorAssembler(inputCols=CLAIM_FEATURES, outputCol="features"), forest]).fit(weighted)
 

@@ -34,3 +34,20 @@ def test_sentiment(spark):
     df = spark.createDataFrame([("What a terrible, awful service!",), ("An amazing trip, wonderfully done",), ("It arrived on Monday",), ("   ",), (None,)], "text string")
     got = scoring.score_sentiment(df).select("sentiment", "polarity", F.col("rejection").isNotNull()).collect()
     assert [tuple(r) for r in got] == [("negative", -1.0, False), ("positive", 0.8, False), ("neutral", 0.0, False), (None, None, True), (None, None, True)]
+
+
+def test_a_class_of_most_rows_is_many_tasks(spark, monkeypatch):
+    class Seen:
+        def __init__(self, stages):
+            pass
+
+        def fit(self, df):
+            return df
+
+    monkeypatch.setattr(scoring, "Pipeline", Seen)
+    claims = spark.range(0, 4000, 1, 1).select(*(F.col("id").cast("double").alias(f) for f in scoring.CLAIM_FEATURES), F.when(F.col("id") < 40, None).when(F.col("id") % 20 == 0, 1).otherwise(0).alias("is_fraud"))
+    got = scoring.train_claim_model(claims)
+    assert max(r["n"] for r in got.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()) < 400
+    by_class = {r["is_fraud"]: (r["n"], r["w"]) for r in got.groupBy("is_fraud").agg(F.count("*").alias("n"), F.sum("weight").alias("w")).collect()}
+    assert {k: n for k, (n, _) in by_class.items()} == {0: 3762, 1: 198}
+    assert by_class[0][1] == pytest.approx(4000 / 3) and by_class[1][1] == pytest.approx(4000 / 3)  # rows without a label count as a class, as before
