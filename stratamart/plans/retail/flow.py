@@ -32,6 +32,8 @@ SYSTEMS = {
 }
 #: Tables of silver that do not need each other, wave by wave; a stage comes before those that read it.
 WAVES: list[list[str]] = [[*dims.DIMENSIONS], ["dim_customer", STAGE, "fct_returns", "fct_inventory"], ["fct_sales", "dq_rejects_sales"], [LEDGER]]
+#: Marts at a time. Each shuffles the whole fact, and what is shuffled lies on disk until its mart is written.
+MARTS_AT_ONCE = 2
 LAYERS = {"bronze": list(SYSTEMS), "silver": [*SILVER, LEDGER], "gold": list(MARTS)}
 
 
@@ -86,9 +88,9 @@ class RetailFlow(RetailLayers):
 
     def build_gold(self) -> list[Outcome]:
         self._require("silver")
-        return self._build("gold", [list(MARTS)], self.published)
+        return self._build("gold", [list(MARTS)], self.published, min(self.width, MARTS_AT_ONCE))
 
-    def _build(self, layer: str, waves: Sequence[list[str]], build: Callable[[str], DataFrame]) -> list[Outcome]:
+    def _build(self, layer: str, waves: Sequence[list[str]], build: Callable[[str], DataFrame], width: int | None = None) -> list[Outcome]:
         def one(name: str) -> Outcome:
             build(name)
             return Outcome(layer, name, *self._rows[name])
@@ -101,7 +103,7 @@ class RetailFlow(RetailLayers):
                 continue
             # a stage is needed only while one of its readers is missing
             names = [n for n in wave if n != STAGE or not {"fct_sales", "dq_rejects_sales", LEDGER} <= set(held)]
-            done += side_by_side_jobs(self.spark, {n: (lambda n=n: one(n)) for n in names}, layer, self.width)
+            done += side_by_side_jobs(self.spark, {n: (lambda n=n: one(n)) for n in names}, layer, width or self.width)
         return self._finish(layer, [o for o in done if o.table_name != STAGE or o.status == FAILED])
 
     def _finish(self, layer: str, done: list[Outcome]) -> list[Outcome]:

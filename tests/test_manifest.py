@@ -90,3 +90,13 @@ def test_a_killed_landing_resumes_and_silver_waits(spark, folder, monkeypatch):
     assert second.manifest.sealed("bronze") == "b1"
     assert {o.status for o in RetailFlow(spark, root, "flow_killed", lambda n: ctx[f"src_{n}"], "b1").land()} == {KEPT}
     assert spark.table("flow_killed_bronze.reason").where("_batch_id = 'b1' AND _source_system = 'ref_data'").count() == ctx["src_reason"].count()
+
+
+def test_few_marts_at_a_time(spark, monkeypatch):
+    widths = []
+    monkeypatch.setattr(retail, "side_by_side_jobs", lambda spark, jobs, layer, width: widths.append((layer, width)) or [])
+    flow = RetailFlow(spark, scratch_path(spark, "flow"), "flow_widths", lambda n: None, "b1")
+    monkeypatch.setattr(flow, "_require", lambda layer: None)
+    flow.build_gold()
+    flow.build_silver()
+    assert widths == [("gold", retail.MARTS_AT_ONCE), *[("silver", 8)] * len(retail.WAVES)]
